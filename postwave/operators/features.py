@@ -25,6 +25,15 @@ def with_tokens(posts, prepare=stemmed, tokenize=unigrams_and_bigrams, text="tex
     return prepared.withColumn(out, tokenize(F.col("_prepared"))).drop("_prepared")
 
 
+def token_rows(df, *keep, tokens="tokens", out="token"):
+    """One row per token.
+
+    The outer form keeps Spark from filtering on the array's size first, a filter it would push below the projection
+    and so compute every token list twice.
+    """
+    return df.select(*keep, F.explode_outer(tokens).alias(out)).filter(F.col(out).isNotNull())
+
+
 def with_term_frequencies(df, tokens="tokens", width=FEATURE_WIDTH, out="features"):
     """Hash the tokens to buckets and count each bucket, all inside the row.
 

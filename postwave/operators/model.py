@@ -35,8 +35,8 @@ def gradient(points, weights, label="sentiment", features="features"):
     """(idx, gradient): sum of (p - y) * x per bucket; each task adds up its own rows before the shuffle."""
     error = sigmoid(dot(F.col(features), weights)) - F.col(label)
     # The error gets its own projection: beside the generator it would be computed once per vector entry.
-    errors = points.select(error.alias("error"), F.arrays_zip(features + ".idx", features + ".value").alias("entries"))
-    parts = errors.select("error", F.inline("entries"))
+    errors = points.select(error.alias("error"), features)
+    parts = errors.select("error", F.inline(F.arrays_zip(features + ".idx", features + ".value")))
     return parts.groupBy("idx").agg(F.sum(F.col("error") * F.col("value")).alias("gradient"))
 
 

@@ -129,7 +129,8 @@ def token_query(tokenize, prepare=lambda c: c):
 def top_terms(spark, folder):
     """The most frequent bigrams and unigrams of each language."""
     found = features.with_tokens(wide_posts(spark, folder), text.normalize)
-    counts = found.select("lang", F.explode("tokens").alias("term")).groupBy("lang", "term").agg(F.count("*").alias("count"))
+    terms = features.token_rows(found, "lang", out="term")
+    counts = terms.groupBy("lang", "term").agg(F.count("*").alias("count"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("count"), "term"))
     return counts.withColumn("rank", rank).filter(F.col("rank") <= 20)
 
