@@ -414,3 +414,18 @@ BATCH_SQL = {
       CAST(json_object('tweet', tweet, 'sentiment', sentiment) AS VARCHAR), ',' ORDER BY tweet, sentiment) || ']}}' AS value
       FROM result""",
 }
+
+# What a stream has closed when it ends: whole buckets older than the newest event less the lateness.
+CLOSED = f"""WHERE window_end <= (SELECT (CAST(floor(epoch(max(ts))) AS BIGINT) - 600) // {SLIDE} * {SLIDE} FROM events)
+  AND window_end <= (SELECT (max(bucket) + 1) * {SLIDE} FROM buckets
+    WHERE (bucket + 1) * {SLIDE} <= (SELECT CAST(floor(epoch(max(ts))) AS BIGINT) - 600 FROM events))"""
+
+STREAM_SQL = {
+    "stream_trending": f"WITH {windows_sql(TAGGED_EVENTS, SLIDE, CLOSED)} SELECT * FROM ranked",
+    "stream_payload": f"""WITH {windows_sql(TAGGED_EVENTS, SLIDE, CLOSED)}
+      SELECT window_end, '[' || string_agg({PAYLOAD_ITEM}, ',' ORDER BY rank) || ']' AS value
+      FROM ranked GROUP BY window_end""",
+    "stream_corpus": f"""WITH {POSTS}, {TRAINING} SELECT y AS sentiment, count(*) AS count FROM training GROUP BY y""",
+    "stream_train": f"""WITH {metrics(TRAIN_STEPS)}
+      SELECT 1::BIGINT AS version, "areaUnderRoc", accuracy FROM stats""",
+}

@@ -10,6 +10,8 @@ EVENTS_SCHEMA = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 )
 
+DOCUMENTS_SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
 
 def posts_from_documents(documents):
     """The post schema over ``documents``, with hashtags, emoticons, short forms and links appended by id."""
@@ -56,6 +58,7 @@ def stream_sample_tags(spark, folder, **options):
     return tags_from_events(reader.options(**options).parquet(folder))
 
 
-def stream_sample_posts(spark, folder, schema, **options):
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "documents*.parquet")
+def stream_sample_posts(spark, folder, **options):
+    """The documents as a file stream."""
+    reader = spark.readStream.schema(DOCUMENTS_SCHEMA).option("pathGlobFilter", "documents*.parquet")
     return posts_from_documents(reader.options(**options).parquet(folder))
