@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -29,10 +30,14 @@ def shared_dir(spark, name):
 
     Only a local master may fall back to a temporary folder: on a cluster the executors would not see it.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="postwave-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = local_dir()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@lru_cache(maxsize=1)
+def local_dir():
+    return tempfile.mkdtemp(prefix="postwave-")
