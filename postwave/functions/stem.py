@@ -30,11 +30,22 @@ STEP_4 = ("al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "men
           "iti", "ous", "ive", "ize")
 
 
+class _Shapes(dict):
+    """Translation table: vowels to '1', y left alone, all else to '0'."""
+
+    def __missing__(self, code):
+        return "0"
+
+
+_SHAPES = _Shapes({ord(ch): "1" for ch in "aeiou"} | {ord("y"): "y"})
+
+
 def _shape(word):
     """'1' per vowel, '0' per consonant; y is a vowel after a consonant."""
-    shape = ""
-    for ch in word:
-        shape += "1" if ch in "aeiou" or (ch == "y" and shape[-1:] == "0") else "0"
+    shape = word.translate(_SHAPES)
+    while "y" in shape:
+        at = shape.index("y")
+        shape = shape[:at] + ("1" if shape[at - 1:at] == "0" else "0") + shape[at + 1:]
     return shape
 
 

@@ -102,35 +102,51 @@ def rewrite(text, pairs, step):
     return reduce(lambda c, kv: step(c, *kv), pairs, text)
 
 
-def normalize_sentiment(text):
-    """Lower-case, then replace each emoticon, longest first.
+def first_of(literals):
+    """A look at one character that rules most positions out before the costlier part of a pattern is tried."""
+    return f"(?=[{re.escape(''.join(dict.fromkeys(x[0] for x in literals)))}])"
+
 
-    Keys with an arrow can overlap each other and go one by one. The others overlap nothing that comes later, so their
-    order is free: single symbols go one by one as well, the ASCII faces in one pass. A cheap look at the post skips
-    the two chains when it has no arrow or no symbol.
+def replace_emoticons(text):
+    """Keys with an arrow can overlap each other and go one by one, longest first. The others overlap nothing that
+    comes later, so their order is free: single symbols go one by one as well, the ASCII faces in one pass. A cheap
+    look at the post skips the two chains when it has no arrow or no symbol.
     """
-    lowered = F.lower(text)
     arrows = longest_first((k, v) for k, v in SENTIMENT_WORDS.items() if ARROW in k)
     symbols = [(k, v) for k, v in SENTIMENT_WORDS.items() if k >= FIRST_SYMBOL]
-    faces = {k: v for k, v in SENTIMENT_WORDS.items() if ARROW not in k and k < FIRST_SYMBOL}
-    text = F.when(lowered.contains(ARROW), rewrite(lowered, arrows, replace_literal)).otherwise(lowered)
+    faces = [k for k in SENTIMENT_WORDS if ARROW not in k and k < FIRST_SYMBOL]
+    text = F.when(text.contains(ARROW), rewrite(text, arrows, replace_literal)).otherwise(text)
     has_symbol = text.rlike(f"[{FIRST_SYMBOL}-{chr(sys.maxunicode)}]")
     text = F.when(has_symbol, rewrite(text, symbols, replace_literal)).otherwise(text)
-    first_chars = re.escape("".join(dict.fromkeys(k[0] for k in faces)))
-    return F.regexp_replace(text, f"(?=[{first_chars}])(?:{one_of(faces)})", "good")
+    return F.regexp_replace(text, f"{first_of(faces)}(?:{one_of(faces)})", "good")
+
+
+def expand_short_forms(text):
+    """One look decides whether a post needs the chain."""
+    chained = rewrite(text, SHORT_FORMS.items(), lambda c, k, v: F.regexp_replace(c, rf"{first_of([k])}\b{k}\b", v))
+    needed = text.rlike(rf"{first_of(SHORT_FORMS)}\b(?:{one_of(SHORT_FORMS)})\b")
+    return F.when(needed, chained).otherwise(text)
+
+
+def remove_noise(text):
+    return rewrite(text, NOISE_PATTERNS.items(), F.regexp_replace)
+
+
+def normalize_sentiment(text):
+    """Lower-case, then emoticons to words."""
+    return replace_emoticons(F.lower(text))
 
 
 def normalize_short_forms(text):
-    """Lower-case, then expand short forms; one look decides whether a post needs the chain."""
-    lowered = F.lower(text)
-    chained = rewrite(lowered, SHORT_FORMS.items(), lambda c, k, v: F.regexp_replace(c, rf"\b{k}\b", v))
-    return F.when(lowered.rlike(rf"\b(?:{'|'.join(SHORT_FORMS)})\b"), chained).otherwise(lowered)
+    """Lower-case, then short forms written out."""
+    return expand_short_forms(F.lower(text))
 
 
 def normalize_noise(text):
-    return rewrite(F.lower(text), NOISE_PATTERNS.items(), F.regexp_replace)
+    """Lower-case, then elongations, mentions, links and hyphens."""
+    return remove_noise(F.lower(text))
 
 
 def normalize(text):
-    """Sentiment words, then short forms, then noise."""
-    return normalize_noise(normalize_short_forms(normalize_sentiment(text)))
+    """Sentiment words, then short forms, then noise; all of it keeps lower case, so one lower-casing does."""
+    return remove_noise(expand_short_forms(normalize_sentiment(text)))

@@ -1,12 +1,15 @@
 """Unigrams and sentence-bound n-grams as array Columns.
 
 Splitting follows the usual JVM rule: trailing empty parts are dropped, inner and leading ones stay, and an empty
-string is one empty part. Characters are removed from the whole string, not per token, which is one regex pass and
+string is one empty part. Characters are removed from a whole string, not per token, which is one regex pass and
 gives the same tokens because separators are never touched.
 """
 
 from pyspark.sql import functions as F
 
+# What trimming a sentence removes: every character up to the space.
+BLANKS = "".join(map(chr, range(0x21)))
+
 NO_WORDS = "array<string>"
 NO_SENTENCES = "array<array<string>>"
 
@@ -21,20 +24,20 @@ def split_words(text):
     return F.when((body == "") & (text != ""), F.array().cast(NO_WORDS)).otherwise(F.split(body, " "))
 
 
+def clean_words(body):
+    return F.split(F.regexp_replace(body, r"[^\w ]+", ""), " ")
+
+
 def unigrams(text):
     """Words with all but ASCII letters, digits and _ removed; words left empty stay as ''."""
     body = drop_trailing(text, " ")
-    words = F.split(F.regexp_replace(body, r"[^\w ]+", ""), " ")
-    return F.when((body == "") & (text != ""), F.array().cast(NO_WORDS)).otherwise(words)
+    return F.when((body == "") & (text != ""), F.array().cast(NO_WORDS)).otherwise(clean_words(body))
 
 
 def sentence_words(text):
-    """One word list per '.'-separated sentence."""
+    """One word list per '.'-separated sentence, each sentence trimmed before its words are cleaned."""
     body = drop_trailing(text, ".")
-    tight = F.regexp_replace(body, r"[\x00-\x20]*\.[\x00-\x20]*", ".")
-    tight = F.regexp_replace(tight, r"^[\x00-\x20]+|[\x00-\x20]+\z", "")
-    clean = F.regexp_replace(tight, r"[^\w .]+", "")
-    words = F.transform(F.split(clean, r"\."), lambda s: F.split(s, " "))
+    words = F.transform(F.split(body, r"\."), lambda s: clean_words(F.trim(s, F.lit(BLANKS))))
     return F.when((body == "") & (text != ""), F.array().cast(NO_SENTENCES)).otherwise(words)
 
 

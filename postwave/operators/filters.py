@@ -14,8 +14,12 @@ def in_languages(posts, langs=TRENDING_LANGS):
     return posts.filter(F.col("lang").isin(*langs))
 
 
+def is_english_original():
+    return (F.col("user_lang") == "en") & ~F.col("is_retweet")
+
+
 def english_originals(posts):
-    return posts.filter((F.col("user_lang") == "en") & ~F.col("is_retweet"))
+    return posts.filter(is_english_original())
 
 
 def label(posts, text="text", out="sentiment"):

@@ -149,19 +149,17 @@ def steady_spans(runs, width):
     closes = (F.col("chunk") + 1) * width
     edges = runs.select("chunk", F.explode(F.array(F.col("first_end"), F.col("last_end") + 1)).alias("edge"))
     cuts = edges.filter(F.col("edge") < closes).groupBy("chunk").agg(F.sort_array(F.collect_set("edge")).alias("cuts"))
-    cuts = cuts.select("chunk", F.concat("cuts", F.array(closes)).alias("cuts")).select(
-        "chunk",
-        F.zip_with(
-            F.slice("cuts", 1, F.size("cuts") - 1),
-            F.slice("cuts", 2, F.size("cuts") - 1),
-            lambda a, b: F.struct(a.alias("first_end"), (b - 1).alias("last_end")),
-        ).alias("spans"),
-    )
-    inside = F.filter(
-        "spans", lambda s: (s["first_end"] >= F.col("run.first_end")) & (s["last_end"] <= F.col("run.last_end"))
+    # A run's two edges are cuts of its chunk, or the chunk's end.
+    at = F.array_position("cuts", F.col("first_end"))
+    to = F.coalesce(F.nullif(F.array_position("cuts", F.col("last_end") + 1), F.lit(0)), F.size("cuts") + 1)
+    pieces = F.transform(
+        F.slice("cuts", at.cast("int"), (to - at).cast("int")),
+        lambda cut, i: F.struct(
+            cut.alias("first_end"),
+            (F.coalesce(F.get("cuts", (at + i).cast("int")), closes) - 1).alias("last_end"),
+        ),
     )
-    runs = runs.select("chunk", "hashtag", "count", F.struct("first_end", "last_end").alias("run"))
-    return runs.join(cuts, "chunk").select("hashtag", "count", F.inline(inside))
+    return runs.join(cuts, "chunk").select("hashtag", "count", F.inline(pieces))
 
 
 def top_spans(buckets, window=WINDOW_SECONDS, slide=SLIDE_SECONDS, k=TOP_K):

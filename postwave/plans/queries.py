@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import sentiment, text, tokens
 from ..functions.stem import stem_word
 from ..operators import corpus, evaluate, features, filters, model, payload, trending
+from ..session import materialize
 from ..sources import posts as source
 from ..sources.tables import read_documents, read_sample_posts, read_sample_tags
 from . import sentiment as plan
@@ -184,8 +185,8 @@ def idf_weights(spark, folder):
 
 
 def tfidf(spark, folder):
-    posts = wide_posts(spark, folder)
-    weighted = plan.DEFAULT.tfidf(posts, plan.DEFAULT.fit_idf(posts))
+    vectors = materialize(plan.DEFAULT.tf(wide_posts(spark, folder)).select("post_id", "features"), "vectors")
+    weighted = features.with_tfidf(vectors, features.fit_idf(vectors))
     value = F.col("features.value")
     return weighted.select(
         "post_id",
@@ -194,16 +195,16 @@ def tfidf(spark, folder):
     )
 
 
-def sgd(spark, folder, steps):
-    return plan.train_on(sample_training(spark, folder), iterations=steps, tolerance=0.0)
+def sample_fit(spark, folder, steps):
+    return plan.fit(plan.training_points(sample_training(spark, folder)), steps, tolerance=0.0)
 
 
 def sgd_first_step(spark, folder):
-    return weights_of(spark, sgd(spark, folder, 1))
+    return weights_of(spark, sample_fit(spark, folder, 1).model)
 
 
 def sgd_trained_weights(spark, folder):
-    return weights_of(spark, sgd(spark, folder, TRAIN_STEPS))
+    return weights_of(spark, sample_fit(spark, folder, TRAIN_STEPS).model)
 
 
 def weights_of(spark, fitted):
@@ -211,19 +212,18 @@ def weights_of(spark, fitted):
     return table.select("idx", F.round("weight", 6).alias("weight"))
 
 
-def sample_model(spark, folder):
-    """One training step, and the IDF of the training posts."""
-    return sgd(spark, folder, 1), plan.DEFAULT.fit_idf(sample_training(spark, folder))
-
-
 def score_posts(spark, folder):
-    scored = plan.score(wide_posts(spark, folder), *sample_model(spark, folder))
+    """Every post, scored by a model of one training step on the training posts among them."""
+    posts = filters.label(wide_posts(spark, folder)).withColumn("training", plan.is_training_post())
+    vectors = plan.DEFAULT.tf(posts).select("post_id", "training", "sentiment", "features")
+    vectors = materialize(vectors, "vectors")
+    scored = plan.score(vectors, plan.fit(vectors.filter("training"), 1))
     return scored.select("post_id", F.col("prediction").cast("string").alias("sentiment"))
 
 
 def model_metrics(spark, folder):
-    rows = plan.evaluate_on(sample_training(spark, folder), *sample_model(spark, folder))
-    return rounded_metrics(rows)
+    trained = sample_fit(spark, folder, 1)
+    return rounded_metrics(plan.evaluate_on(trained.points, trained))
 
 
 def rounded_metrics(rows):
@@ -240,8 +240,8 @@ def sgd_trained_metrics(spark, folder):
         F.col("doc_id").alias("post_id"), F.col("quality").cast("double").alias("sentiment")
     )
     english = filters.english_originals(wide_posts(spark, folder)).join(quality, "post_id")
-    fitted = plan.train_on(english, iterations=TRAIN_STEPS, tolerance=0.0)
-    return rounded_metrics(plan.evaluate_on(english, fitted, plan.DEFAULT.fit_idf(english)))
+    trained = plan.fit(plan.training_points(english), TRAIN_STEPS, tolerance=0.0)
+    return rounded_metrics(plan.evaluate_on(trained.points, trained))
 
 
 def length_auc(spark, folder):
@@ -253,13 +253,11 @@ def length_auc(spark, folder):
 
 
 def classify_keyword(spark, folder):
-    fitted, idf = sample_model(spark, folder)
-    return plan.classify_keyword(read_sample_posts(spark, folder), KEYWORD, fitted, idf)
+    return plan.classify_keyword(read_sample_posts(spark, folder), KEYWORD, sample_fit(spark, folder, 1))
 
 
 def classification_payload(spark, folder):
-    fitted, idf = sample_model(spark, folder)
-    return plan.classification_result(read_sample_posts(spark, folder), KEYWORD, fitted, idf)
+    return plan.classification_result(read_sample_posts(spark, folder), KEYWORD, sample_fit(spark, folder, 1))
 
 
 BATCH_QUERIES = {

@@ -2,12 +2,14 @@
 
 from dataclasses import dataclass
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.tokens import unigrams_and_bigrams
 from ..operators import evaluate, features, filters, model, payload
 from ..schema import FEATURE_WIDTH, SEARCH_SIZE, SGD_ITERATIONS
-from ..sources.posts import search, track
+from ..session import materialize
+from ..sources.posts import search, track, tracked
 
 
 def training_posts(posts):
@@ -15,6 +17,11 @@ def training_posts(posts):
     return filters.label(filters.english_originals(track(posts)))
 
 
+def is_training_post():
+    """The same choice as a Column, for a pass that needs the other posts too."""
+    return tracked(F.col("text")) & filters.is_english_original()
+
+
 @dataclass(frozen=True)
 class Featurizer:
     """How text becomes tokens; any string -> string and string -> array Column functions will do."""
@@ -39,30 +46,48 @@ class Featurizer:
 DEFAULT = Featurizer()
 
 
-def train_on(labelled, featurizer=DEFAULT, iterations=SGD_ITERATIONS, start=None, idf=None, **options):
-    """Train on term frequencies, as the scoring side's counterpart does by default, or on TF-IDF when given an IDF."""
-    points = featurizer.tf(labelled) if idf is None else featurizer.tfidf(labelled, idf)
-    return model.train(points, start, iterations, width=featurizer.width, **options)
+@dataclass(frozen=True)
+class Trained:
+    """A model, the IDF of the posts it was trained on, and those posts as (sentiment, term frequencies)."""
+
+    model: model.LogisticModel
+    idf: features.IdfModel
+    points: DataFrame
+
+
+def fit(points, iterations=SGD_ITERATIONS, start=None, train_features="tf", width=FEATURE_WIDTH, **options):
+    """Train on term frequencies; 'tfidf' trains on what is scored later instead.
+
+    ``points`` (sentiment, features) is read once per fit and iteration: pass a materialized table.
+    """
+    idf = features.fit_idf(points, width=width)
+    rows = points if train_features == "tf" else features.with_tfidf(points, idf)
+    return Trained(model.train(rows, start, iterations, width=width, **options), idf, points)
+
+
+def training_points(labelled, featurizer=DEFAULT):
+    """Labelled posts as a materialized (sentiment, features) table: text is tokenised once."""
+    return materialize(featurizer.tf(labelled).select("sentiment", "features"), "points")
 
 
-def score(posts, fitted, idf, featurizer=DEFAULT):
-    """Posts with a 0/1 ``prediction``, from TF-IDF features."""
-    return model.with_prediction(featurizer.tfidf(posts, idf), fitted)
+def score(vectors, trained):
+    """Rows with a ``features`` column of term frequencies get a 0/1 ``prediction`` from their TF-IDF."""
+    return model.with_prediction(features.with_tfidf(vectors, trained.idf), trained.model)
 
 
-def evaluate_on(corpus, fitted, idf, featurizer=DEFAULT):
-    """The statistics row of a model on a labelled corpus."""
-    return evaluate.statistics(score(corpus, fitted, idf, featurizer), fitted)
+def evaluate_on(points, trained):
+    """The statistics row of a model on labelled vectors."""
+    return evaluate.statistics(score(points, trained), trained.model)
 
 
-def classify_keyword(posts, keyword, fitted, idf, featurizer=DEFAULT, size=SEARCH_SIZE):
+def classify_keyword(posts, keyword, trained, featurizer=DEFAULT, size=SEARCH_SIZE):
     """Search, featurize, score: (tweet, sentiment)."""
-    found = featurizer.tfidf(search(posts, keyword, size), idf)
-    return model.scored_posts(found, fitted)
+    found = featurizer.tfidf(search(posts, keyword, size), trained.idf)
+    return model.scored_posts(found, trained.model)
 
 
-def classification_result(posts, keyword, fitted, idf, featurizer=DEFAULT, size=SEARCH_SIZE):
-    return payload.classification_json(classify_keyword(posts, keyword, fitted, idf, featurizer, size))
+def classification_result(posts, keyword, trained, featurizer=DEFAULT, size=SEARCH_SIZE):
+    return payload.classification_json(classify_keyword(posts, keyword, trained, featurizer, size))
 
 
 def with_batch(posts, size=20):

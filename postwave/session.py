@@ -15,6 +15,11 @@ def build_session(master=None, app="postwave", shuffle_partitions=None, driver_m
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
+        # Open buckets of a busy stream outgrow the heap of the default in-memory state store.
+        .config(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
     )
     if master:
         builder = builder.master(master)
@@ -41,3 +46,13 @@ def shared_dir(spark, name):
 @lru_cache(maxsize=1)
 def local_dir():
     return tempfile.mkdtemp(prefix="postwave-")
+
+
+def materialize(df, name):
+    """Write a table that several jobs read, and read it back.
+
+    Costly rows are computed once and survive lost executors; the plan behind them is cut.
+    """
+    spark, path = df.sparkSession, shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

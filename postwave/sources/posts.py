@@ -16,12 +16,12 @@ def usable(posts):
 
 
 def spread(df):
-    """Deal rows out to all cores when the input has fewer splits than cores, as small files do.
+    """Deal rows out to all cores when the input has far fewer splits than cores, as small files do.
 
-    Large inputs have more splits than cores and pass through without a shuffle.
+    Large inputs have enough splits and pass through without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
 
 
 def read_posts(spark, path, fmt="parquet", **options):
@@ -42,9 +42,13 @@ def posts_from_rows(spark, rows):
     return spark.createDataFrame(rows, POST_SCHEMA)
 
 
+def tracked(text, terms=TRACK_TERMS):
+    return reduce(or_, (text.contains(t) for t in terms))
+
+
 def track(posts, terms=TRACK_TERMS):
     """Posts that contain any of the terms."""
-    return posts.filter(reduce(or_, (F.col("text").contains(t) for t in terms)))
+    return posts.filter(tracked(F.col("text"), terms))
 
 
 def search(posts, keyword, size=SEARCH_SIZE):

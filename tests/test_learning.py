@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from postwave.functions.tokens import split_words
 from postwave.functions.vectors import hash_index
 from postwave.operators import corpus, evaluate, features, model
-from postwave.plans.sentiment import Featurizer, classify_keyword, evaluate_on
+from postwave.plans.sentiment import Featurizer, Trained, classify_keyword, evaluate_on
 from postwave.sources.posts import fetch_response, posts_from_rows, search
 from test_text import post
 
@@ -173,10 +173,10 @@ def test_search_and_classify(spark):
           .select("w", hash_index(F.col("w"), 1500).alias("i")).collect()}
     weights = [0.0] * 1500
     weights[at["good"]], weights[at["bad"]] = 1.0, -1.0
-    fitted = model.LogisticModel(tuple(weights))
-    scored = classify_keyword(posts, "sun", fitted, idf, WORDS)
+    trained = Trained(model.LogisticModel(tuple(weights)), idf, None)
+    scored = classify_keyword(posts, "sun", trained, WORDS)
     assert {tuple(r) for r in scored.collect()} == {("The Sun is good", "1.0"), ("sun bad", "0.0")}
     judged = posts.filter("post_id in (1, 3)").withColumn("sentiment", (F.col("post_id") == 3).cast("double"))
-    row = evaluate_on(judged, fitted, idf, WORDS).first()
+    row = evaluate_on(WORDS.tf(judged), trained).first()
     assert (row.trainer, row.areaUnderRoc, row.accuracy) == ("Online", 1.0, 1.0)
     assert "numFeatures = 1500" in row.model
