@@ -19,9 +19,10 @@ def stemmed(text):
 def with_tokens(posts, prepare=stemmed, tokenize=unigrams_and_bigrams, text="text", out="tokens"):
     """Tokens of each post: any string -> string ``prepare``, then any string -> array ``tokenize``.
 
-    The prepared text is a column of its own, so that the tokenizer's several uses of it do not repeat the work.
+    The prepared text is a column of its own, so that the tokenizer's several uses of it do not repeat the work. Posts
+    without text are left out.
     """
-    prepared = posts.withColumn("_prepared", prepare(F.col(text)))
+    prepared = posts.filter(F.col(text).isNotNull()).withColumn("_prepared", prepare(F.col(text)))
     return prepared.withColumn(out, tokenize(F.col("_prepared"))).drop("_prepared")
 
 

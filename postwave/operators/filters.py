@@ -23,7 +23,8 @@ def english_originals(posts):
 
 
 def label(posts, text="text", out="sentiment"):
-    return posts.withColumn(out, emoticon_label(F.col(text)))
+    """Posts with their emoticon label; a post without text has none and is left out."""
+    return posts.filter(F.col(text).isNotNull()).withColumn(out, emoticon_label(F.col(text)))
 
 
 def of_class(labelled, sentiment):

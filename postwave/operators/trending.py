@@ -46,11 +46,13 @@ def window_end_of(posts, slide=SLIDE_SECONDS):
     return newest.scalar()
 
 
-def in_window(tagged, end, window=WINDOW_SECONDS):
-    """Rows in [end - window, end), ``end`` in epoch seconds."""
-    return tagged.filter(
-        (F.col("created_at") >= F.timestamp_seconds(end - window)) & (F.col("created_at") < F.timestamp_seconds(end))
-    )
+def since(posts, start):
+    """Posts at or after ``start``, a Column of epoch seconds."""
+    return posts.filter(F.col("created_at") >= F.timestamp_seconds(start))
+
+
+def before(posts, end):
+    return posts.filter(F.col("created_at") < F.timestamp_seconds(end))
 
 
 def bucket_counts(tagged, slide=SLIDE_SECONDS):
@@ -148,17 +150,20 @@ def steady_spans(runs, width):
     """
     closes = (F.col("chunk") + 1) * width
     edges = runs.select("chunk", F.explode(F.array(F.col("first_end"), F.col("last_end") + 1)).alias("edge"))
-    cuts = edges.filter(F.col("edge") < closes).groupBy("chunk").agg(F.sort_array(F.collect_set("edge")).alias("cuts"))
-    # A run's two edges are cuts of its chunk, or the chunk's end.
-    at = F.array_position("cuts", F.col("first_end"))
-    to = F.coalesce(F.nullif(F.array_position("cuts", F.col("last_end") + 1), F.lit(0)), F.size("cuts") + 1)
-    pieces = F.transform(
-        F.slice("cuts", at.cast("int"), (to - at).cast("int")),
-        lambda cut, i: F.struct(
-            cut.alias("first_end"),
-            (F.coalesce(F.get("cuts", (at + i).cast("int")), closes) - 1).alias("last_end"),
-        ),
+    cuts = edges.distinct().groupBy("chunk").agg(F.sort_array(F.collect_list("edge")).alias("cuts"))
+    cuts = cuts.select("chunk", F.array_union("cuts", F.array(closes)).alias("cuts")).select(
+        "chunk",
+        "cuts",
+        F.zip_with(
+            F.slice("cuts", 1, F.size("cuts") - 1),
+            F.slice("cuts", 2, F.size("cuts") - 1),
+            lambda a, b: F.struct(a.alias("first_end"), (b - 1).alias("last_end")),
+        ).alias("spans"),
     )
+    # Both edges of a run are cuts of its chunk.
+    at = F.array_position("cuts", F.col("first_end"))
+    to = F.array_position("cuts", F.col("last_end") + 1)
+    pieces = F.slice("spans", at.cast("int"), (to - at).cast("int"))
     return runs.join(cuts, "chunk").select("hashtag", "count", F.inline(pieces))
 
 

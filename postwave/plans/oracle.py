@@ -18,7 +18,7 @@ POSTS = f"""posts AS (
       || CASE WHEN doc_id % 11 = 0 THEN ' don''t u' ELSE '' END
       || CASE WHEN doc_id % 13 = 0 THEN ' http://x.io/a_b soooo' ELSE '' END AS text,
     lang, lang AS user_lang, doc_id % 7 = 0 AS is_retweet
-  FROM documents WHERE text IS NOT NULL)"""
+  FROM documents)"""
 
 TAGGED_POSTS = f"""{POSTS}, tags AS (
   SELECT t, hashtag FROM (

@@ -1,12 +1,20 @@
 """Trending plans: from posts or tagged events to top hashtags and payloads."""
 
+from pyspark.sql import functions as F
+
 from ..operators import trending as op
 from ..schema import SLIDE_SECONDS, TOP_K, WINDOW_SECONDS
 
 
-def trending_now(posts, window=WINDOW_SECONDS, slide=SLIDE_SECONDS, k=TOP_K):
-    """Top hashtags of the last window. The time bound filters the posts before their text is split."""
-    recent = op.in_window(posts, op.window_end_of(posts, slide), window)
+def trending_now(posts, end=None, window=WINDOW_SECONDS, slide=SLIDE_SECONDS, k=TOP_K):
+    """Top hashtags of the window that ends at ``end`` (epoch seconds), by default the last one.
+
+    The time bound filters the posts before their text is split; nothing is newer than the last window's end.
+    """
+    if end is None:
+        recent = op.since(posts, op.window_end_of(posts, slide) - window)
+    else:
+        recent = op.before(op.since(posts, F.lit(end - window)), F.lit(end))
     return op.top_hashtags(op.hashtag_counts(op.tagged_posts(recent)), k)
 
 

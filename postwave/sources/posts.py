@@ -8,11 +8,9 @@ from pyspark.sql import functions as F
 from ..schema import LABELLED_POST_SCHEMA, POST_SCHEMA, SEARCH_SIZE, TRACK_TERMS
 
 
-def usable(posts):
-    """Posts with a text; a missing creation time becomes the time of ingest."""
-    return posts.filter(F.col("text").isNotNull()).withColumn(
-        "created_at", F.coalesce("created_at", F.current_timestamp())
-    )
+def stamped(posts):
+    """A post that comes without a creation time gets the time of ingest."""
+    return posts.withColumn("created_at", F.coalesce("created_at", F.current_timestamp()))
 
 
 def spread(df):
@@ -25,7 +23,8 @@ def spread(df):
 
 
 def read_posts(spark, path, fmt="parquet", **options):
-    return usable(spark.read.schema(POST_SCHEMA).format(fmt).options(**options).load(path))
+    """Stored posts, as they are: filters on time, language and retweets reach the scan."""
+    return spark.read.schema(POST_SCHEMA).format(fmt).options(**options).load(path)
 
 
 def stream_posts(spark, path=None, fmt="parquet", **options):
@@ -33,8 +32,8 @@ def stream_posts(spark, path=None, fmt="parquet", **options):
     reader = spark.readStream.format(fmt).options(**options)
     if fmt == "kafka":
         value = F.from_json(F.col("value").cast("string"), POST_SCHEMA)
-        return usable(reader.load().select(value.alias("post")).select("post.*"))
-    return usable(reader.schema(POST_SCHEMA).load(path))
+        return stamped(reader.load().select(value.alias("post")).select("post.*"))
+    return stamped(reader.schema(POST_SCHEMA).load(path))
 
 
 def posts_from_rows(spark, rows):

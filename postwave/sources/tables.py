@@ -23,7 +23,7 @@ def posts_from_documents(documents):
         F.when(doc % 11 == 0, " don't u").otherwise(""),
         F.when(doc % 13 == 0, " http://x.io/a_b soooo").otherwise(""),
     ]
-    return documents.filter(F.col("text").isNotNull()).select(
+    return documents.select(
         doc.alias("post_id"),
         F.timestamp_seconds(F.lit(EPOCH) + doc * SECONDS_PER_POST).alias("created_at"),
         F.concat("text", *extra).alias("text"),

@@ -9,6 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from postwave.operators import payload, trending
+from postwave.plans.trending import trending_now
+from postwave.schema import POST_SCHEMA
 
 BASE = datetime(2024, 1, 1, tzinfo=timezone.utc)
 
@@ -81,6 +83,17 @@ def test_range_limits(spark):
     assert {tuple(r) for r in top.collect()} == {r for r in everything if lo < r[0] <= hi}
 
 
+def test_trending_now(spark):
+    rows, _ = make_tags(spark, 11, 300, 9000, 6)
+    posts = spark.createDataFrame(
+        [(i, t, f"x {name}", "en", "en", False) for i, (t, name) in enumerate(rows)], POST_SCHEMA)
+    counts = direct_counts(rows, 3600, 5)
+    for end in (None, max(counts) - 7200):
+        names = counts[int(max(t for t, _ in rows).timestamp()) // 5 * 5 + 5 if end is None else end]
+        want = sorted(names.items(), key=lambda kv: (-kv[1], kv[0]))[:3]
+        assert [tuple(r) for r in trending_now(posts, end, k=3).collect()] == want
+
+
 def test_top_breaks_ties_by_name(spark):
     counts = spark.createDataFrame([("#b", 2), ("#a", 2), ("#c", 1)], "hashtag string, count bigint")
     assert [r.hashtag for r in trending.top_hashtags(counts, 1).collect()] == ["#a"]
