@@ -32,3 +32,8 @@ def is_neutral(text):
 def emoticon_label(text):
     """1.0 with a positive emoticon, else 0.0: mixed posts are positive, neutral ones negative."""
     return F.when(is_positive(text), F.lit(POSITIVE)).otherwise(F.lit(NEGATIVE))
+
+
+def without_label_emoticons(text):
+    """The text less the emoticons its label came from, for features that must not repeat the label."""
+    return F.regexp_replace(text, any_of(POSITIVE_EMOTICONS + NEGATIVE_EMOTICONS), "")

@@ -70,6 +70,11 @@ def training_points(labelled, featurizer=DEFAULT):
     return materialize(featurizer.tf(labelled).select("sentiment", "features"), "points")
 
 
+def corpus_tokens(labelled, featurizer=DEFAULT):
+    """(tokens, label) of labelled posts."""
+    return featurizer.tokens(labelled).select("tokens", F.col("sentiment").alias("label"))
+
+
 def score(vectors, trained):
     """Rows with a ``features`` column of term frequencies get a 0/1 ``prediction`` from their TF-IDF."""
     return model.with_prediction(features.with_tfidf(vectors, trained.idf), trained.model)
@@ -80,10 +85,10 @@ def evaluate_on(points, trained):
     return evaluate.statistics(score(points, trained), trained.model)
 
 
-def classify_keyword(posts, keyword, trained, featurizer=DEFAULT, size=SEARCH_SIZE):
-    """Search, featurize, score: (tweet, sentiment)."""
+def classify_keyword(posts, keyword, trained, featurizer=DEFAULT, size=SEARCH_SIZE, predict=model.scored_posts):
+    """Search, featurize, score: (tweet, sentiment). ``predict`` maps (rows with text and features, model) to those."""
     found = featurizer.tfidf(search(posts, keyword, size), trained.idf)
-    return model.scored_posts(found, trained.model)
+    return predict(found, trained.model)
 
 
 def classification_result(posts, keyword, trained, featurizer=DEFAULT, size=SEARCH_SIZE):

@@ -9,7 +9,7 @@ from ..streaming.tables import publisher
 from ..streaming.training import read_metrics, start_training
 from ..streaming.trending import read_top, start_trending
 from .queries import SAMPLE_CORPUS, SLIDE, TRAIN_STEPS, rounded_metrics
-from .sentiment import DEFAULT, training_posts
+from .sentiment import training_points, training_posts
 
 ALL_AVAILABLE = {"availableNow": True}
 
@@ -41,10 +41,9 @@ def stream_corpus(spark, folder):
 def stream_train(spark, folder):
     """Statistics of every model the stream produced, on the training posts themselves."""
     work = shared_dir(spark, "training")
-    corpus = training_posts(spread(read_sample_posts(spark, folder)))
+    points = training_points(training_posts(spread(read_sample_posts(spark, folder))))
     start_training(
-        stream_sample_posts(spark, folder), work, corpus, DEFAULT.fit_idf(corpus), iterations=TRAIN_STEPS,
-        tolerance=0.0, trigger=ALL_AVAILABLE,
+        stream_sample_posts(spark, folder), work, points, iterations=TRAIN_STEPS, tolerance=0.0, trigger=ALL_AVAILABLE
     ).awaitTermination()
     return rounded_metrics(read_metrics(spark, work)).select("version", "areaUnderRoc", "accuracy")
 

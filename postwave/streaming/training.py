@@ -3,36 +3,40 @@
 from pyspark.sql import functions as F
 
 from ..operators.evaluate import statistics
+from ..operators.features import fit_idf, with_tfidf
 from ..operators.model import LogisticModel, train, with_prediction
 from ..plans.sentiment import DEFAULT, training_posts
 from ..schema import SGD_ITERATIONS, SGD_STEP, SGD_TOLERANCE, TRAINING_TRIGGER
+from ..sources.posts import spread
 from .tables import carried, write_batch
 
 MODEL = "version bigint, weights array<double>"
 
 
-def start_training(posts, work, corpus=None, idf=None, featurizer=DEFAULT, train_features="tf",
-                   iterations=SGD_ITERATIONS, step=SGD_STEP, tolerance=SGD_TOLERANCE, trigger=None):
+def start_training(posts, work, points=None, featurizer=DEFAULT, train_features="tf", iterations=SGD_ITERATIONS,
+                   step=SGD_STEP, tolerance=SGD_TOLERANCE, trigger=None):
     """Start training on the tracked English originals of a post stream; returns the query.
 
     Every batch starts from the weights the batch before left and leaves its own; a batch without rows passes them on.
-    With a labelled ``corpus`` and its ``idf``, every new model is evaluated there and the row kept in ``metrics``.
-    ``train_features`` is 'tf' or, to train on what is scored later, 'tfidf'.
+    With the ``points`` of a corpus (``training_points``), every new model is evaluated there and the row kept in
+    ``metrics``. ``train_features`` is 'tf' or, to train on what is scored later, 'tfidf', which needs the points too.
     """
     if train_features not in ("tf", "tfidf"):
         raise ValueError("train_features is 'tf' or 'tfidf'")
-    tested = None
-    if corpus is not None:
-        tested = featurizer.tfidf(corpus, idf).select("sentiment", "features").persist()
+    idf = tested = None
+    if points is not None:
+        idf = fit_idf(points, width=featurizer.width)
+        tested = with_tfidf(points, idf).persist()
 
     def on_batch(labelled, batch_id):
         spark = labelled.sparkSession
         before = carried(spark, f"{work}/weights", batch_id)
         start = LogisticModel(tuple(before.weights), before.version) if before else LogisticModel.zeros(featurizer.width)
-        points = featurizer.tf(labelled) if train_features == "tf" else featurizer.tfidf(labelled, idf)
-        fitted = train(points, start, iterations, step, tolerance, width=featurizer.width)
-        rows = spark.createDataFrame([(fitted.version, list(fitted.weights))], MODEL)
-        write_batch(rows, f"{work}/weights", batch_id)
+        labelled = spread(labelled)
+        rows = featurizer.tf(labelled) if train_features == "tf" else featurizer.tfidf(labelled, idf)
+        fitted = train(rows, start, iterations, step, tolerance, width=featurizer.width)
+        left = spark.createDataFrame([(fitted.version, list(fitted.weights))], MODEL)
+        write_batch(left, f"{work}/weights", batch_id)
         if tested is not None and fitted.version > start.version:
             row = statistics(with_prediction(tested, fitted), fitted)
             write_batch(row.withColumn("version", F.lit(fitted.version).cast("bigint")), f"{work}/metrics", batch_id)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from postwave.functions.tokens import split_words
 from postwave.operators import trending
 from postwave.operators.model import LogisticModel, train
-from postwave.plans.sentiment import Featurizer, training_posts
+from postwave.plans.sentiment import Featurizer, training_points, training_posts
 from postwave.schema import POST_SCHEMA
 from postwave.session import shared_dir
 from postwave.sources.posts import read_posts, stream_posts, write_corpus, read_corpus, read_labelled_csv
@@ -138,9 +138,8 @@ def test_training_stream_equals_repeated_training(spark):
     batches.insert(1, [(1, BASE, "no emoticon", "en", "en", False)])
     source, work = shared_dir(spark, "in"), shared_dir(spark, "work")
     feed(spark, source, batches)
-    corpus = training_posts(read_posts(spark, source, "json"))
-    query = start_training(stream_posts(spark, source, "json", **ONE_FILE), work, corpus, WORDS.fit_idf(corpus), WORDS,
-                           iterations=3, trigger=NOW)
+    points = training_points(training_posts(read_posts(spark, source, "json")), WORDS)
+    query = start_training(stream_posts(spark, source, "json", **ONE_FILE), work, points, WORDS, iterations=3, trigger=NOW)
     query.awaitTermination()
     expected = LogisticModel.zeros(50)
     for rows in batches:

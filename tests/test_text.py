@@ -162,6 +162,10 @@ def test_labels(value, given, label, neutral):
     assert value(sentiment.is_neutral, given) is neutral
 
 
+def test_label_emoticons_can_be_dropped(value):
+    assert value(sentiment.without_label_emoticons, "a :):) b ;-( c :-(") == "a  b ;-( c "
+
+
 def post(i, text="x", lang="en", user_lang="en", retweet=False):
     from datetime import datetime
 
