@@ -60,21 +60,25 @@ def bucket_counts(tagged, slide=SLIDE_SECONDS):
     return tagged.groupBy("hashtag", bucket.alias("bucket")).agg(F.count("*").alias("count"))
 
 
-def window_runs(buckets, width):
+def window_runs(buckets, width, first=None, last=None):
     """Runs of window ends with one count: (hashtag, chunk, first_end, last_end, count, changed).
 
     Each bucket adds its count at its first window end and takes it off after its last one; the running sum per hashtag
     is the window count. Time is cut into chunks of ``width`` ends and a bucket that reaches into the next chunk is
     carried over, so a group is one hashtag in one chunk, at most ``width`` rows, however long the history is.
-    ``changed`` is false where a run starts only because a chunk does.
+    ``changed`` is false where a run starts only because a chunk does. ``first`` and ``last`` keep to those ends; all
+    that came before then adds up to one step per hashtag.
     """
-    spans = buckets.select(
-        "hashtag",
-        "count",
-        (F.col("bucket") + 1).alias("start"),
-        (F.col("bucket") + width + 1).alias("stop"),
-    )
-    spans = spans.select("*", F.explode(F.sequence(F.floor(F.col("start") / width), F.floor(F.col("stop") / width))).alias("chunk"))
+    start, stop = F.col("bucket") + 1, F.col("bucket") + width + 1
+    if first is not None:
+        buckets = buckets.filter(stop > first)
+        start = F.greatest(start, F.lit(first))
+    if last is not None:
+        buckets = buckets.filter(start <= last)
+        stop = F.least(stop, F.lit(last + 1))
+    spans = buckets.select("hashtag", "count", start.alias("start"), stop.alias("stop"))
+    chunks = F.sequence(F.floor(F.col("start") / width), F.floor(F.col("stop") / width))
+    spans = spans.select("*", F.explode(chunks).alias("chunk"))
     opens, closes = F.col("chunk") * width, (F.col("chunk") + 1) * width
     enter = F.struct(
         F.greatest("start", opens).alias("first_end"),
@@ -167,14 +171,15 @@ def steady_spans(runs, width):
     return runs.join(cuts, "chunk").select("hashtag", "count", F.inline(pieces))
 
 
-def top_spans(buckets, window=WINDOW_SECONDS, slide=SLIDE_SECONDS, k=TOP_K):
+def top_spans(buckets, window=WINDOW_SECONDS, slide=SLIDE_SECONDS, k=TOP_K, first=None, last=None):
     """Top k for spans of window ends: (first_end, last_end, rank, hashtag, count), ends on the grid.
 
-    A short window in grid steps is ranked end by end, a long one span by span.
+    Short windows (in grid steps) and short ranges of ends are ranked end by end, long ones span by span.
     """
     width = window // slide
-    runs = window_runs(buckets, width)
-    if width <= SHORT_WIDTH:
+    runs = window_runs(buckets, width, first, last)
+    few = first is not None and last is not None and last - first < SHORT_WIDTH
+    if few or width <= SHORT_WIDTH:
         end = F.explode(F.sequence("first_end", "last_end")).alias("first_end")
         ends = runs.filter(F.col("count") > 0).select("hashtag", "count", end)
         spans = ends.withColumn("last_end", F.col("first_end"))
@@ -190,13 +195,12 @@ def top_per_window(buckets, window=WINDOW_SECONDS, slide=SLIDE_SECONDS, k=TOP_K,
 
     ``after`` and ``until`` (epoch seconds, after < end <= until) limit the windows, as a stream needs.
     """
-    first, last = F.col("first_end"), F.col("last_end")
-    if after is not None:
-        first = F.greatest(first, F.floor(F.lit(after) / slide) + 1)
-    if until is not None:
-        last = F.least(last, F.floor(F.lit(until) / slide))
-    spans = top_spans(buckets, window, slide, k).filter(first <= last)
-    ends = spans.select(F.explode(F.sequence(first, last)).alias("end"), "rank", "hashtag", "count")
+    first = None if after is None else after // slide + 1
+    last = None if until is None else until // slide
+    spans = top_spans(buckets, window, slide, k, first, last)
+    ends = spans.select(
+        F.explode(F.sequence("first_end", "last_end")).alias("end"), "rank", "hashtag", "count"
+    )
     return ends.select((F.col("end") * slide).alias("window_end"), "rank", "hashtag", "count")
 
 

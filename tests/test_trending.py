@@ -75,12 +75,15 @@ def test_change_points_hold_until_the_next(spark):
         assert steps[-1][1] == 0
 
 
-def test_range_limits(spark):
+@pytest.mark.parametrize("slide, take", [(60, (50, -50)), (5, (300, -300)), (5, (300, 301)), (5, (0, None))])
+def test_range_limits(spark, slide, take):
     rows, tagged = make_tags(spark, 9, 100, 2000, 4)
-    everything = direct_top(rows, 600, 60, 3)
-    lo, hi = sorted(e for e, *_ in everything)[50], sorted(e for e, *_ in everything)[-50]
-    top = trending.top_per_window(trending.bucket_counts(tagged, 60), 600, 60, 3, lo, hi)
-    assert {tuple(r) for r in top.collect()} == {r for r in everything if lo < r[0] <= hi}
+    everything = direct_top(rows, 600, slide, 3)
+    ends = sorted({e for e, *_ in everything}) if take[1] == 301 else sorted(e for e, *_ in everything)
+    lo, hi = ends[take[0]], None if take[1] is None else ends[take[1]]
+    top = trending.top_per_window(trending.bucket_counts(tagged, slide), 600, slide, 3, lo, hi)
+    want = {r for r in everything if lo < r[0] and (hi is None or r[0] <= hi)}
+    assert want and {tuple(r) for r in top.collect()} == want
 
 
 def test_trending_now(spark):
