@@ -8,30 +8,53 @@ from ..schema import CORPUS_SIZE
 
 # A (class, batch) list is broadcast only up to this quota; it has at most one row per wanted post.
 BROADCAST_QUOTA = 100_000
+# Up to this rank Spark drops the rest of a group before the shuffle.
+PRUNED_RANK = 1000
+# Running totals sort at most this many batches in one group.
+BATCHES_PER_CHUNK = 100_000
 
 
 def class_counts(labelled):
     return labelled.groupBy("sentiment").agg(F.count("*").alias("count"))
 
 
+def running_totals(sizes, keys, values):
+    """Running sums of ``values`` by batch, per key, as ``<value>_after``; one row per key and batch.
+
+    Batches are summed within chunks of the batch number, and the chunk totals, few as they are, carry over.
+    """
+    rows = sizes.withColumn("chunk", F.floor(F.col("batch") / BATCHES_PER_CHUNK))
+    totals = rows.groupBy(*keys, "chunk").agg(*(F.sum(v).alias(v) for v in values))
+    before = Window.partitionBy(*keys).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        *keys, "chunk", *(F.coalesce(F.sum(v).over(before), F.lit(0)).alias(f"{v}_before") for v in values)
+    )
+    inside = Window.partitionBy(*keys, "chunk").orderBy("batch").rowsBetween(Window.unboundedPreceding, 0)
+    after = {f"{v}_after": F.col(f"{v}_before") + F.sum(v).over(inside) for v in values}
+    return rows.join(offsets, [*keys, "chunk"]).withColumns(after).drop("chunk", *(f"{v}_before" for v in values))
+
+
 def kept_batches(labelled, total=CORPUS_SIZE):
-    """(sentiment, batch, after): batches a class still takes, and its size after each.
+    """(sentiment, batch): the batches each class takes; it takes them whole while it holds fewer than total / 2 rows.
 
-    A class takes whole batches while it holds fewer than total / 2 rows. Every listed batch has a row, so the first
-    ``quota`` batches of a class always suffice; the rank filter drops the rest before the shuffle.
+    Every listed batch has a row, so the first ``quota`` batches of a class always suffice; for the usual quotas a rank
+    filter drops the rest before the shuffle.
     """
     quota = total // 2
-    by_batch = Window.partitionBy("sentiment").orderBy("batch")
     sizes = labelled.groupBy("sentiment", "batch").agg(F.count("*").alias("count"))
-    first = sizes.withColumn("nth", F.row_number().over(by_batch)).filter(F.col("nth") <= quota)
-    after = F.sum("count").over(by_batch.rowsBetween(Window.unboundedPreceding, 0))
-    kept = first.withColumn("after", after).filter(F.col("after") - F.col("count") < quota)
-    return kept.select("sentiment", "batch", "after")
+    if quota <= PRUNED_RANK:
+        by_batch = Window.partitionBy("sentiment").orderBy("batch")
+        first = sizes.withColumn("nth", F.row_number().over(by_batch)).filter(F.col("nth") <= quota)
+        held = F.sum("count").over(by_batch.rowsBetween(Window.unboundedPreceding, 0))
+        sums = first.withColumn("count_after", held)
+    else:
+        sums = running_totals(sizes, ["sentiment"], ["count"])
+    return sums.filter(F.col("count_after") - F.col("count") < quota).select("sentiment", "batch")
 
 
 def balanced_corpus(labelled, total=CORPUS_SIZE):
     """The rows of the kept batches, both classes together."""
-    kept = kept_batches(labelled, total).select("sentiment", "batch")
+    kept = kept_batches(labelled, total)
     if total // 2 <= BROADCAST_QUOTA:
         kept = F.broadcast(kept)
     return labelled.join(kept, ["sentiment", "batch"], "left_semi")
@@ -40,33 +63,25 @@ def balanced_corpus(labelled, total=CORPUS_SIZE):
 def corpus_progress(labelled, total=CORPUS_SIZE):
     """(batch, positive, negative, total): corpus sizes after each batch, up to the one that completes both."""
     quota = total // 2
-    kept = kept_batches(labelled, total)
-    step = F.struct("batch", "after")
-
-    def ladder(sentiment):
-        return F.array_sort(F.collect_list(F.when(F.col("sentiment") == sentiment, step)))
-
-    def full_at(sentiment):
-        return F.min(F.when((F.col("sentiment") == sentiment) & (F.col("after") >= quota), F.col("batch")))
-
-    # One row, at most ``quota`` steps per class.
-    steps = kept.agg(
-        F.struct(
-            ladder(POSITIVE).alias("positive"),
-            ladder(NEGATIVE).alias("negative"),
-            F.when(full_at(POSITIVE).isNotNull() & full_at(NEGATIVE).isNotNull(),
-                   F.greatest(full_at(POSITIVE), full_at(NEGATIVE))).alias("done"),
-        ).alias("steps")
+    classes = {"positive": POSITIVE, "negative": NEGATIVE}
+    sizes = labelled.groupBy("batch").agg(*(F.count_if(F.col("sentiment") == y).alias(c) for c, y in classes.items()))
+    seen = running_totals(sizes, [], list(classes))
+
+    # A class stops at the size and batch where it first has its half; later batches add nothing.
+    full = []
+    for c in classes:
+        enough = F.col(f"{c}_after") >= quota
+        full += [
+            F.min(F.when(enough, F.col(f"{c}_after"))).alias(c),
+            F.min(F.when(enough, F.col("batch"))).alias(f"{c}_batch"),
+        ]
+    rows = seen.withColumn("full", seen.agg(F.struct(*full).alias("full")).scalar())
+    done = F.when(
+        F.col("full.positive_batch").isNotNull() & F.col("full.negative_batch").isNotNull(),
+        F.greatest("full.positive_batch", "full.negative_batch"),
     )
-    batches = labelled.select("batch").distinct().withColumn("steps", steps.scalar())
-
-    def size_at(sentiment):
-        reached = F.filter(F.col("steps")[sentiment], lambda s: s["batch"] <= F.col("batch"))
-        return F.coalesce(F.array_max(F.transform(reached, lambda s: s["after"])), F.lit(0))
-
-    return batches.filter(F.col("steps.done").isNull() | (F.col("batch") <= F.col("steps.done"))).select(
+    return rows.filter(F.col("batch") <= F.coalesce(done, F.col("batch"))).select(
         "batch",
-        size_at("positive").alias("positive"),
-        size_at("negative").alias("negative"),
+        *(F.least(f"{c}_after", f"full.{c}").alias(c) for c in classes),
         F.lit(total).cast("bigint").alias("total"),
     )

@@ -46,6 +46,18 @@ def test_balanced_corpus(spark, total):
     assert sorted(map(tuple, corpus.corpus_progress(df, total).collect())) == progress
 
 
+@pytest.mark.parametrize("total", [8, 40])
+def test_large_quotas_take_the_same_batches(spark, monkeypatch, total):
+    """Quotas beyond the pruned rank use chunked running totals."""
+    monkeypatch.setattr(corpus, "PRUNED_RANK", 0)
+    monkeypatch.setattr(corpus, "BATCHES_PER_CHUNK", 7)
+    rows, df = labelled(spark, total)
+    kept, progress = direct_corpus(rows, total)
+    got = [(r.i, r.batch, r.sentiment) for r in corpus.balanced_corpus(df, total).collect()]
+    assert sorted(got) == sorted(kept)
+    assert sorted(map(tuple, corpus.corpus_progress(df, total).collect())) == progress
+
+
 def test_quota_may_overshoot_by_one_batch(spark):
     df = spark.createDataFrame([(b, 1.0) for b in (1, 2, 3) for _ in range(3)], "batch bigint, sentiment double")
     assert corpus.balanced_corpus(df, 8).groupBy("batch").count().orderBy("batch").collect() == [(1, 3), (2, 3)]
