@@ -5,11 +5,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.sentiment import contains_any
 from ..functions.tokens import unigrams_and_bigrams
 from ..operators import evaluate, features, filters, model, payload
-from ..schema import FEATURE_WIDTH, SEARCH_SIZE, SGD_ITERATIONS
+from ..schema import FEATURE_WIDTH, SEARCH_SIZE, SGD_ITERATIONS, TRACK_TERMS
 from ..session import materialize
-from ..sources.posts import search, track, tracked
+from ..sources.posts import search, track
 
 
 def training_posts(posts):
@@ -19,7 +20,7 @@ def training_posts(posts):
 
 def is_training_post():
     """The same choice as a Column, for a pass that needs the other posts too."""
-    return tracked(F.col("text")) & filters.is_english_original()
+    return contains_any(F.col("text"), TRACK_TERMS) & filters.is_english_original()
 
 
 @dataclass(frozen=True)

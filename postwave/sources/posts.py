@@ -1,10 +1,8 @@
 """Post sources: batch and stream readers, tracked and searched posts, corpus files."""
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import functions as F
 
+from ..functions.sentiment import contains_any
 from ..schema import LABELLED_POST_SCHEMA, POST_SCHEMA, SEARCH_SIZE, TRACK_TERMS
 
 
@@ -41,13 +39,9 @@ def posts_from_rows(spark, rows):
     return spark.createDataFrame(rows, POST_SCHEMA)
 
 
-def tracked(text, terms=TRACK_TERMS):
-    return reduce(or_, (text.contains(t) for t in terms))
-
-
 def track(posts, terms=TRACK_TERMS):
     """Posts that contain any of the terms."""
-    return posts.filter(tracked(F.col("text"), terms))
+    return posts.filter(contains_any(F.col("text"), terms))
 
 
 def search(posts, keyword, size=SEARCH_SIZE):

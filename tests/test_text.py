@@ -162,6 +162,19 @@ def test_labels(value, given, label, neutral):
     assert value(sentiment.is_neutral, given) is neutral
 
 
+def test_predicates_equal_their_patterns(spark):
+    from pyspark.sql import functions as F
+
+    parts = [":", ";", "-", ")", "(", "x"]
+    rows = [(a + b + c + d,) for a in parts for b in parts for c in parts for d in parts]
+    t = F.col("t")
+    wrong = [
+        sentiment.is_positive(t) != t.rlike(sentiment.any_of(sentiment.POSITIVE_EMOTICONS)),
+        sentiment.is_negative(t) != t.rlike(sentiment.any_of(sentiment.NEGATIVE_EMOTICONS)),
+    ]
+    assert spark.createDataFrame(rows, "t string").filter(wrong[0] | wrong[1]).count() == 0
+
+
 def test_label_emoticons_can_be_dropped(value):
     assert value(sentiment.without_label_emoticons, "a :):) b ;-( c :-(") == "a  b ;-( c "
 
