@@ -20,31 +20,31 @@ SENTIMENT_WORDS = {
     ";-)": "good",
     "(- ->": "good",
     "( ->": "good",
-    "\U0001F603": "good",
-    "\U0001F604": "good",
-    "\U0001F60A": "good",
-    "\U0001F600": "good",
-    "\U0001F617": "good",
-    "\U0001F61B": "good",
+    "😃": "good",
+    "😄": "good",
+    "😊": "good",
+    "😀": "good",
+    "😗": "good",
+    "😛": "good",
     "☺": "good",
     "✌": "good",
     "❤": "good",
     "⭐": "good",
-    "\U0001F44D": "good",
-    "\U0001F44C": "good",
-    "\U0001F44F": "good",
-    "\U0001F602": "good",
-    "\U0001F606": "good",
-    "\U0001F60B": "good",
-    "\U0001F60D": "good",
-    "\U0001F61F": "bad",
-    "\U0001F626": "bad",
-    "\U0001F627": "bad",
-    "\U0001F615": "bad",
-    "\U0001F61E": "bad",
-    "\U0001F620": "bad",
-    "\U0001F622": "sad",
-    "\U0001F621": "sad",
+    "👍": "good",
+    "👌": "good",
+    "👏": "good",
+    "😂": "good",
+    "😆": "good",
+    "😋": "good",
+    "😍": "good",
+    "😟": "bad",
+    "😦": "bad",
+    "😧": "bad",
+    "😕": "bad",
+    "😞": "bad",
+    "😠": "bad",
+    "😢": "sad",
+    "😡": "sad",
     " ->/": "bad",
     " ->&gt;": "sad",
     " ->')": "sad",

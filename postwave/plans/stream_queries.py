@@ -1,5 +1,7 @@
 """The streaming jobs as registered queries: the sample tables arrive as file streams and run to their end."""
 
+from contextlib import contextmanager
+
 from ..operators.corpus import class_counts
 from ..session import shared_dir
 from ..sources.posts import spread
@@ -12,12 +14,27 @@ from .queries import SAMPLE_CORPUS, SLIDE, TRAIN_STEPS, rounded_metrics
 from .sentiment import training_points, training_posts
 
 ALL_AVAILABLE = {"availableNow": True}
+PARTITIONS = "spark.sql.shuffle.partitions"
+
+
+@contextmanager
+def no_more_partitions_than_cores(spark):
+    """A stream fixes its state partitions when it starts; a small machine has far too many by default."""
+    before = spark.conf.get(PARTITIONS)
+    spark.conf.set(PARTITIONS, str(min(int(before), spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(PARTITIONS, before)
 
 
 def run_trending(spark, folder, publish_format="json"):
     work = shared_dir(spark, "trending")
     publish = publisher(publish_format, f"{work}/payload")
-    start_trending(stream_sample_tags(spark, folder), work, publish, slide=SLIDE, trigger=ALL_AVAILABLE).awaitTermination()
+    tags = stream_sample_tags(spark, folder)
+    with no_more_partitions_than_cores(spark):
+        query = start_trending(tags, work, publish, slide=SLIDE, trigger=ALL_AVAILABLE)
+    query.awaitTermination()
     return work
 
 
