@@ -38,7 +38,8 @@ from . import arrays
 
 BLOCK = 128
 PERCENTILE = 90
-SHARD_BYTES = 16 << 20  # bytes of text a shard has on average
+SHARD_BYTES = 8 << 20  # bytes of text a shard has on average
+SECTION = BLOCK << 11  # ids that are packed at once
 SHARDS_PER_GROUP = 1000
 END_ID = 0
 MOST_KNOWN = 2_000_000  # segments a worker keeps the ids of
@@ -82,7 +83,18 @@ def bits(values):
 
 
 def encode_blocks(ids):
-    """The block columns of ``SHARD_SCHEMA`` for an array of ids; the last block is filled up with its last id."""
+    """The block columns of ``SHARD_SCHEMA`` for an array of ids; the last block is filled up with its last id.
+
+    Blocks are independent, so a section of them is packed at a time.
+    """
+    sections = [encode_section(ids[i : i + SECTION]) for i in range(0, len(ids), SECTION)] or [encode_section(ids)]
+    sizes = np.cumsum([0] + [len(x["packed"]) for x in sections])
+    for part, before in zip(sections, sizes.tolist()):
+        part["starts"] = (np.frombuffer(part["starts"], "<u8") + np.uint64(before)).tobytes()
+    return {name: b"".join(part[name] for part in sections) for name in sections[0]}
+
+
+def encode_section(ids):
     blocks = -(-len(ids) // BLOCK)
     grid = np.full(blocks * BLOCK, ids[-1] if len(ids) else 0, dtype=np.uint32)
     grid[: len(ids)] = ids
