@@ -27,24 +27,22 @@ def gram_hashes(words, at, order):
 
 def count_grams(order):
     def count(table):
-        words, at = arrays.word_hashes(table.column("text"))
-        found = np.concatenate(gram_hashes(words, at, order))
-        keys, counts = np.unique(found, return_counts=True)
-        return np.append(keys, gram_counts.ALL), np.append(counts, len(words))
+        words, at = arrays.word_hashes(gram_counts.unpack(table))
+        keys, counts = np.unique(np.concatenate([*gram_hashes(words, at, order), [gram_counts.ALL]]), return_counts=True)
+        counts[np.searchsorted(keys, gram_counts.ALL)] = len(words)
+        return keys, counts
 
     return count
 
 
-def log_scores(words, at, hashes, totals, order, discount):
-    """The natural log of each word's score."""
+def log_scores(words, at, totals, everything, discount):
+    """The natural log of each word's score. ``totals``: for each n, (hash, total) of the n-gram of each word that ends one."""
     rows = arrays.rows_of(at)
     place = np.arange(len(words)) - at[rows]
-    everything = int(gram_counts.look_up(np.array([gram_counts.ALL]), hashes, totals, len(words))[0])
     elsewhere = []
-    for n, keys in enumerate(gram_hashes(words, at, order), 1):
+    for n, (keys, total) in enumerate(totals, 1):
         count = np.zeros(len(words), dtype=np.int64)
         ends = np.flatnonzero(place >= n - 1)
-        total = gram_counts.look_up(keys, hashes, totals)
         shared = np.flatnonzero(total > 1)
         own = arrays.mix(keys[shared] + rows[ends[shared]].astype(np.uint64) * arrays.BASE)
         _, inverse, times = np.unique(own, return_inverse=True, return_counts=True)
@@ -53,7 +51,7 @@ def log_scores(words, at, hashes, totals, order, discount):
     others = everything - np.diff(at)[rows]
     with np.errstate(divide="ignore", invalid="ignore"):
         score = np.where(elsewhere[0] > 0, elsewhere[0] / others, discount / everything)
-        for n in range(2, order + 1):
+        for n in range(2, len(totals) + 1):
             ends = place >= n - 1
             history = np.concatenate([[0], elsewhere[n - 2][:-1]])
             longer = np.where(elsewhere[n - 1] > 0, elsewhere[n - 1] / history, discount * score)
@@ -65,29 +63,33 @@ def score_documents(docs, order=ORDER, discount=DISCOUNT):
     """doc_id, n_words, log_score (sum of natural logs), mean_log_score (null without words) of each document."""
     docs = docs.select("doc_id", "text")
     n_slices, bits = gram_counts.sizes(docs, order)
-    number = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_slices)).cast("int")
-    texts = docs.withColumn("slice", number).repartition(n_slices, "slice")
-    totals = gram_counts.corpus_counts(texts, count_grams(order), bits)
-
-    def score(table, entries):
-        hashes, counts = gram_counts.totals_of(entries)
-        out = []
-        for piece in arrays.pieces(table.to_batches()):
-            words, at = arrays.word_hashes(piece.column("text"))
-            logs = log_scores(words, at, hashes, counts, order, discount)
-            n = np.diff(at)
-            out.append((piece.column("doc_id"), n, np.bincount(arrays.rows_of(at), weights=logs, minlength=len(n))))
-        n = np.concatenate([x[1] for x in out])
-        total = np.concatenate([x[2] for x in out])
-        mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
+    number = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_slices)).cast("int").alias("slice")
+
+    def pack(batches):
+        for batch in batches:
+            yield gram_counts.pack(batch)
+
+    texts = docs.select("doc_id", number, "text").mapInArrow(pack, "doc_id bigint, slice int, packed binary, bytes bigint")
+    texts = texts.repartition(n_slices, "slice")
+    corpus = gram_counts.corpus_counts(texts, count_grams(order), bits)
+
+    def score(table, back):
+        words, at = arrays.word_hashes(gram_counts.unpack(table))
+        parts = gram_hashes(words, at, order)
+        keys, inverse = np.unique(np.concatenate([*parts, [gram_counts.ALL]]), return_inverse=True)
+        found = gram_counts.totals_of(back)[inverse]
+        totals = list(zip(parts, np.split(found[:-1], np.cumsum([len(x) for x in parts])[:-1])))
+        logs = log_scores(words, at, totals, int(found[-1]), discount)
+        n = np.diff(at)
+        total = np.bincount(arrays.rows_of(at), weights=logs, minlength=len(n))
         return pa.table(
             {
-                "doc_id": pa.chunked_array([x[0] for x in out]),
+                "doc_id": table.column("doc_id"),
                 "n_words": pa.array(n, pa.int64()),
                 "log_score": pa.array(total),
-                "mean_log_score": mean,
+                "mean_log_score": pa.array(total / np.maximum(n, 1), mask=n == 0),
             }
         )
 
-    both = texts.groupBy("slice").cogroup(totals.groupBy("slice"))
+    both = texts.groupBy("slice").cogroup(corpus.groupBy("slice"))
     return both.applyInArrow(score, "doc_id bigint, n_words bigint, log_score double, mean_log_score double")

@@ -1,9 +1,9 @@
 """Counts of n-grams over a whole corpus, brought back to where the texts are.
 
 Texts lie in slices of bounded size. A slice counts its own n-grams first and sends one entry for each different one, so
-even an n-gram of every text is one entry a slice. Entries are dealt out by ranges of the hash (buckets), summed there,
-and what several texts may share, a total of two or more, goes back to the slices that hold the n-gram. Entries travel as
-sorted runs of bytes, not as one row each.
+even an n-gram of every text is one entry a slice. Entries are dealt out by ranges of the hash (buckets), summed there, and
+the totals go back to the slice in the order of its entries, so they need no hashes. Texts and entries travel compressed,
+entries as sorted runs of bytes and not as one row each.
 """
 
 import numpy as np
@@ -17,7 +17,8 @@ BUCKET_ENTRIES = 2 << 20
 BYTES_PER_WORD = 6
 ALL = np.uint64(0x5851F42D4C957F2D)  # the entry that counts everything in a slice
 
-ENTRIES = "bucket int, slice int, hashes binary, counts binary"
+ENTRIES = "bucket int, slice int, size int, hashes binary, counts binary"
+TOTALS = "bucket int, slice int, size int, totals binary"
 
 
 def sizes(texts, orders):
@@ -27,6 +28,37 @@ def sizes(texts, orders):
     return max(1, -(-size // SLICE_BYTES)), max(1, (entries // BUCKET_ENTRIES).bit_length())
 
 
+def codec():
+    return pa.Codec("zstd", 3)
+
+
+def pack(batch):
+    """The batch with its column ``text`` (null: empty) compressed as ``packed``, and its bytes as ``bytes``."""
+    texts = [x.encode("utf-8") if x else b"" for x in batch.column("text").to_pylist()]
+    zstd = codec()
+    columns = {name: batch.column(name) for name in batch.schema.names if name != "text"}
+    columns["packed"] = pa.array([zstd.compress(x, asbytes=True) for x in texts], pa.binary())
+    columns["bytes"] = pa.array([len(x) for x in texts], pa.int64())
+    return pa.RecordBatch.from_pydict(columns)
+
+
+def unpack(table):
+    """The column of texts of a table with the columns of ``pack``."""
+    zstd, sizes = codec(), table.column("bytes").to_pylist()
+    texts = [zstd.decompress(x, n, asbytes=True) for x, n in zip(table.column("packed").to_pylist(), sizes)]
+    return pa.array(texts, pa.binary()).cast(pa.large_string())
+
+
+def shut(values):
+    return codec().compress(arrays.planes(values), asbytes=True)
+
+
+def opened(column, sizes, dtype):
+    """The arrays of a column that ``shut`` made."""
+    zstd, width = codec(), np.dtype(dtype).itemsize
+    return [arrays.from_planes(zstd.decompress(x, n * width, asbytes=True), dtype) for x, n in zip(column.to_pylist(), sizes)]
+
+
 def entry_rows(number, hashes, counts, bits):
     """The entries of a slice, sorted by hash, as one row for each bucket."""
     bucket = (hashes >> np.uint64(64 - bits)).astype(np.int64)
@@ -37,63 +69,38 @@ def entry_rows(number, hashes, counts, bits):
         {
             "bucket": pa.array(found.astype(np.int32)),
             "slice": pa.array(np.full(len(found), number, np.int32)),
-            "hashes": pa.array([arrays.planes(np.diff(hashes[i:j], prepend=np.uint64(0))) for i, j in cut], pa.binary()),
-            "counts": pa.array([arrays.planes(counts[i:j].astype(np.int64)) for i, j in cut], pa.binary()),
+            "size": pa.array(np.diff(edges).astype(np.int32)),
+            "hashes": pa.array([shut(np.diff(hashes[i:j], prepend=np.uint64(0))) for i, j in cut], pa.binary()),
+            "counts": pa.array([shut(counts[i:j].astype(np.int64)) for i, j in cut], pa.binary()),
         }
     )
 
 
-def entries(table):
-    """(hashes, counts, entries of each row) of rows made by ``entry_rows``."""
-    hashes = [np.cumsum(arrays.from_planes(x, np.uint64), dtype=np.uint64) for x in table.column("hashes").to_pylist()]
-    counts = [arrays.from_planes(x, np.int64) for x in table.column("counts").to_pylist()]
-    none = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-    return np.concatenate(hashes or none[0]), np.concatenate(counts or none[1]), [len(x) for x in hashes]
-
-
-def summed(hashes, counts):
-    """Different hashes in ascending order with their summed counts."""
-    keys, inverse = np.unique(hashes, return_inverse=True)
-    return keys, np.bincount(inverse, weights=counts, minlength=len(keys)).astype(np.int64)
-
-
 def corpus_counts(texts, count_slice, bits):
-    """Entries of ``ENTRIES`` for each slice: its n-grams with a total of two or more over all slices, and that total.
+    """``TOTALS`` for each slice: the sums over all slices of its entries, in the order of their hashes.
 
-    ``texts`` is dealt out by its column ``slice``; ``count_slice`` makes (hashes, counts) of an Arrow table of one slice.
+    ``texts`` is dealt out by its column ``slice``; ``count_slice`` makes (sorted different hashes, counts) of an Arrow
+    table of one slice.
     """
 
     def local(table):
-        hashes, counts = summed(*count_slice(table))
-        return entry_rows(table.column("slice")[0].as_py(), hashes, counts, bits)
+        return entry_rows(table.column("slice")[0].as_py(), *count_slice(table), bits)
 
     def total(table):
-        hashes, counts, size = entries(table)
+        sizes = table.column("size").to_pylist()
+        hashes = np.concatenate([np.cumsum(x, dtype=np.uint64) for x in opened(table.column("hashes"), sizes, np.uint64)])
+        counts = np.concatenate(opened(table.column("counts"), sizes, np.int64))
         keys, inverse = np.unique(hashes, return_inverse=True)
-        totals = np.bincount(inverse, weights=counts, minlength=len(keys)).astype(np.int64)[inverse]
-        out, at = [], 0
-        for number, n in zip(table.column("slice").to_pylist(), size):
-            part = slice(at, at + n)
-            kept = totals[part] > 1
-            if kept.any():
-                out.append(entry_rows(number, hashes[part][kept], totals[part][kept], bits))
-            at += n
-        return pa.concat_tables(out) if out else table.slice(0, 0).select(["bucket", "slice", "hashes", "counts"])
+        sums = np.bincount(inverse, weights=counts, minlength=len(keys)).astype(np.int64)[inverse]
+        parts = np.split(sums, np.cumsum(sizes)[:-1])
+        own = [table.column(name) for name in ("bucket", "slice", "size")]
+        return pa.table([*own, pa.array([shut(x) for x in parts], pa.binary())], names=["bucket", "slice", "size", "totals"])
 
     own = texts.groupBy("slice").applyInArrow(local, ENTRIES)
-    return own.groupBy("bucket").applyInArrow(total, ENTRIES)
+    return own.groupBy("bucket").applyInArrow(total, TOTALS)
 
 
 def totals_of(table):
-    """(sorted hashes, totals) of the entries that came back to a slice."""
-    hashes, counts, _ = entries(table)
-    order = np.argsort(hashes, kind="stable")
-    return hashes[order], counts[order]
-
-
-def look_up(keys, hashes, totals, other=1):
-    """The total of each key; ``other`` where it is not among the hashes."""
-    if not len(hashes):
-        return np.full(len(keys), other, dtype=np.int64)
-    place = np.minimum(np.searchsorted(hashes, keys), len(hashes) - 1)
-    return np.where(hashes[place] == keys, totals[place], other)
+    """The totals that came back to a slice, in the order of its entries."""
+    table = table.sort_by("bucket")
+    return np.concatenate(opened(table.column("totals"), table.column("size").to_pylist(), np.int64))

@@ -21,7 +21,6 @@ doc_id is null has a null class id; other columns are ignored.
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -69,25 +68,30 @@ def different(table):
 
 
 def slices_of_texts(docs):
-    """(texts with fp, text, slice; bits of a bucket's number) of the different texts, repeats of a batch left out."""
+    """(packed texts with fp and slice; bits of a bucket's number) of the different texts, repeats of a batch left out."""
     n_slices, bits = gram_counts.sizes(docs, 1)
+    number = F.pmod(F.xxhash64("fp"), F.lit(n_slices)).cast("int").alias("slice")
 
-    def drop_repeats(batches):
+    def pack(batches):
         for batch in batches:
-            yield different(batch)
+            yield gram_counts.pack(different(batch))
 
-    texts = docs.select(fingerprint("text").alias("fp"), "text").mapInArrow(drop_repeats, "fp string, text string")
-    return texts.withColumn("slice", F.pmod(F.xxhash64("fp"), F.lit(n_slices)).cast("int")).repartition(n_slices, "slice"), bits
+    texts = docs.select(fingerprint("text").alias("fp"), "text").select("fp", number, "text")
+    return texts.mapInArrow(pack, "fp string, slice int, packed binary, bytes bigint").repartition(n_slices, "slice"), bits
+
+
+def corpus_keys(keys, n_texts):
+    """(sorted entries of a slice, counts, place of each key) for the different shingles of its texts."""
+    found, inverse, counts = np.unique(np.append(keys, gram_counts.ALL), return_inverse=True, return_counts=True)
+    counts[inverse[-1]] = n_texts
+    return found, counts, inverse
 
 
 def count_shingles(n):
     def count(table):
-        table, found, counts = different(table), [], []
-        for piece in arrays.pieces(table.to_batches()):
-            keys, times = np.unique(bags(piece.column("text"), n)[0], return_counts=True)
-            found.append(keys)
-            counts.append(times)
-        return np.append(np.concatenate(found), gram_counts.ALL), np.append(np.concatenate(counts), table.num_rows)
+        table = different(table)
+        found, counts, _ = corpus_keys(bags(gram_counts.unpack(table), n)[0], table.num_rows)
+        return found, counts
 
     return count
 
@@ -134,40 +138,30 @@ def band_keys(drawn, rows):
 def candidates(texts, totals, similarity=SIMILARITY, bands=BANDS, rows=ROWS, n=SHINGLE):
     """``CANDIDATES`` rows: the texts that share enough weight to have a link, with band keys and weighted shingles."""
 
-    def sign(table, entries):
-        hashes, counts = gram_counts.totals_of(entries)
-        table, out = different(table), []
-        number = int(gram_counts.look_up(np.array([gram_counts.ALL]), hashes, counts, table.num_rows)[0])
-        for piece in arrays.pieces(table.to_batches()):
-            keys, at, times = bags(piece.column("text"), n)
-            df = gram_counts.look_up(keys, hashes, counts)
-            weights = times * (1 + np.log((number + 1) / (df + 1)) / (2 * np.log(number + 1)))
-            total = np.bincount(at, weights=weights, minlength=piece.num_rows)
-            shared = np.bincount(at, weights=weights * (df > 1), minlength=piece.num_rows)
-            open_ = np.flatnonzero((total > 0) & (shared >= similarity * total - 1e-9))
-            kept = np.isin(at, open_)
-            if not len(open_):
-                continue
-            keys, weights, at = keys[kept], weights[kept], at[kept]
-            firsts = np.searchsorted(at, open_)
-            cuts = list(zip(firsts.tolist(), np.append(firsts[1:], len(keys)).tolist()))
-            of_text = band_keys(samples(keys, weights, firsts, bands * rows), rows).T.astype(np.int64)
-            out.append(
-                pa.table(
-                    {
-                        "fp": piece.column("fp").take(pa.array(open_)),
-                        "total": pa.array(total[open_]),
-                        "bands": pa.array(list(of_text), pa.list_(pa.int64())),
-                        "hashes": pa.array([keys[i:j].tobytes() for i, j in cuts], pa.binary()),
-                        "weights": pa.array([weights[i:j].tobytes() for i, j in cuts], pa.binary()),
-                    }
-                )
-            )
-        if out:
-            return pa.concat_tables(out)
-        kinds = {"total": pa.float64(), "bands": pa.list_(pa.int64()), "fp": pa.string()}
-        names = ("fp", "total", "bands", "hashes", "weights")
-        return pa.table({k: pa.array([], kinds.get(k, pa.binary())) for k in names})
+    def sign(table, back):
+        table = different(table)
+        keys, at, times = bags(gram_counts.unpack(table), n)
+        _, _, place = corpus_keys(keys, table.num_rows)
+        df = gram_counts.totals_of(back)[place]
+        number, df = int(df[-1]), df[:-1]
+        weights = times * (1 + np.log((number + 1) / (df + 1)) / (2 * np.log(number + 1)))
+        total = np.bincount(at, weights=weights, minlength=table.num_rows)
+        shared = np.bincount(at, weights=weights * (df > 1), minlength=table.num_rows)
+        open_ = np.flatnonzero((total > 0) & (shared >= similarity * total - 1e-9))
+        kept = np.isin(at, open_)
+        keys, weights, at = keys[kept], weights[kept], at[kept]
+        firsts = np.searchsorted(at, open_)
+        cuts = list(zip(firsts.tolist(), np.append(firsts[1:], len(keys)).tolist()))
+        drawn = samples(keys, weights, firsts, bands * rows) if len(open_) else np.zeros((bands * rows, 0), np.uint64)
+        return pa.table(
+            {
+                "fp": table.column("fp").take(pa.array(open_)),
+                "total": pa.array(total[open_]),
+                "bands": pa.array(list(band_keys(drawn, rows).T.astype(np.int64)), pa.list_(pa.int64())),
+                "hashes": pa.array([keys[i:j].tobytes() for i, j in cuts], pa.binary()),
+                "weights": pa.array([weights[i:j].tobytes() for i, j in cuts], pa.binary()),
+            }
+        )
 
     both = texts.groupBy("slice").cogroup(totals.groupBy("slice"))
     return both.applyInArrow(sign, CANDIDATES)
