@@ -133,8 +133,8 @@ def cut(text, gone):
 
 def clean(docs):
     """The documents with all columns, their text without repeated chunks, as (document, chunks_removed, lines_removed)."""
-    gone = removals(docs)
-    gone = gone.select(F.struct("doc_id", "text_hash").alias("lost_key"), "gone")
+    # The removals grow with the documents, so they are never broadcast.
+    gone = removals(docs).hint("merge").select(F.struct("doc_id", "text_hash").alias("lost_key"), "gone")
     own = F.struct(F.col("doc_id"), F.xxhash64("text").alias("text_hash"))
     document = F.struct(*[docs[c] for c in docs.columns])
     rows = docs.select(document.alias("document"), own.alias("own_key"))
