@@ -12,7 +12,7 @@ def components(edges):
     rounds grow with the logarithm of a component's size. Every round is a written table.
     """
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
-    edges = materialize(edges, "edges")
+    edges, state = materialize(edges, "edges"), None
     while True:
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -25,8 +25,7 @@ def components(edges):
         moved = large.join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = moved.unionAll(lowest.select("a", F.col("m").alias("b"))).filter("a <> b").distinct()
         small = materialize(small, "edges")
-        changed = small.exceptAll(edges).limit(1).count() or edges.exceptAll(small).limit(1).count()
-        edges = small
-        if not changed:
+        before, state, edges = state, small.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first(), small
+        if state == before:
             roots = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
             return roots.unionAll(edges.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()

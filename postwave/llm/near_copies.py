@@ -10,9 +10,9 @@ more. Classes are the connected components; equal texts are always one class, al
 2. A text can only have a link if 0.8 of its weight lies in shingles of two texts or more; others are done. For each that
    is left, 30 consistent weighted samples give ten band keys of three samples: a pair at 0.8 shares a band in 99.9 % of
    cases, one at 0.9 in all but one of 100,000.
-3. In a band, texts are compared with the band's least text by their exact weights; those that differ go on to the least
-   of themselves, and so on until none is left, so a group of n copies costs n comparisons and not n squared. A text that
-   many are compared with is repeated once for 256 of them.
+3. In a band, texts are compared by their exact weights with one leader among them; those without a link to it go on to
+   four leaders of themselves, then sixteen, until none is left, so a group of n copies costs n comparisons and not n
+   squared. A leader that many are compared with is repeated once for 256 of them.
 4. Components of the links, then the least doc_id of each class.
 
 Null counts as empty; ties and repeated rows fall in one class; an empty table gives an empty one; a class in which every
@@ -32,6 +32,7 @@ SIMILARITY = 0.8
 BANDS = 10
 ROWS = 3
 PER_COPY = 256  # comparisons that one repetition of a compared text serves
+MORE_LEADERS = 4
 CANDIDATES = "fp string, total double, bands array<bigint>, hashes binary, weights binary"
 
 
@@ -196,22 +197,29 @@ def compare(pairs, vectors, similarity):
 
 
 def links(vectors, similarity=SIMILARITY):
-    """(a, b) for linked texts: in each band, compared with the least text, the rest again with the least of the rest."""
+    """(a, b) for linked texts, found by comparing the texts of a band with leaders among them.
+
+    A round takes one leader from each salt of a band and compares all others with them. Who has a link to a leader is done,
+    as are the leaders; the rest goes on with four times as many leaders, until nobody is left.
+    """
     bands = vectors.select("fp", F.explode("bands").alias("band"))
-    shared = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("band")
-    open_, tested = materialize(bands.join(shared, "band"), "bands"), None
+    several = lambda rows: rows.join(rows.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("band"), "band")
+    open_, tested, salts = materialize(several(bands), "bands"), None, 1
     while True:
-        least = open_.groupBy("band").agg(F.min("fp").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-        rest = materialize(open_.join(least.drop("n"), "band").filter("fp <> a").withColumnRenamed("fp", "b"), "bands")
-        pairs = rest.select("a", "b").distinct()
+        salt = F.pmod(F.xxhash64("fp"), F.lit(salts))
+        leaders = materialize(open_.groupBy("band", salt.alias("salt")).agg(F.min("fp").alias("a")).select("band", "a"), "leaders")
+        met = open_.join(leaders, "band").filter("fp <> a").select("band", "a", F.col("fp").alias("b"))
+        pairs = met.select("a", "b").distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        fresh = materialize(compare(pairs, vectors, similarity), "links")
-        tested = fresh if tested is None else tested.unionAll(fresh)
-        failed = tested.filter(~F.col("linked")).select("a", "b")
-        open_ = materialize(rest.join(failed, ["a", "b"], "left_semi").select(F.col("b").alias("fp"), "band"), "bands")
+        fresh = compare(pairs, vectors, similarity)
+        tested = materialize(fresh if tested is None else tested.unionAll(fresh), "links")
+        done = met.join(tested.filter("linked"), ["a", "b"], "left_semi").select("band", F.col("b").alias("fp"))
+        done = done.unionAll(leaders.select("band", F.col("a").alias("fp")))
+        open_ = materialize(several(open_.join(done, ["band", "fp"], "left_anti")), "bands")
         if open_.isEmpty():
             return tested.filter("linked").select("a", "b")
+        salts *= MORE_LEADERS
 
 
 def fingerprint_roots(docs, similarity=SIMILARITY, bands=BANDS, rows=ROWS, n=SHINGLE):

@@ -26,6 +26,7 @@ from ..session import materialize
 
 RANGE_BYTES = 8 << 20  # bytes of text that a range of doc_id has on average
 TABLES = 3
+PART_DIGESTS = 1 << 17  # digests that a partition has on average
 FIRST_CELLS = 4
 GROWTH = 4
 ROUNDS = 8
@@ -85,7 +86,8 @@ def versions(docs):
 
 def elements(table, names):
     """(row, version, key) of the different elements of the versions, kept in partitions by row."""
-    rows = table.repartition("row")
+    digests = table.agg(F.sum(sum(F.size(n) for n in names))).first()[0] or 0
+    rows = table.repartition(max(1, -(-digests // PART_DIGESTS)), "row")
     named = F.explode(F.array(*[F.struct(F.lit(i).alias("version"), F.col(n).alias("digests")) for i, n in enumerate(names)])).alias("v")
     rows = rows.select("row", named).select("row", "v.version", F.explode("v.digests").alias("digest"))
     counted = rows.groupBy("row", "version", "digest").agg(F.count(F.lit(1)).alias("times"))
