@@ -33,7 +33,7 @@ BANDS = 10
 ROWS = 3
 PER_COPY = 256  # comparisons that one repetition of a compared text serves
 MORE_LEADERS = 4
-CANDIDATES = "fp string, total double, bands array<bigint>, hashes binary, weights binary"
+CANDIDATES = "fp string, common double, bands array<bigint>, hashes binary, weights binary"
 
 
 def fingerprint(text):
@@ -137,7 +137,10 @@ def band_keys(drawn, rows):
 
 
 def candidates(texts, totals, similarity=SIMILARITY, bands=BANDS, rows=ROWS, n=SHINGLE):
-    """``CANDIDATES`` rows: the texts that share enough weight to have a link, with band keys and weighted shingles."""
+    """``CANDIDATES`` rows: the texts that share enough weight to have a link, with band keys and weighted shingles.
+
+    common: the mean log of the document frequency of the text's shingles, by weight.
+    """
 
     def sign(table, back):
         table = different(table)
@@ -148,6 +151,7 @@ def candidates(texts, totals, similarity=SIMILARITY, bands=BANDS, rows=ROWS, n=S
         weights = times * (1 + np.log((number + 1) / (df + 1)) / (2 * np.log(number + 1)))
         total = np.bincount(at, weights=weights, minlength=table.num_rows)
         shared = np.bincount(at, weights=weights * (df > 1), minlength=table.num_rows)
+        common = np.bincount(at, weights=weights * np.log(df), minlength=table.num_rows) / np.maximum(total, 1e-12)
         open_ = np.flatnonzero((total > 0) & (shared >= similarity * total - 1e-9))
         kept = np.isin(at, open_)
         keys, weights, at = keys[kept], weights[kept], at[kept]
@@ -157,7 +161,7 @@ def candidates(texts, totals, similarity=SIMILARITY, bands=BANDS, rows=ROWS, n=S
         return pa.table(
             {
                 "fp": table.column("fp").take(pa.array(open_)),
-                "total": pa.array(total[open_]),
+                "common": pa.array(common[open_]),
                 "bands": pa.array(list(band_keys(drawn, rows).T.astype(np.int64)), pa.list_(pa.int64())),
                 "hashes": pa.array([keys[i:j].tobytes() for i, j in cuts], pa.binary()),
                 "weights": pa.array([weights[i:j].tobytes() for i, j in cuts], pa.binary()),
@@ -199,15 +203,16 @@ def compare(pairs, vectors, similarity):
 def links(vectors, similarity=SIMILARITY):
     """(a, b) for linked texts, found by comparing the texts of a band with leaders among them.
 
-    A round takes one leader from each salt of a band and compares all others with them. Who has a link to a leader is done,
-    as are the leaders; the rest goes on with four times as many leaders, until nobody is left.
+    A round takes one leader from each salt of a band, the text whose shingles the most texts have, and compares all others
+    with them: copies that were edited apart differ more from each other than from what they have in common. Who has a link
+    to a leader is done, as are the leaders; the rest goes on with four times as many leaders, until nobody is left.
     """
-    bands = vectors.select("fp", F.explode("bands").alias("band"))
+    bands = vectors.select("fp", "common", F.explode("bands").alias("band"))
     several = lambda rows: rows.join(rows.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("band"), "band")
     open_, tested, salts = materialize(several(bands), "bands"), None, 1
     while True:
         salt = F.pmod(F.xxhash64("fp"), F.lit(salts))
-        leaders = materialize(open_.groupBy("band", salt.alias("salt")).agg(F.min("fp").alias("a")).select("band", "a"), "leaders")
+        leaders = materialize(open_.groupBy("band", salt.alias("salt")).agg(F.max(F.struct("common", "fp")).alias("most")).select("band", F.col("most.fp").alias("a")), "leaders")
         met = open_.join(leaders, "band").filter("fp <> a").select("band", "a", F.col("fp").alias("b"))
         pairs = met.select("a", "b").distinct()
         if tested is not None:
@@ -247,6 +252,7 @@ def drop_copies(docs, similarity=SIMILARITY, bands=BANDS, rows=ROWS, n=SHINGLE):
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("best")
     kept = rooted.groupBy(F.coalesce("root", "fp").alias("root")).agg(best).select("best.doc_id", "best.fp")
     kept = kept.select(F.struct(F.col("doc_id"), F.col("fp")).alias("kept_row"))
-    row = F.struct(docs["doc_id"].alias("doc_id"), fingerprint(docs["text"]).alias("fp"))
-    same = docs.withColumn("own_row", row).join(kept, F.col("own_row").eqNullSafe(F.col("kept_row")), "left_semi")
-    return same.dropDuplicates(["own_row"]).select(*[docs[c] for c in docs.columns])
+    row = F.struct(docs["doc_id"].alias("doc_id"), fingerprint(docs["text"]).alias("fp")).alias("own_row")
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("document"), row)
+    same = rows.join(kept, F.col("own_row").eqNullSafe(F.col("kept_row")), "left_semi")
+    return same.dropDuplicates(["own_row"]).select("document.*")
