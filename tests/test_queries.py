@@ -5,7 +5,8 @@ import pytest
 import __spark_entry__ as contract
 from check import spark_rows, sql_rows
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES = contract.BATCH_QUERIES | contract.STREAM_QUERIES
+SQL = contract.BATCH_SQL | contract.STREAM_SQL
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
