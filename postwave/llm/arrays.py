@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE = 4 << 20  # bytes of text that are worked on at once
+PIECE = 1 << 20  # bytes of text that are worked on at once
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 WORD = np.zeros(256, dtype=bool)

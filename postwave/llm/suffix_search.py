@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from . import arrays
 
 WINDOW = 10
+SHARD_BYTES = 4 << 20
 BLOCK_WORDS = 1 << 20  # words of test items that a task holds at once (about 30 MB)
 ITEM_WORDS = "item_id string, words binary"
 MATCHES = "doc_id bigint, start bigint, length bigint, item_id string, item_start bigint"
@@ -188,7 +189,7 @@ def block_hits(docs, tests):
     """``HITS`` of the documents for one block of tests."""
 
     def find(batches):
-        for piece in arrays.pieces(batches):
+        for piece in arrays.pieces(batches, limit=SHARD_BYTES):
             shard = Shard(piece.column("text"), tests)
             words, pairs = shard.hits(tests)
             row = shard.rows[words]
@@ -235,7 +236,7 @@ def matches(docs, items, least=WINDOW, block_words=BLOCK_WORDS):
         tests = Tests(block, least)
 
         def find(batches):
-            for piece in arrays.pieces(batches):
+            for piece in arrays.pieces(batches, limit=SHARD_BYTES):
                 row, start, length, item, item_start = Shard(piece.column("text"), tests).matches(tests, least)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -272,7 +273,7 @@ def clean_documents(docs, items, window=WINDOW, block_words=BLOCK_WORDS):
         tests = Tests(block, window)
 
         def clean(batches, tests=tests):
-            for piece in arrays.pieces(batches):
+            for piece in arrays.pieces(batches, limit=SHARD_BYTES):
                 shard = Shard(piece.column("text"), tests)
                 keep = np.ones(piece.num_rows, dtype=bool)
                 keep[shard.rows[shard.hits(tests)[0]]] = False

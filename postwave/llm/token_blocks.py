@@ -42,7 +42,7 @@ SHARD_BYTES = 8 << 20  # bytes of text a shard has on average
 SECTION = BLOCK << 11  # ids that are packed at once
 SHARDS_PER_GROUP = 1000
 END_ID = 0
-MOST_KNOWN = 2_000_000  # segments a worker keeps the ids of
+MOST_KNOWN = 1_000_000  # segments a worker keeps the ids of
 
 SHARD_SCHEMA = (
     "shard int, doc_ids array<bigint>, lengths binary, n_tokens bigint, minima binary, widths binary, starts binary, "
