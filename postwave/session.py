@@ -1,5 +1,6 @@
 """Session defaults and the shared work folder."""
 
+import re
 import tempfile
 import uuid
 from functools import lru_cache
@@ -37,7 +38,7 @@ def shared_dir(spark, name):
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         base = local_dir()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
