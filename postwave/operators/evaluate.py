@@ -49,11 +49,11 @@ def area_under_roc(scores, prediction="prediction", label="label"):
         .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.sum("pairs").alias("pairs"))
     )
     below = F.sum("neg").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    won = F.col("pairs") + F.col("pos") * (below - F.col("neg"))
+    won = F.col("pairs") + F.col("pos").cast("double") * (below - F.col("neg"))
     pos, neg = F.sum("pos"), F.sum("neg")
     area = (
         F.when(pos.isNull(), F.lit(NAN)).when(neg == 0, F.lit(1.0)).when(pos == 0, F.lit(0.0))
-        .otherwise(F.sum("won") / (pos * neg))
+        .otherwise(F.sum("won") / (pos.cast("double") * neg))
     )
     return totals.select("pos", "neg", won.alias("won")).agg(area.alias("auc"))
 
