@@ -6,7 +6,7 @@ minimum in as few bits as serve 90 % of them; a larger difference keeps its low
 exception list. The table of a format's files has one row a shard:
 
 ==============  ============================================================================================
-shard           number of the shard; shards hold ascending ranges of doc_id
+shard           number of the shard: its task above 32 bits, its place there below; they hold ascending ranges of doc_id
 doc_ids         the documents' ids, in order (a list; null allowed)
 lengths         uint32 little endian: ids of each document, with the end id
 n_tokens        ids in the shard
@@ -19,7 +19,8 @@ positions       uint8: place of each exception in its block
 patches         uint32: the high bits of each exception
 ==============  ============================================================================================
 
-Rows go through Spark's own Parquet writer, which works on any store, commits whole tasks only and so survives lost
+A task writes its shards one after the other and holds one at a time, however many copies of a row its range has. Rows go
+through Spark's own Parquet writer, which works on any store, commits whole tasks only and so survives lost
 executors. A block can be read alone: ``starts`` finds its bits, running sums of ``n_exceptions`` its exceptions.
 
 Null and empty texts have the end id alone; repeated rows stay; an empty table gives no shard; other columns are ignored.
@@ -30,6 +31,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -38,14 +40,15 @@ from . import arrays
 
 BLOCK = 128
 PERCENTILE = 90
-SHARD_BYTES = 8 << 20  # bytes of text a shard has on average
+SHARD_BYTES = 2 << 20  # bytes of text after which a shard ends
+SHARDS_PER_TASK = 4
 SECTION = BLOCK << 11  # ids that are packed at once
-SHARDS_PER_GROUP = 1000
+TASKS_PER_GROUP = 1000
 END_ID = 0
-MOST_KNOWN = 1_000_000  # segments a worker keeps the ids of
+MOST_KNOWN = 500_000  # segments a worker keeps the ids of
 
 SHARD_SCHEMA = (
-    "shard int, doc_ids array<bigint>, lengths binary, n_tokens bigint, minima binary, widths binary, starts binary, "
+    "shard bigint, doc_ids array<bigint>, lengths binary, n_tokens bigint, minima binary, widths binary, starts binary, "
     "packed binary, n_exceptions binary, positions binary, patches binary"
 )
 _tokenizers, _known = {}, {}
@@ -205,7 +208,7 @@ class Known:
         self.clear()
 
     def clear(self):
-        self.keys, self.base, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.keys, self.base, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
 
     def find(self, keys):
@@ -223,7 +226,7 @@ class Known:
         order = np.argsort(merged, kind="stable")
         self.keys = merged[order]
         self.base = np.concatenate([self.base, base])[order]
-        self.size = np.concatenate([self.size, size])[order]
+        self.size = np.concatenate([self.size, size.astype(np.int32)])[order]
 
     def learn(self, data, starts, ends, keys):
         """Encode the segments and keep their ids.
@@ -278,40 +281,50 @@ def encode_texts(column, known):
     return out, lengths
 
 
-def sorted_shards(docs, shard_bytes=SHARD_BYTES):
-    """(doc_id, text) in partitions by ranges of doc_id, sorted, with about ``shard_bytes`` bytes of text each."""
+def sorted_ranges(docs, shard_bytes=SHARD_BYTES):
+    """(doc_id, text) in partitions by ranges of doc_id, sorted, with text for about ``SHARDS_PER_TASK`` shards each."""
     docs = docs.select("doc_id", "text")
     size = docs.agg(F.sum(F.octet_length("text")).alias("size"), F.count(F.lit(1)).alias("n")).first()
-    shards = max(1, min(size.n, -(-(size.size or 0) // shard_bytes)))
+    tasks = max(1, min(size.n, -(-(size.size or 0) // (SHARDS_PER_TASK * shard_bytes))))
     order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")]
-    return docs.repartitionByRange(shards, *order).sortWithinPartitions(*order, "text")
+    return docs.repartitionByRange(tasks, *order).sortWithinPartitions(*order, "text")
+
+
+def shard_row(number, doc_ids, ids, lengths):
+    """A batch of one row of ``SHARD_SCHEMA``."""
+    ids = np.concatenate(ids)
+    row = {
+        "shard": number,
+        "doc_ids": doc_ids,
+        "lengths": np.concatenate(lengths).astype("<u4").tobytes(),
+        "n_tokens": len(ids),
+    } | encode_blocks(ids)
+    kinds = {"shard": pa.int64(), "doc_ids": pa.list_(pa.int64()), "n_tokens": pa.int64()}
+    schema = pa.schema([(k, kinds.get(k, pa.binary())) for k in row])
+    return pa.RecordBatch.from_pylist([row], schema=schema)
 
 
 def encode(docs, tokenizer_path, shard_bytes=SHARD_BYTES):
-    """One row of ``SHARD_SCHEMA`` for each partition of sorted documents."""
+    """Rows of ``SHARD_SCHEMA`` from each partition of sorted documents."""
 
     def write(batches):
         from pyspark import TaskContext
 
-        known, ids, lengths, doc_ids = known_segments(tokenizer_path), [], [], []
-        for piece in arrays.pieces(batches):
+        known, number = known_segments(tokenizer_path), TaskContext.get().partitionId() << 32
+        doc_ids, ids, lengths, held = [], [], [], 0
+        for piece in arrays.pieces(batches, limit=min(arrays.PIECE, shard_bytes)):
             found, size = encode_texts(piece.column("text"), known)
             ids.append(found)
             lengths.append(size)
             doc_ids += piece.column("doc_id").to_pylist()
+            held += pc.sum(pc.binary_length(piece.column("text"))).as_py() or 0
+            if held >= shard_bytes:
+                yield shard_row(number, doc_ids, ids, lengths)
+                doc_ids, ids, lengths, held, number = [], [], [], 0, number + 1
         if doc_ids:
-            ids = np.concatenate(ids)
-            row = {
-                "shard": TaskContext.get().partitionId(),
-                "doc_ids": doc_ids,
-                "lengths": np.concatenate(lengths).astype("<u4").tobytes(),
-                "n_tokens": len(ids),
-            } | encode_blocks(ids)
-            kinds = {"shard": pa.int32(), "doc_ids": pa.list_(pa.int64()), "n_tokens": pa.int64()}
-            schema = pa.schema([(k, kinds.get(k, pa.binary())) for k in row])
-            yield pa.RecordBatch.from_pylist([row], schema=schema)
+            yield shard_row(number, doc_ids, ids, lengths)
 
-    return sorted_shards(docs, shard_bytes).mapInArrow(write, SHARD_SCHEMA)
+    return sorted_ranges(docs, shard_bytes).mapInArrow(write, SHARD_SCHEMA)
 
 
 def write_tokens(docs, tokenizer_path, path, shard_bytes=SHARD_BYTES):
@@ -320,8 +333,8 @@ def write_tokens(docs, tokenizer_path, path, shard_bytes=SHARD_BYTES):
 
 
 def shard_starts(shards):
-    """(shard, shard_start): ids before each shard. Sums of groups of shards first, so no task orders all shards."""
-    group = F.floor(F.col("shard") / SHARDS_PER_GROUP)
+    """(shard, shard_start): ids before each shard. Sums of groups of tasks first, so no task orders all shards."""
+    group = F.floor(F.shiftright("shard", 32) / TASKS_PER_GROUP)
     size = shards.select("shard", "n_tokens", group.alias("shard_group"))
     before = Window.orderBy("shard_group").rowsBetween(Window.unboundedPreceding, -1)
     groups = size.groupBy("shard_group").agg(F.sum("n_tokens").alias("n"))
@@ -337,14 +350,16 @@ def read_tokens(spark, path):
 
     def read(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):
+                # A shard at a time: the others of the batch stay in Arrow's buffers.
+                row = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
                 ids = decode_blocks(row)[: row["n_tokens"]].astype("<u4")
                 lengths = np.frombuffer(row["lengths"], "<u4").astype(np.int64)
                 ends = np.cumsum(lengths)
                 sums = [zlib.crc32(ids[e - n : e]) for e, n in zip(ends.tolist(), lengths.tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([row["shard"]] * len(lengths), pa.int32()),
+                        pa.array([row["shard"]] * len(lengths), pa.int64()),
                         pa.array(row["doc_ids"], pa.int64()),
                         pa.array(ends - lengths, pa.int64()),
                         pa.array(lengths, pa.int64()),
@@ -353,7 +368,7 @@ def read_tokens(spark, path):
                     names=["shard", "doc_id", "inner", "n_tokens", "ids_crc32"],
                 )
 
-    found = shards.mapInArrow(read, "shard int, doc_id bigint, inner bigint, n_tokens bigint, ids_crc32 bigint")
+    found = shards.mapInArrow(read, "shard bigint, doc_id bigint, inner bigint, n_tokens bigint, ids_crc32 bigint")
     start = (F.col("shard_start") + F.col("inner")).alias("start")
     return found.join(shard_starts(shards), "shard").select("doc_id", start, "n_tokens", "ids_crc32")
 
