@@ -11,8 +11,9 @@ more. Classes are the connected components; equal texts are always one class, al
    is left, 30 consistent weighted samples give ten band keys of three samples: a pair at 0.8 shares a band in 99.9 % of
    cases, one at 0.9 in all but one of 100,000.
 3. In a band, texts are compared by their exact weights with one leader among them; those without a link to it go on to
-   four leaders of themselves, then sixteen, until none is left, so a group of n copies costs n comparisons and not n
-   squared. A leader that many are compared with is repeated once for 256 of them.
+   four leaders of themselves, then sixteen, until none is left. A group of n copies that are linked to a leader costs n
+   comparisons; texts that share a band and have no link are in the end compared with most of each other. A leader that
+   many are compared with travels once to each slice of them.
 4. Components of the links, then the least doc_id of each class.
 
 Null counts as empty; ties and repeated rows fall in one class; an empty table gives an empty one; a class in which every
@@ -31,7 +32,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 10
 ROWS = 3
-PER_COPY = 256  # comparisons that one repetition of a compared text serves
+SLICE_BYTES = 4 << 20  # weighted shingles of the texts that a slice compares
 MORE_LEADERS = 4
 CANDIDATES = "fp string, common double, bands array<bigint>, hashes binary, weights binary"
 
@@ -179,25 +180,29 @@ def weighted_similarity(keys, weights, other_keys, other_weights):
     return least / (weights.sum() + other_weights.sum() - least)
 
 
-def compare(pairs, vectors, similarity):
-    """(a, b, linked) for pairs of fps: a is repeated once for each 256 pairs, so no task gathers all of a hot text's."""
-    chunks = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PER_COPY).alias("chunks"))
-    dealt = pairs.join(chunks, "a").withColumn("chunk", F.pmod(F.xxhash64("b"), F.col("chunks")))
-    left = vectors.select(F.col("fp").alias("a"), F.col("hashes").alias("a_hashes"), F.col("weights").alias("a_weights"))
-    left = left.join(chunks, "a").withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
-    right = vectors.select(F.col("fp").alias("b"), F.col("hashes").alias("b_hashes"), F.col("weights").alias("b_weights"))
-    rows = dealt.drop("chunks").join(right, "b").join(left.drop("chunks"), ["a", "chunk"])
+def compare(pairs, vectors, similarity, n_slices):
+    """(a, b, linked) for pairs of fps.
 
-    def verify(batches):
-        names = ("a_hashes", "a_weights", "b_hashes", "b_weights")
-        for batch in batches:
-            linked = []
-            for row in zip(*(batch.column(name) for name in names)):
-                parts = [np.frombuffer(x.as_buffer(), k) for x, k in zip(row, ("u8", "f8") * 2)]
-                linked.append(weighted_similarity(*parts) >= similarity - 1e-9)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
+    Pairs go to slices by b. A slice gets each bag it needs once, so a hot a travels at most once a slice, whatever the
+    number of its pairs, and b once, whatever the number of its bands.
+    """
+    dealt = pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.lit(n_slices)).cast("int").alias("slice"))
+    needed = dealt.select("slice", F.inline(F.array(F.struct(F.col("a").alias("fp")), F.struct(F.col("b").alias("fp"))))).distinct()
+    bags_ = needed.join(vectors.select("fp", "hashes", "weights"), "fp").select(F.col("slice").alias("of_slice"), "fp", "hashes", "weights")
+
+    def verify(pairs, table):
+        place = {fp: i for i, fp in enumerate(table.column("fp").to_pylist())}
+        columns = [(table.column(name), kind) for name, kind in (("hashes", "u8"), ("weights", "f8"))]
+        bag = lambda fp: [np.frombuffer(column[place[fp]].as_buffer(), kind) for column, kind in columns]
+        pairs = pairs.sort_by("a").select(["a", "b"])
+        linked, last, own = [], None, None
+        for a, b in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist()):
+            if a != last:
+                last, own = a, bag(a)
+            linked.append(weighted_similarity(*own, *bag(b)) >= similarity - 1e-9)
+        return pairs.append_column("linked", pa.array(linked, pa.bool_()))
 
-    return rows.select("a", "b", "a_hashes", "a_weights", "b_hashes", "b_weights").mapInArrow(verify, "a string, b string, linked boolean")
+    return dealt.groupBy("slice").cogroup(bags_.groupBy("of_slice")).applyInArrow(verify, "a string, b string, linked boolean")
 
 
 def links(vectors, similarity=SIMILARITY):
@@ -209,6 +214,8 @@ def links(vectors, similarity=SIMILARITY):
     """
     bands = vectors.select("fp", "common", F.explode("bands").alias("band"))
     several = lambda rows: rows.join(rows.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("band"), "band")
+    size = vectors.agg(F.sum(F.octet_length("hashes") + F.octet_length("weights"))).first()[0] or 0
+    n_slices = max(int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // SLICE_BYTES))
     open_, tested, salts = materialize(several(bands), "bands"), None, 1
     while True:
         salt = F.pmod(F.xxhash64("fp"), F.lit(salts))
@@ -217,8 +224,8 @@ def links(vectors, similarity=SIMILARITY):
         pairs = met.select("a", "b").distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        fresh = compare(pairs, vectors, similarity)
-        tested = materialize(fresh if tested is None else tested.unionAll(fresh), "links")
+        fresh = materialize(compare(pairs, vectors, similarity, n_slices), "links")
+        tested = fresh if tested is None else tested.unionAll(fresh)
         done = met.join(tested.filter("linked"), ["a", "b"], "left_semi").select("band", F.col("b").alias("fp"))
         done = done.unionAll(leaders.select("band", F.col("a").alias("fp")))
         open_ = materialize(several(open_.join(done, ["band", "fp"], "left_anti")), "bands")
