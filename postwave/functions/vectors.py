@@ -6,8 +6,6 @@ weights, model weights) have a fixed width and enter the plan as one constant-fo
 
 from pyspark.sql import functions as F
 
-VECTOR = "struct<idx:array<int>,value:array<double>>"
-
 
 def hash_index(token, width):
     """Bucket of a token: murmur3 with seed 42, non-negative modulo the width."""

@@ -6,10 +6,6 @@ from pyspark.sql import functions as F
 from ..functions.sentiment import NEGATIVE, POSITIVE
 from ..schema import CORPUS_SIZE
 
-# A (class, batch) list is broadcast only up to this quota; it has at most one row per wanted post.
-BROADCAST_QUOTA = 100_000
-# Up to this rank Spark drops the rest of a group before the shuffle.
-PRUNED_RANK = 1000
 # Running totals sort at most this many batches in one group.
 BATCHES_PER_CHUNK = 100_000
 
@@ -37,27 +33,17 @@ def running_totals(sizes, keys, values):
 def kept_batches(labelled, total=CORPUS_SIZE):
     """(sentiment, batch): the batches each class takes; it takes them whole while it holds fewer than total / 2 rows.
 
-    Every listed batch has a row, so the first ``quota`` batches of a class always suffice; for the usual quotas a rank
-    filter drops the rest before the shuffle.
+    One way serves every quota: chunked running totals, so no task sorts all batches of a class.
     """
     quota = total // 2
     sizes = labelled.groupBy("sentiment", "batch").agg(F.count("*").alias("count"))
-    if quota <= PRUNED_RANK:
-        by_batch = Window.partitionBy("sentiment").orderBy("batch")
-        first = sizes.withColumn("nth", F.row_number().over(by_batch)).filter(F.col("nth") <= quota)
-        held = F.sum("count").over(by_batch.rowsBetween(Window.unboundedPreceding, 0))
-        sums = first.withColumn("count_after", held)
-    else:
-        sums = running_totals(sizes, ["sentiment"], ["count"])
+    sums = running_totals(sizes, ["sentiment"], ["count"])
     return sums.filter(F.col("count_after") - F.col("count") < quota).select("sentiment", "batch")
 
 
 def balanced_corpus(labelled, total=CORPUS_SIZE):
     """The rows of the kept batches, both classes together."""
-    kept = kept_batches(labelled, total)
-    if total // 2 <= BROADCAST_QUOTA:
-        kept = F.broadcast(kept)
-    return labelled.join(kept, ["sentiment", "batch"], "left_semi")
+    return labelled.join(kept_batches(labelled, total), ["sentiment", "batch"], "left_semi")
 
 
 def corpus_progress(labelled, total=CORPUS_SIZE):

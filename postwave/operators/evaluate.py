@@ -4,7 +4,6 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 NAN = float("nan")
-SCORE_RANGES = 256
 
 
 def accuracy(prediction="prediction", label="label"):
@@ -24,19 +23,20 @@ def hard_auc(prediction="prediction", label="label"):
     return F.coalesce(one_class, (tpr + tnr) / 2)
 
 
-def area_under_roc(scores, prediction="prediction", label="label"):
+def area_under_roc(scores, prediction="prediction", label="label", ranges=None):
     """One row, ``auc``, for any scores, with ties counted half.
 
     Equal scores become one row first. Distinct scores are then cut into ranges of about equal size; positives are
-    compared with the negatives of lower ranges through the range totals (at most ``SCORE_RANGES`` + 1 rows) and within
-    a range by a running sum, so no task sorts the whole table.
+    compared with the negatives of lower ranges through the range totals and within a range by a running sum, so no task
+    sorts the whole table. ``ranges`` is the session's number of shuffle partitions by default, so it grows with them.
     """
+    ranges = max(2, ranges or int(scores.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     y = F.col(label) > 0.5
     by_score = scores.groupBy(F.col(prediction).alias("score")).agg(
         F.count_if(y).alias("pos"), F.count_if(~y).alias("neg")
     )
     cuts = by_score.agg(
-        F.percentile_approx("score", [i / SCORE_RANGES for i in range(1, SCORE_RANGES)], 10_000).alias("cuts")
+        F.percentile_approx("score", [i / ranges for i in range(1, ranges)], max(10_000, 100 * ranges)).alias("cuts")
     )
     placed = by_score.withColumn("cuts", cuts.scalar()).select(
         "score", "pos", "neg", F.size(F.filter("cuts", lambda c: c < F.col("score"))).alias("part")

@@ -72,10 +72,10 @@ def with_prediction(df, model, features="features", out="prediction"):
     return df.withColumn(out, F.when(p > 0.5, F.lit(1.0)).otherwise(F.lit(0.0)))
 
 
-def scored_posts(df, model, text="text", features="features"):
-    """(tweet, sentiment) with the sentiment as text, '1.0' or '0.0'."""
+def scored_posts(df, model, text="text", features="features", keep=()):
+    """(tweet, sentiment) with the sentiment as text, '1.0' or '0.0', after the columns ``keep`` names."""
     scored = with_prediction(df, model, features)
-    return scored.select(F.col(text).alias("tweet"), F.col("prediction").cast("string").alias("sentiment"))
+    return scored.select(*keep, F.col(text).alias("tweet"), F.col("prediction").cast("string").alias("sentiment"))
 
 
 def weights_table(spark, model):

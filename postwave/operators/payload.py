@@ -17,9 +17,9 @@ def ordered_payload(ranked, *keys):
 
 
 def set_payload(top):
-    """One row: the set of (hashtag, count), in no order, below the key the collecting expression names."""
+    """One row: the set of (hashtag, count), sorted by name, below the key the collecting expression names."""
     one = top.select(F.struct("hashtag", "count").alias("hashtag_and_count"))
-    gathered = one.agg(F.collect_set("hashtag_and_count").alias("collect_set(hashtag_and_count)"))
+    gathered = one.agg(F.sort_array(F.collect_set("hashtag_and_count")).alias("collect_set(hashtag_and_count)"))
     return gathered.select(F.to_json(F.struct("*")).alias("value"))
 
 
@@ -28,6 +28,7 @@ def statistics_json(statistics):
 
 
 def classification_json(scored):
-    """One row for a searched, hence bounded, set of scored posts."""
-    rows = F.array_sort(F.collect_list(F.struct("tweet", "sentiment")))
-    return scored.agg(F.to_json(F.struct(rows.alias("onlineModelResult"))).alias("value"))
+    """One row for a searched, hence bounded, set of scored posts, by their ``rank`` in the search."""
+    rows = F.array_sort(F.collect_list(F.struct("rank", "tweet", "sentiment")))
+    posts = F.transform(rows, lambda r: F.struct(r["tweet"].alias("tweet"), r["sentiment"].alias("sentiment")))
+    return scored.agg(F.to_json(F.struct(posts.alias("onlineModelResult"))).alias("value"))

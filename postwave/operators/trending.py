@@ -37,22 +37,23 @@ def top_hashtags(counts, k=TOP_K):
     return counts.select("hashtag", "count").orderBy(F.desc("count"), "hashtag").limit(k)
 
 
-def window_end_of(posts, slide=SLIDE_SECONDS):
-    """End of the last window, as a scalar subquery: the first grid point after the newest post.
+def last_window_start(posts, window=WINDOW_SECONDS, slide=SLIDE_SECONDS):
+    """Start of the last window, as a scalar subquery; it ends at the first grid point after the newest post.
 
-    It reads the time column of the posts only.
+    The subquery reads the time column only. It returns the bound as a timestamp, ready for use: an expression around it
+    would keep the filter from the scan, and row groups of the whole history would be read.
     """
-    newest = posts.agg((F.floor(F.unix_seconds(F.max("created_at")) / slide) * slide + slide).alias("end"))
-    return newest.scalar()
+    end = F.floor(F.unix_seconds(F.max("created_at")) / slide) * slide + slide
+    return posts.agg(F.timestamp_seconds(end - window).alias("start")).scalar()
 
 
 def since(posts, start):
-    """Posts at or after ``start``, a Column of epoch seconds."""
-    return posts.filter(F.col("created_at") >= F.timestamp_seconds(start))
+    """Posts at or after ``start``, a timestamp Column."""
+    return posts.filter(F.col("created_at") >= start)
 
 
 def before(posts, end):
-    return posts.filter(F.col("created_at") < F.timestamp_seconds(end))
+    return posts.filter(F.col("created_at") < end)
 
 
 def bucket_counts(tagged, slide=SLIDE_SECONDS):

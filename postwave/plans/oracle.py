@@ -311,12 +311,12 @@ def metrics(steps=1, training=TRAINING):
     FROM scored JOIN training USING (post_id))"""
 
 
-FOUND = f"""found AS (SELECT post_id, text FROM posts
+FOUND = f"""found AS (SELECT post_id, t, text FROM posts
   WHERE lang = 'en' AND NOT is_retweet AND contains(lower(text), '{KEYWORD}')
   ORDER BY t DESC, post_id LIMIT {SEARCH_SIZE})"""
 
 CLASSIFIED = f"""{scores()}, {FOUND}, result AS (
-  SELECT text AS tweet, CASE WHEN p = 1 THEN '1.0' ELSE '0.0' END AS sentiment FROM found JOIN scored USING (post_id))"""
+  SELECT t, post_id, text AS tweet, CASE WHEN p = 1 THEN '1.0' ELSE '0.0' END AS sentiment FROM found JOIN scored USING (post_id))"""
 
 # Corpus
 
@@ -353,6 +353,9 @@ BATCH_SQL = {
     "trending_payload_windows": f"""WITH {windows_sql(TAGGED_POSTS, SLIDE)}
       SELECT window_end, '[' || string_agg({PAYLOAD_ITEM}, ',' ORDER BY rank) || ']' AS value
       FROM ranked GROUP BY window_end""",
+    "trending_payload_set": f"""WITH {TOP_NOW}
+      SELECT '{{"collect_set(hashtag_and_count)":[' || string_agg({PAYLOAD_ITEM}, ',' ORDER BY hashtag) || ']}}' AS value
+      FROM top""",
     "trending_languages": f"""WITH {POSTS} SELECT lang, count(*) AS posts FROM posts
       WHERE NOT is_retweet AND lang IN {TRENDING_LANGS} GROUP BY lang""",
     "english_originals": f"""WITH {POSTS} SELECT post_id, user_lang FROM posts
@@ -409,9 +412,9 @@ BATCH_SQL = {
         FROM documents JOIN labels USING (doc_id))
       SELECT round((sum(r) FILTER (quality = 1) - count(*) FILTER (quality = 1) * (count(*) FILTER (quality = 1) + 1) / 2)
         / (count(*) FILTER (quality = 1) * count(*) FILTER (quality = 0)), 6) AS auc FROM ranked""",
-    "classify_keyword": f"WITH {CLASSIFIED} SELECT * FROM result",
+    "classify_keyword": f"WITH {CLASSIFIED} SELECT tweet, sentiment FROM result",
     "classification_payload": f"""WITH {CLASSIFIED} SELECT '{{"onlineModelResult":[' || string_agg(
-      CAST(json_object('tweet', tweet, 'sentiment', sentiment) AS VARCHAR), ',' ORDER BY tweet, sentiment) || ']}}' AS value
+      CAST(json_object('tweet', tweet, 'sentiment', sentiment) AS VARCHAR), ',' ORDER BY t DESC, post_id) || ']}}' AS value
       FROM result""",
 }
 

@@ -1,6 +1,7 @@
 """Sentiment plans: training posts, corpus, features, model, scores."""
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -87,13 +88,14 @@ def evaluate_on(points, trained):
 
 
 def classify_keyword(posts, keyword, trained, featurizer=DEFAULT, size=SEARCH_SIZE, predict=model.scored_posts):
-    """Search, featurize, score: (tweet, sentiment). ``predict`` maps (rows with text and features, model) to those."""
+    """Search, featurize, score: (tweet, sentiment). ``predict`` maps (rows with rank, text, features; model) to those."""
     found = featurizer.tfidf(search(posts, keyword, size), trained.idf)
     return predict(found, trained.model)
 
 
 def classification_result(posts, keyword, trained, featurizer=DEFAULT, size=SEARCH_SIZE):
-    return payload.classification_json(classify_keyword(posts, keyword, trained, featurizer, size))
+    predict = partial(model.scored_posts, keep=["rank"])
+    return payload.classification_json(classify_keyword(posts, keyword, trained, featurizer, size, predict))
 
 
 def with_batch(posts, size=20):

@@ -12,9 +12,9 @@ def trending_now(posts, end=None, window=WINDOW_SECONDS, slide=SLIDE_SECONDS, k=
     The time bound filters the posts before their text is split; nothing is newer than the last window's end.
     """
     if end is None:
-        recent = op.since(posts, op.window_end_of(posts, slide) - window)
+        recent = op.since(posts, op.last_window_start(posts, window, slide))
     else:
-        recent = op.before(op.since(posts, F.lit(end - window)), F.lit(end))
+        recent = op.before(op.since(posts, F.timestamp_seconds(F.lit(end - window))), F.timestamp_seconds(F.lit(end)))
     return op.top_hashtags(op.hashtag_counts(op.tagged_posts(recent)), k)
 
 

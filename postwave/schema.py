@@ -11,28 +11,11 @@ POST_SCHEMA = T.StructType([
     T.StructField("is_retweet", T.BooleanType()),
 ])
 
-HASHTAG_COUNT_SCHEMA = T.StructType([
-    T.StructField("hashtag", T.StringType(), False),
-    T.StructField("count", T.LongType(), False),
-])
-
 LABELLED_POST_SCHEMA = T.StructType([
     T.StructField("text", T.StringType()),
     T.StructField("sentiment", T.DoubleType()),
 ])
 
-SCORED_POST_SCHEMA = T.StructType([
-    T.StructField("tweet", T.StringType()),
-    T.StructField("sentiment", T.StringType()),
-])
-
-STATISTICS_SCHEMA = T.StructType([
-    T.StructField("trainer", T.StringType()),
-    T.StructField("model", T.StringType()),
-    T.StructField("areaUnderRoc", T.DoubleType()),
-    T.StructField("accuracy", T.DoubleType()),
-])
-
 # Defaults every job starts from.
 WINDOW_SECONDS = 3600
 SLIDE_SECONDS = 5

@@ -1,5 +1,6 @@
 """Post sources: batch and stream readers, tracked and searched posts, corpus files."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.sentiment import contains_any
@@ -45,9 +46,11 @@ def track(posts, terms=TRACK_TERMS):
 
 
 def search(posts, keyword, size=SEARCH_SIZE):
-    """The newest English originals that mention the keyword in any case, at most ``size``."""
+    """(rank, text): the newest English originals that mention the keyword in any case, at most ``size``, newest first."""
     found = (F.col("lang") == "en") & ~F.col("is_retweet") & F.lower("text").contains(keyword.lower())
-    return posts.filter(found).orderBy(F.desc("created_at"), "post_id").limit(size).select("text")
+    newest = [F.desc("created_at"), F.col("post_id")]
+    rank = F.row_number().over(Window.orderBy(*newest))
+    return posts.filter(found).orderBy(*newest).limit(size).select(rank.alias("rank"), "text")
 
 
 def fetch_response(posts, keyword, size=SEARCH_SIZE):

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from ..functions.sentiment import NEGATIVE, POSITIVE
 from ..plans.sentiment import training_posts
-from ..schema import CORPUS_SIZE, TRAINING_TRIGGER
+from ..schema import CORPUS_SIZE, LABELLED_POST_SCHEMA, TRAINING_TRIGGER
 from ..sources.posts import read_corpus
-from .tables import carried, write_batch
+from .tables import carried, read_batches, write_batch
 
 PROGRESS = "positive bigint, negative bigint, total bigint"
 
@@ -55,8 +55,9 @@ def collect_corpus(posts, work, total=CORPUS_SIZE, trigger=None):
     if not complete.is_set():
         query.awaitTermination()
     query.stop()
-    return read_corpus(posts.sparkSession, f"{work}/corpus")
+    return read_batches(posts.sparkSession, f"{work}/corpus", LABELLED_POST_SCHEMA)
 
 
 def read_progress(spark, work):
-    return spark.read.schema(PROGRESS + ", batch bigint").parquet(f"{work}/progress")
+    """Class sizes after each batch; no rows before the first one."""
+    return read_batches(spark, f"{work}/progress", PROGRESS)

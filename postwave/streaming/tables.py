@@ -1,6 +1,7 @@
 """Per-batch tables: each micro-batch owns one folder and overwrites it, so a replayed batch changes nothing."""
 
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from ..schema import TRENDING_TOPIC
 
@@ -23,6 +24,17 @@ def read_batch(spark, path, batch_id):
         return None
 
 
+def read_batches(spark, path, schema):
+    """The rows of all batches, with their number as ``batch``; an empty table before the first batch."""
+    whole = spark.createDataFrame([], schema).withColumn("batch", F.lit(None).cast("bigint")).schema
+    try:
+        return spark.read.schema(whole).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], whole)
+
+
 def carried(spark, path, batch_id):
     """The one state row the batch before left behind, or None. Every batch writes one, so one small file is read."""
     rows = read_batch(spark, path, batch_id - 1)

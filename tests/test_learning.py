@@ -47,9 +47,7 @@ def test_balanced_corpus(spark, total):
 
 
 @pytest.mark.parametrize("total", [8, 40])
-def test_large_quotas_take_the_same_batches(spark, monkeypatch, total):
-    """Quotas beyond the pruned rank use chunked running totals."""
-    monkeypatch.setattr(corpus, "PRUNED_RANK", 0)
+def test_totals_carry_over_chunks(spark, monkeypatch, total):
     monkeypatch.setattr(corpus, "BATCHES_PER_CHUNK", 7)
     rows, df = labelled(spark, total)
     kept, progress = direct_corpus(rows, total)

@@ -19,7 +19,8 @@ def plan_of(df):
 
 @pytest.fixture(scope="module")
 def posts(spark, samples):
-    """Posts as a table of their own, the way a user would hold them."""
+    """Posts as a table of their own, the way a user would hold them; plans name all filters of a scan."""
+    spark.conf.set("spark.sql.maxMetadataStringLength", 1000)
     path = shared_dir(spark, "posts")
     read_sample_posts(spark, samples).write.parquet(path)
     return read_posts(spark, path)
@@ -29,6 +30,7 @@ def test_trending_scan_is_pruned_and_ends_in_a_top_k(posts):
     plan = plan_of(trending_now(posts))
     assert "TakeOrderedAndProject" in plan
     assert "IsNotNull(created_at), IsNotNull(is_retweet)" in plan and "Not(EqualTo(is_retweet,true))" in plan
+    assert "GreaterThanOrEqual(created_at,ScalarSubquery" in plan
     schemas = {line.split("ReadSchema: ")[1] for line in plan.splitlines() if "ReadSchema: " in line}
     assert schemas == {
         "struct<created_at:timestamp>", "struct<created_at:timestamp,text:string,lang:string,is_retweet:boolean>"
@@ -62,13 +64,44 @@ def test_text_is_prepared_once(posts):
     assert plan_of(token_rows(tokens)).count("split(rtrim") == plan_of(tokens.select("tokens")).count("split(rtrim")
 
 
-def test_corpus_broadcast_is_bounded_by_the_quota(posts):
+@pytest.mark.parametrize("total", [500, 400_000])
+def test_corpus_join_is_left_to_the_planner(posts, total):
     labelled = sentiment.with_batch(sentiment.training_posts(posts))
-    assert "BroadcastHashJoin" in plan_of(corpus.balanced_corpus(labelled, 500))
-    logical = corpus.balanced_corpus(labelled, 4 * corpus.BROADCAST_QUOTA)._jdf.queryExecution().analyzed().toString()
+    logical = corpus.balanced_corpus(labelled, total)._jdf.queryExecution().analyzed().toString()
     assert "strategy=broadcast" not in logical
 
 
+def test_only_the_last_window_is_scanned(spark):
+    """The time bound reaches the row groups of a time-ordered table."""
+    path = shared_dir(spark, "ordered")
+    rows = spark.range(0, 1600, 1, 16).select(
+        F.col("id").alias("post_id"), F.timestamp_seconds(F.col("id") * 600).alias("created_at"), F.lit("a #b").alias("text"),
+        F.lit("en").alias("lang"), F.lit("en").alias("user_lang"), F.lit(False).alias("is_retweet"),
+    )
+    rows.write.parquet(path)
+    top = trending_now(read_posts(spark, path))
+    assert [tuple(r) for r in top.collect()] == [("#b", 6)]
+    text_scans = [line for line in metric_lines(top) if "text" in line[0]]
+    assert text_scans and all(n <= 100 for _, n in text_scans)
+
+
+def metric_lines(df):
+    """(columns, rows read) of each parquet scan that ran."""
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        elif name == "FileSourceScanExec":
+            found.append((node.output().mkString(","), node.metrics().apply("numOutputRows").value()))
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return found
+
+
 def test_spread_leaves_large_inputs_alone(spark):
     many = spark.range(0, 100, 1, 64)
     assert spread(many).rdd.getNumPartitions() == 64
