@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 
 from postwave.functions.tokens import split_words
 from postwave.operators import trending
+from postwave.operators.features import fit_idf
 from postwave.operators.model import LogisticModel, train
-from postwave.plans.sentiment import Featurizer, training_points, training_posts
+from postwave.plans.sentiment import Featurizer, classify_keyword, training_points, training_posts
 from postwave.schema import POST_SCHEMA
 from postwave.session import shared_dir
 from postwave.sources.posts import read_posts, stream_posts, write_corpus, read_corpus, read_labelled_csv
 from postwave.streaming.corpus import collect_corpus, read_progress
 from postwave.streaming.tables import publisher, stop
-from postwave.streaming.training import latest_model, read_metrics, start_training
+from postwave.streaming.training import latest_model, latest_trained, read_metrics, start_training
 from postwave.streaming.trending import read_top, start_trending
 
 BASE = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -151,6 +152,18 @@ def test_training_stream_equals_repeated_training(spark):
     metrics = read_metrics(spark, work).orderBy("version").collect()
     assert [r.version for r in metrics] == [1, 2, 3]
     assert metrics[-1].accuracy > 0.8
+    stored = latest_trained(spark, work)
+    assert stored.model == got and stored.idf == fit_idf(points, width=50)
+    found = classify_keyword(read_posts(spark, source, "json"), "sun", stored, WORDS)
+    assert {r.sentiment for r in found.collect()} == {"1.0"}
+
+
+def test_streams_without_rows(spark, tmp_path):
+    work = shared_dir(spark, "work")
+    corpus = collect_corpus(stream_posts(spark, str(tmp_path), "json"), work, 20, NOW)
+    assert corpus.select("text", "sentiment").collect() == [] and "batch" in corpus.columns
+    assert read_progress(spark, work).collect() == [] and read_metrics(spark, work).collect() == []
+    assert latest_model(spark, work) is None and latest_trained(spark, work) is None
 
 
 def test_a_restart_goes_on_from_the_stored_weights(spark):
