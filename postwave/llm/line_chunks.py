@@ -1,6 +1,14 @@
-"""Repeated runs of lines, found as content-defined chunks and removed from all places but the first.
+"""Repeated runs of lines, removed from all places but the first.
 
-A chunk ends after a line where a rolling hash over that line's and the line before's hash is 0 modulo 3, so its borders
+``passage_summary`` and ``clean_passages`` find every repeated run. Its units are single lines of ten words or 60 bytes and,
+where one of them is shorter, pairs of lines that are not empty, with the empty lines between them. A unit that has an
+earlier place with the same bytes (least doc_id, null last, then place in the text) loses its lines; empty lines between two
+lines that go, go too. A run of two lines or more is covered by its units, so its context doesn't matter. A line goes only
+where it has an earlier place, so the first place of each line stays. Units are compared by two 64-bit hashes and then, those
+that occur more than once, byte by byte.
+
+``summary`` and ``clean`` are the coarser form, which moves less: runs are found as content-defined chunks, so a short
+passage whose borders lie within chunks of its context stays. A chunk ends after a line where a rolling hash over that line's and the line before's hash is 0 modulo 3, so its borders
 depend on the text near them only: what stands before a passage does not shift the chunks within it. Chunks of two lines or
 more are taken into account. Those with the same two 64-bit hashes are compared byte by byte, as the text of a chunk is a
 grouping key; if they differ nowhere, the first (least doc_id, null last, then place in the text) stays and the others go.
@@ -24,6 +32,10 @@ LEAST_LINES = 2
 TEXTS = "chunk_hash bigint, chunk_check bigint, chunk_text binary, n bigint"
 PLACES = "doc_id bigint, text_hash bigint, chunk int, chunk_hash bigint, chunk_check bigint"
 NEWLINE = 10
+LEAST_WORDS = 10  # of a line that counts by itself
+LEAST_BYTES = 60  # the same for scripts that do not part words
+UNITS = "doc_id bigint, text_hash bigint, first int, last int, unit_hash bigint, unit_check bigint"
+UNIT_TEXTS = "unit_hash bigint, unit_check bigint, unit_text binary"
 
 
 def lines(data, offsets):
@@ -36,12 +48,16 @@ def lines(data, offsets):
     return starts, ends, np.searchsorted(starts, offsets).astype(np.int64)
 
 
+def without_ends(data, starts, ends):
+    """Where the lines end without their line end, so the last line of a text is like the same line elsewhere."""
+    return ends - ((ends > starts) & (data[np.maximum(ends, 1) - 1] == NEWLINE)) if len(starts) else ends
+
+
 def chunks(data, offsets, window=WINDOW, modulus=MODULUS):
     """(first line, lines, row, start, end) of each chunk of lines."""
     starts, ends, at = lines(data, offsets)
     rows = arrays.rows_of(at)
-    # The line end is not hashed, so the last line of a text is like the same line elsewhere.
-    plain = ends - ((ends > starts) & (data[np.maximum(ends, 1) - 1] == NEWLINE)) if len(starts) else ends
+    plain = without_ends(data, starts, ends)
     keys = arrays.hashes(data, starts, plain)
     rolled = np.zeros(len(keys), dtype=np.uint64)
     for back in range(window):
@@ -117,7 +133,7 @@ def removals(docs):
 
 
 def cut(text, gone):
-    """(text without the chunks, lines removed); what is left keeps its line ends."""
+    """(text without the chunks, chunks removed, lines removed); what is left keeps its line ends."""
     data = np.frombuffer(text.encode("utf-8"), np.uint8)
     offsets = np.array([0, len(data)], dtype=np.int64)
     first, size, _, start, _, _ = chunks(data, offsets)
@@ -128,13 +144,13 @@ def cut(text, gone):
     left = b"".join([raw[s:e] for s, e in zip(start[kept].tolist(), stop[kept].tolist())])
     if not kept[-1]:
         left = left.removesuffix(b"\n")
-    return left.decode("utf-8"), int(size[~kept].sum())
+    return left.decode("utf-8"), len(gone), int(size[~kept].sum())
 
 
-def clean(docs):
-    """The documents with all columns, their text without repeated chunks, as (document, chunks_removed, lines_removed)."""
+def shortened(docs, gone, cut):
+    """(document, chunks_removed, lines_removed): the documents after ``cut(text, gone)`` where they have a row in ``gone``."""
     # The removals grow with the documents, so they are never broadcast.
-    gone = removals(docs).hint("merge").select(F.struct("doc_id", "text_hash").alias("lost_key"), "gone")
+    gone = gone.hint("merge").select(F.struct("doc_id", "text_hash").alias("lost_key"), "gone")
     own = F.struct(F.col("doc_id"), F.xxhash64("text").alias("text_hash"))
     document = F.struct(*[docs[c] for c in docs.columns])
     rows = docs.select(document.alias("document"), own.alias("own_key"))
@@ -144,22 +160,132 @@ def clean(docs):
 
     def shorten(batches):
         for batch in batches:
-            whole, numbers = batch.column("document"), batch.column("gone").to_pylist()
+            whole, lost = batch.column("document"), batch.column("gone").to_pylist()
             texts = [x for x in whole.field(at).to_pylist()]
-            removed = [0] * len(texts)
-            for i, lost in enumerate(numbers):
-                if lost:
-                    texts[i], removed[i] = cut(texts[i], lost)
+            removed, n_lines = [0] * len(texts), [0] * len(texts)
+            for i, own in enumerate(lost):
+                if own:
+                    texts[i], removed[i], n_lines[i] = cut(texts[i], own)
             fields = [pa.array(texts, pa.string()) if k == at else whole.field(k) for k in range(len(whole.type))]
             names = [whole.type.field(k).name for k in range(len(whole.type))]
-            columns = [pa.StructArray.from_arrays(fields, names), [len(x or []) for x in numbers], removed]
-            columns[1:] = [pa.array(x, pa.int32()) for x in columns[1:]]
+            columns = [pa.StructArray.from_arrays(fields, names), pa.array(removed, pa.int32()), pa.array(n_lines, pa.int32())]
             yield pa.RecordBatch.from_arrays(columns, names=["document", "chunks_removed", "lines_removed"])
 
     return rows.mapInArrow(shorten, schema)
 
 
+def described(cleaned):
+    text = F.coalesce("document.text", F.lit("")).cast("binary")
+    return cleaned.select("document.doc_id", "chunks_removed", "lines_removed", F.sha2(text, 256).alias("text_sha256"))
+
+
+def clean(docs):
+    """The documents with all columns, their text without repeated chunks, as (document, chunks_removed, lines_removed)."""
+    return shortened(docs, removals(docs), cut)
+
+
 def summary(docs):
     """doc_id, chunks_removed, lines_removed, text_sha256 (of the text that is left) of each document."""
-    text = F.coalesce("document.text", F.lit("")).cast("binary")
-    return clean(docs).select("document.doc_id", "chunks_removed", "lines_removed", F.sha2(text, 256).alias("text_sha256"))
+    return described(clean(docs))
+
+
+def units(column):
+    """(row, first line, last line, hash, check) of the units of each text."""
+    data, offsets = arrays.utf8(column)
+    starts, ends, at = lines(data, offsets)
+    plain = without_ends(data, starts, ends)
+    full = np.flatnonzero(plain > starts)
+    row, starts, plain = arrays.rows_of(at)[full], starts[full], plain[full]
+    number = full - at[row]
+    word = arrays.words(data, offsets)[0]
+    n_words = np.searchsorted(word, plain) - np.searchsorted(word, starts)
+    long = (n_words >= LEAST_WORDS) | (plain - starts >= LEAST_BYTES)
+    alone = np.flatnonzero(long)
+    # Two long lines are found one by one.
+    a = np.flatnonzero((row[1:] == row[:-1]) & ~(long[1:] & long[:-1]))
+    apart = (number[a + 1] - number[a]).astype(np.uint64)
+
+    def keys(values):
+        line = arrays.hashes(data, starts, plain, values)
+        return np.concatenate([arrays.mix(arrays.mix(line[a] + apart) * arrays.BASE + line[a + 1]), line[alone]])
+
+    where, last = np.concatenate([a, alone]), np.concatenate([a + 1, alone])
+    return row[where], number[where], number[last], keys(arrays.BYTE_VALUES), keys(arrays.mix(arrays.BYTE_VALUES))
+
+
+def unit_places(docs):
+    """``UNITS`` of the documents."""
+
+    def find(batches):
+        for piece in arrays.pieces(batches):
+            row, first, last, key, check = units(piece.column("text"))
+            own = [piece.column(x).take(pa.array(row)) for x in ("doc_id", "text_hash")]
+            found = [pa.array(x, pa.int32()) for x in (first, last)] + [pa.array(x.view(np.int64)) for x in (key, check)]
+            yield pa.RecordBatch.from_arrays([*own, *found], names=["doc_id", "text_hash", "first", "last", "unit_hash", "unit_check"])
+
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(find, UNITS)
+
+
+def unlike(docs, found):
+    """(unit_hash, unit_check) of the repeated units whose bytes differ somewhere. A batch sends a text once."""
+    listed = found.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("first", "last", "unit_hash", "unit_check")).alias("units"))
+    listed = listed.hint("merge").select(F.struct("doc_id", "text_hash").alias("listed_key"), "units")
+    own = F.struct(F.col("doc_id"), F.xxhash64("text").alias("text_hash"))
+    rows = docs.select("text", own.alias("own_key")).join(listed, F.col("own_key").eqNullSafe(F.col("listed_key"))).select("text", "units")
+
+    def read(batches):
+        for piece in arrays.pieces(batches):
+            data, offsets = arrays.utf8(piece.column("text"))
+            starts, ends, at = lines(data, offsets)
+            plain, raw, wanted = without_ends(data, starts, ends), data.tobytes(), piece.column("units")
+            sizes = wanted.value_lengths().to_numpy(zero_copy_only=False)
+            first, last, key, check = (wanted.flatten().field(k).to_numpy(zero_copy_only=False) for k in range(4))
+            line = np.repeat(at[:-1], sizes)
+            spans = zip(key.tolist(), check.tolist(), starts[line + first].tolist(), plain[line + last].tolist())
+            texts = list({(k, c, raw[s:e]) for k, c, s, e in spans})
+            columns = [pa.array([t[i] for t in texts], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.binary()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["unit_hash", "unit_check", "unit_text"])
+
+    same = rows.mapInArrow(read, UNIT_TEXTS).distinct()
+    return same.groupBy("unit_hash", "unit_check").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1").drop("texts")
+
+
+def passage_removals(docs):
+    """(doc_id, text_hash, gone): the (first, last) lines of the units that a document loses."""
+    key = ["unit_hash", "unit_check"]
+    places = unit_places(docs)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "first")
+    seen = places.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("earliest")).filter("n > 1")
+    found = places.join(seen, key).select(*places.columns, (order != F.col("earliest")).alias("later"))
+    found = materialize(found, "units")
+    later = found.filter("later").join(unlike(docs, found), key, "left_anti")
+    return later.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("first", "last")).alias("gone"))
+
+
+def cut_lines(text, gone):
+    """(text without the lines of the units, runs removed, lines removed); what is left keeps its line ends."""
+    data = np.frombuffer(text.encode("utf-8"), np.uint8)
+    starts, ends, _ = lines(data, np.array([0, len(data)], dtype=np.int64))
+    kept = np.ones(len(starts), dtype=bool)
+    for unit in gone:
+        kept[unit["first"] : unit["last"] + 1] = False
+    full = np.flatnonzero(without_ends(data, starts, ends) > starts)
+    both = np.flatnonzero(~kept[full[1:]] & ~kept[full[:-1]])
+    for i, j in zip(full[both].tolist(), full[both + 1].tolist()):
+        kept[i:j] = False
+    raw = data.tobytes()
+    left = b"".join([raw[s:e] for s, e in zip(starts[kept].tolist(), ends[kept].tolist())])
+    if not kept[-1]:
+        left = left.removesuffix(b"\n")
+    runs = np.count_nonzero(~kept[1:] & kept[:-1]) + int(not kept[0])
+    return left.decode("utf-8"), runs, int((~kept).sum())
+
+
+def clean_passages(docs):
+    """The documents with all columns, their text without repeated units, as (document, chunks_removed, lines_removed)."""
+    return shortened(docs, passage_removals(docs), cut_lines)
+
+
+def passage_summary(docs):
+    """doc_id, chunks_removed (runs of lines), lines_removed, text_sha256 (of the text that is left) of each document."""
+    return described(clean_passages(docs))

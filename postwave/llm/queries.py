@@ -55,7 +55,7 @@ def op8_quality(spark, folder):
 
 
 def op9_line_chunks(spark, folder):
-    return line_chunks.summary(table(spark, folder, "documents"))
+    return line_chunks.passage_summary(table(spark, folder, "documents"))
 
 
 def op10_source_mix(spark, folder):

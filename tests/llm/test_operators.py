@@ -307,6 +307,41 @@ def test_line_chunks(docs):
     assert all(got[k] == want[k] for k in want if (TEXTS[k] or "").endswith("\n") is False)
 
 
+def unit_list(text):
+    """(text, first line, last line) of the pairs of lines that are not empty, and of the long lines."""
+    lines = text.split("\n")
+    full = [i for i, line in enumerate(lines) if line]
+    pairs = [("\n".join(lines[i : j + 1]), i, j) for i, j in zip(full, full[1:])]
+    return pairs + [(lines[i], i, i) for i in full if len(words(lines[i])) >= 10 or len(lines[i].encode()) >= 60]
+
+
+def test_repeated_passages(spark, tmp_path):
+    rows = [(r[0], r[1]) for r in ROWS]
+    planted = ["\n".join(prose(700 + 10 * n + i, 12) for i in range(n)) for n in range(1, 7)]
+    planted += ["漢字" * 20, "\n\n".join([prose(790, 12), prose(791, 14)]), "short line\n\n\nother line"]
+    for k, passage in enumerate(planted):
+        for c in range(2):
+            around = ["\n".join(prose(800 + 40 * k + 20 * c + 10 * e + i, 5) for i in range(3)) for e in range(2)]
+            rows.append((100 + 2 * k + c, "\n".join([around[0], passage, around[1]])))
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.lines_removed, r.text_sha256) for r in queries.op9_line_chunks(spark, str(tmp_path)).collect()}
+    seen, want = set(), {}
+    for k, text in rows:
+        gone, ends = set(), (text or "").endswith("\n")
+        for unit, first, last in sorted(unit_list(text or ""), key=lambda u: u[1]):
+            if unit in seen:
+                gone |= set(range(first, last + 1))
+            seen.add(unit)
+        full = [i for i, line in enumerate((text or "").split("\n")) if line]
+        gone |= {k for i, j in zip(full, full[1:]) if {i, j} <= gone for k in range(i, j)}
+        left = [line for i, line in enumerate((text or "").split("\n")) if i not in gone]
+        want[k] = (len(gone), hashlib.sha256("\n".join(left[:-1] if ends and gone else left).encode()).hexdigest())
+    assert [got[101 + 2 * k][0] for k in range(len(planted))] == [p.count("\n") + 1 for p in planted]
+    assert all(got[100 + 2 * k][0] == 0 for k in range(len(planted)))
+    assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
+    assert all(got[k] == want[k] for k in want if not (dict(rows)[k] or "").endswith("\n"))
+
+
 def test_chunk_borders_resist_shifts():
     body = "\n".join(prose(300 + i, 6) for i in range(60))
     plain, shifted = ({tuple(c) for c in chunk_list(t)} for t in (body, "new line\n" + body))
@@ -318,6 +353,12 @@ def test_clean_keeps_columns(odd):
     assert rows.select("document.*").columns == odd.columns and rows.count() == 6
 
 
+def test_clean_passages_keeps_columns(odd, none):
+    rows = line_chunks.clean_passages(odd)
+    assert rows.select("document.*").columns == odd.columns and rows.count() == 6
+    assert line_chunks.passage_summary(none).count() == 0
+
+
 def test_mix(docs, odd):
     rows = mixing.mixed_sizes(docs).collect()
     size = {r[0]: len(re.findall(r"[^\x20\x09-\x0D]+", r[1] or "")) for r in ROWS}
