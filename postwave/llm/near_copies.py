@@ -10,10 +10,10 @@ more. Classes are the connected components; equal texts are always one class, al
 2. A text can only have a link if 0.8 of its weight lies in shingles of two texts or more; others are done. For each that
    is left, 30 consistent weighted samples give ten band keys of three samples: a pair at 0.8 shares a band in 99.9 % of
    cases, one at 0.9 in all but one of 100,000.
-3. In a band, texts are compared by their exact weights with one leader among them; those without a link to it go on to
-   four leaders of themselves, then sixteen, until none is left. A group of n copies that are linked to a leader costs n
-   comparisons; texts that share a band and have no link are in the end compared with most of each other. A leader that
-   many are compared with travels once to each slice of them.
+3. In a band, texts are compared by their exact weights with one leader among them, then with four, then sixteen, each with
+   all texts of the band that are not in its class yet. In the end any two texts of a band are compared or in one class. A
+   group of n copies that are linked to a leader costs n comparisons; texts that share a band and have no link are all
+   compared with each other. A leader that many are compared with travels once to each slice of them.
 4. Components of the links, then the least doc_id of each class.
 
 Null counts as empty; ties and repeated rows fall in one class; an empty table gives an empty one; a class in which every
@@ -206,31 +206,43 @@ def compare(pairs, vectors, similarity, n_slices):
 
 
 def links(vectors, similarity=SIMILARITY):
-    """(a, b) for linked texts, found by comparing the texts of a band with leaders among them.
+    """(a, b) for linked texts, enough of them that their components are those of all links between texts of a band.
 
-    A round takes one leader from each salt of a band, the text whose shingles the most texts have, and compares all others
-    with them: copies that were edited apart differ more from each other than from what they have in common. Who has a link
-    to a leader is done, as are the leaders; the rest goes on with four times as many leaders, until nobody is left.
+    A round takes one leader from each salt of a band, the text whose shingles the most texts have, and compares it with all
+    texts of the band that are not in its class, the components of the links so far. Leaders come from all classes of the band
+    but its largest, four times as many in each round, until all their texts have led: then of two texts of a band that are in
+    different classes one has led, and was compared with the other.
     """
     bands = vectors.select("fp", "common", F.explode("bands").alias("band"))
-    several = lambda rows: rows.join(rows.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("band"), "band")
+    several = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("band")
     size = vectors.agg(F.sum(F.octet_length("hashes") + F.octet_length("weights"))).first()[0] or 0
     n_slices = max(int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // SLICE_BYTES))
-    open_, tested, salts = materialize(several(bands), "bands"), None, 1
+    members, tested, led, salts = materialize(bands.join(several, "band"), "bands"), None, None, 1
+    rooted = members.withColumn("root", F.col("fp"))
     while True:
+        kept = rooted.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("band").agg(F.max(F.struct("n", "root")).alias("most"))
+        open_ = rooted.join(kept.select("band", F.col("most.root").alias("kept_root")), "band").filter("root <> kept_root")
+        if led is not None:
+            open_ = open_.join(led, ["band", "fp"], "left_anti")
         salt = F.pmod(F.xxhash64("fp"), F.lit(salts))
-        leaders = materialize(open_.groupBy("band", salt.alias("salt")).agg(F.max(F.struct("common", "fp")).alias("most")).select("band", F.col("most.fp").alias("a")), "leaders")
-        met = open_.join(leaders, "band").filter("fp <> a").select("band", "a", F.col("fp").alias("b"))
-        pairs = met.select("a", "b").distinct()
+        leaders = open_.groupBy("band", salt.alias("salt")).agg(F.max(F.struct("common", "fp", "root")).alias("most"))
+        leaders = materialize(leaders.select("band", F.col("most.fp").alias("a"), F.col("most.root").alias("a_root")), "leaders")
+        if leaders.isEmpty():
+            found = vectors.filter("false").select(F.col("fp").alias("a"), F.col("fp").alias("b"), F.lit(True).alias("linked"))
+            return (found if tested is None else tested).filter("linked").select("a", "b")
+        met = rooted.join(leaders, "band").filter("root <> a_root").select("a", F.col("fp").alias("b"))
+        either = [F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")]
+        # Two leaders meet from both sides; the plan runs more than once, so which side is kept must not depend on the run.
+        pairs = met.groupBy(*either).agg(F.min(F.struct("a", "b")).alias("side")).select("low", "high", "side.a", "side.b")
         if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+            pairs = pairs.join(tested.select(*either), ["low", "high"], "left_anti")
         fresh = materialize(compare(pairs, vectors, similarity, n_slices), "links")
         tested = fresh if tested is None else tested.unionAll(fresh)
-        done = met.join(tested.filter("linked"), ["a", "b"], "left_semi").select("band", F.col("b").alias("fp"))
-        done = done.unionAll(leaders.select("band", F.col("a").alias("fp")))
-        open_ = materialize(several(open_.join(done, ["band", "fp"], "left_anti")), "bands")
-        if open_.isEmpty():
-            return tested.filter("linked").select("a", "b")
+        own = leaders.select("band", F.col("a").alias("fp"))
+        led = own if led is None else led.unionAll(own)
+        roots = components(tested.filter("linked").select("a", "b")).select(F.col("node").alias("fp"), "root")
+        rooted = members.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+        rooted = materialize(rooted.select("fp", "common", "band", "root"), "rooted")
         salts *= MORE_LEADERS
 
 

@@ -172,6 +172,15 @@ def test_near_copies(spark):
     assert got == {i: roots.index(r) for i, r in enumerate(roots)}
 
 
+@pytest.mark.parametrize("order", [(0, 1, 2, 3, 4, 5), (1, 5, 0, 0, 5, 1)])
+def test_links_of_a_chain(spark, order):
+    """Neighbours of the chain are linked (18 of 22 shingles), others are not; all lie in one band."""
+    bag = lambda i: np.arange(2 * i, 2 * i + 20, dtype=np.uint64).tobytes()
+    rows = [(f"{i}", float(c), [7, i + 100], bytearray(bag(i)), bytearray(np.ones(20).tobytes())) for i, c in enumerate(order)]
+    got = near_copies.links(spark.createDataFrame(rows, near_copies.CANDIDATES)).collect()
+    assert {tuple(sorted(r)) for r in got} == {(f"{i}", f"{i + 1}") for i in range(5)}
+
+
 def test_drop_copies(docs, odd):
     kept = sorted(r.doc_id for r in near_copies.drop_copies(docs).collect())
     assert kept == sorted({near_classes(TEXTS).index(r) for r in near_classes(TEXTS)})
