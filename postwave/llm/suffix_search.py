@@ -9,7 +9,8 @@ longest verbatim match of each test suffix and the places where it occurs.
 A test suffix of ten words or more whose match has ten or more is an occurring window, as is a whole item of fewer words.
 Items whose words add up to more than ``BLOCK_WORDS`` are searched in several blocks, each in a pass over the documents.
 
-Null and empty texts have no words and are never hit; repeated rows are searched one by one; no items give no hit; other
+Items with a null id are searched like others: their hits count and their places have a null item_id, but ``items`` and
+what is made of it (n_items, items_sha256) leave them out. Null and empty texts have no words and are never hit; repeated rows are searched one by one; no items give no hit; other
 columns are kept by ``clean_documents`` and ignored elsewhere. Words are compared by 64-bit hashes.
 """
 
@@ -173,7 +174,7 @@ def item_blocks(items, block_words=BLOCK_WORDS):
             found = [words[i:j].tobytes() for i, j in zip(at[:-1], at[1:])]
             yield pa.RecordBatch.from_arrays([piece.column("item_id").cast(pa.string()), pa.array(found, pa.binary())], names=["item_id", "words"])
 
-    rows = items.select("item_id", "text").mapInArrow(hashed, ITEM_WORDS).filter("length(words) > 0 and item_id is not null")
+    rows = items.select("item_id", "text").mapInArrow(hashed, ITEM_WORDS).filter("length(words) > 0")
     block, held = [], 0
     for row in rows.toLocalIterator():
         words = np.frombuffer(row.words, np.uint64)
@@ -202,7 +203,7 @@ def block_hits(docs, tests):
                     piece.column("text_hash"),
                     pa.array(shard.n_words, pa.int64()),
                     pa.array(inner, pa.list_(pa.int64())),
-                    pa.array([[tests.names[i] for i in x] for x in named], pa.list_(pa.string())),
+                    pa.array([[tests.names[i] for i in x if tests.names[i] is not None] for x in named], pa.list_(pa.string())),
                 ],
                 names=["doc_id", "text_hash", "n_words", "hit", "items"],
             )

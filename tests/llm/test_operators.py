@@ -225,6 +225,23 @@ def test_longest_matches(docs, items):
     assert {(11, 40, 30, "1"), (14, 0, 30, "1"), (8, 0, 4, "2")} <= got
 
 
+@pytest.mark.parametrize("block_words", [1, 1 << 20])
+def test_items_without_an_id(spark, tmp_path, monkeypatch, docs, block_words):
+    rows = [(None, PASSAGE), (2, prose(5, 4)), (None, prose(5, 4)), (None, None)]
+    items = spark.createDataFrame(rows, "item_id bigint, text string")
+    got = {r.doc_id: tuple(r)[1:] for r in suffix_search.contamination(docs, items, block_words=block_words).collect()}
+    assert {k: v[:2] + v[4:] for k, v in got.items()} == {r[0]: hits_of(r[1], rows)[:2] + hits_of(r[1], rows)[4:] for r in ROWS}
+    assert {k: v[2:4] for k, v in got.items()} == {r[0]: hits_of(r[1], [rows[1]])[2:4] for r in ROWS}
+    assert got[11][1:3] == (30, 0) and got[8][2] == 1
+    clean = suffix_search.clean_documents(docs, items, block_words=block_words)
+    assert sorted(r.doc_id for r in clean.collect()) == [k for k in sorted(got) if not got[k][-1]]
+    for name, table in (("documents", docs), ("benchmark", items)):
+        table.write.parquet(f"{tmp_path}/{name}.parquet")
+    monkeypatch.setattr("check.TABLES", ("documents", "benchmark"))
+    query, folder = "op4_suffix_decontamination", str(tmp_path)
+    assert spark_rows(contract.queries()[query](spark, folder)) == sql_rows(folder, contract.oracle_sql()[query])
+
+
 def test_no_items(docs, items):
     assert not any(r.contaminated for r in suffix_search.contamination(docs, items.filter("false")).collect())
 
