@@ -51,11 +51,18 @@ def local_dir():
     return tempfile.mkdtemp(prefix="postwave-")
 
 
+def write_table(df, path):
+    """Write a table and read it back: its plan is cut, and lost executors cost nothing of it."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialize(df, name):
-    """Write a table that several jobs read, and read it back.
+    """``write_table`` to a fresh folder, for rows that several jobs read."""
+    return write_table(df, shared_dir(df.sparkSession, name))
 
-    Costly rows are computed once and survive lost executors; the plan behind them is cut.
-    """
-    spark, path = df.sparkSession, shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+
+def discard(spark, path):
+    """Delete a work table that nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
