@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from . import (
     backoff,
+    hard_negatives,
+    lexical_rank,
     line_chunks,
     mixing,
     near_copies,
@@ -13,6 +15,7 @@ from . import (
     secret_scan,
     suffix_search,
     token_blocks,
+    token_counts,
     toxicity,
 )
 
@@ -62,6 +65,18 @@ def op10_source_mix(spark, folder):
     return mixing.mixed_sizes(table(spark, folder, "documents"))
 
 
+def op11_lexical_top(spark, folder):
+    return lexical_rank.best_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op12_token_counts(spark, folder):
+    return token_counts.count_tokens(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_hard_negatives(spark, folder):
+    return hard_negatives.mine(table(spark, folder, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -75,6 +90,9 @@ QUERIES = {
         op8_quality,
         op9_line_chunks,
         op10_source_mix,
+        op11_lexical_top,
+        op12_token_counts,
+        op13_hard_negatives,
     )
 }
 
@@ -122,4 +140,40 @@ SELECT d.doc_id, len(ws)::bigint AS n_words, coalesce(n_hit, 0)::bigint AS n_hit
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
 """
 
-SQL = {"op2_backoff_scores": BACKOFF_SQL, "op4_suffix_decontamination": DECONTAMINATION_SQL}
+LEXICAL_SQL = rf"""
+WITH terms AS (SELECT doc_id, unnest({word_list("text")}) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY ALL),
+d AS (SELECT doc_id, sum(tf)::bigint AS n FROM tf GROUP BY doc_id),
+s AS (SELECT count(*)::bigint AS docs, sum(n)::bigint AS terms FROM d),
+m AS (SELECT doc_id, 100 - 90 + (90 * n * docs) // terms AS m FROM d, s),
+q AS (SELECT item_id, unnest(list_distinct({word_list("text")})) AS term FROM benchmark),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)))::bigint AS w
+  FROM tf JOIN (SELECT DISTINCT term FROM q) USING (term), s GROUP BY term, docs),
+hits AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::bigint AS score
+  FROM q JOIN w USING (term) JOIN tf USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::int AS rank FROM hits WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
+NEGATIVES_SQL = """
+WITH sound AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [floor(256 * x::double) FOR x IN embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+pairs AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::bigint AS score
+  FROM sound a JOIN sound b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+positives AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id)::int AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN pairs n ON p.anchor_id = n.anchor_id AND NOT same
+  AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+SQL = {
+    "op2_backoff_scores": BACKOFF_SQL,
+    "op4_suffix_decontamination": DECONTAMINATION_SQL,
+    "op11_lexical_top": LEXICAL_SQL,
+    "op13_hard_negatives": NEGATIVES_SQL,
+}
