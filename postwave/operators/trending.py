@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from ..schema import SLIDE_SECONDS, TOP_K, WINDOW_SECONDS
 from .filters import in_languages, originals
 
-# Windows of at most this many grid steps are ranked end by end.
-SHORT_WIDTH = 60
+# Window ends of a part, within which leaders are sought; no more than a chunk has.
+PART = 60
 
 
 def hashtag_words(posts, *keep):
@@ -61,7 +61,7 @@ def bucket_counts(tagged, slide=SLIDE_SECONDS):
     return tagged.groupBy("hashtag", bucket.alias("bucket")).agg(F.count("*").alias("count"))
 
 
-def window_runs(buckets, width, first=None, last=None):
+def window_runs(buckets, width, first=None, last=None, held=None):
     """Runs of window ends with one count: (hashtag, chunk, first_end, last_end, count, changed).
 
     Each bucket adds its count at its first window end and takes it off after its last one; the running sum per hashtag
@@ -69,8 +69,12 @@ def window_runs(buckets, width, first=None, last=None):
     carried over, so a group is one hashtag in one chunk, at most ``width`` rows, however long the history is.
     ``changed`` is false where a run starts only because a chunk does. ``first`` and ``last`` keep to those ends; all
     that came before then adds up to one step per hashtag.
+
+    ``held`` stands for the buckets before: (counts of the window that ends before ``first``; the buckets of that window that
+    leave by ``last``). All of it has left once the first chunk, which then starts at ``first``, is over.
     """
     start, stop = F.col("bucket") + 1, F.col("bucket") + width + 1
+    origin = 0 if held is None else first
     if first is not None:
         buckets = buckets.filter(stop > first)
         start = F.greatest(start, F.lit(first))
@@ -78,21 +82,33 @@ def window_runs(buckets, width, first=None, last=None):
         buckets = buckets.filter(start <= last)
         stop = F.least(stop, F.lit(last + 1))
     spans = buckets.select("hashtag", "count", start.alias("start"), stop.alias("stop"))
-    chunks = F.sequence(F.floor(F.col("start") / width), F.floor(F.col("stop") / width))
-    spans = spans.select("*", F.explode(chunks).alias("chunk"))
-    opens, closes = F.col("chunk") * width, (F.col("chunk") + 1) * width
+    chunk_of = lambda end: F.floor((end - origin) / width)
+    spans = spans.select("*", F.explode(F.sequence(chunk_of(F.col("start")), chunk_of(F.col("stop")))).alias("chunk"))
+    opens = F.col("chunk") * width + origin
+    closes = opens + width
     enter = F.struct(
         F.greatest("start", opens).alias("first_end"),
         F.col("count").alias("delta"),
         F.when(F.col("start") >= opens, F.col("count")).otherwise(0).alias("change"),
     )
     leave = F.struct(F.col("stop").alias("first_end"), (-F.col("count")).alias("delta"), (-F.col("count")).alias("change"))
-    steps = spans.select("hashtag", "chunk", closes.alias("closes"), F.inline(F.array(enter, leave)))
+    steps = spans.select("hashtag", "chunk", F.inline(F.array(enter, leave)))
+    if held is not None:
+        counts, leaving = held
+        zero, gone = F.lit(0).cast("bigint"), -F.col("count")
+        end = F.col("bucket") + width + 1
+        leaving = leaving if last is None else leaving.filter(end <= last)
+        steps = steps.unionAll(counts.select("hashtag", zero, F.lit(first).cast("bigint"), "count", zero)).unionAll(
+            leaving.select("hashtag", zero, end, gone, gone)
+        )
+    # Dealt out by chunk at once: the sums, the running sums and the parts of the chunk all stay there.
     sums = (
-        steps.filter(F.col("first_end") < F.col("closes"))
+        steps.filter(F.col("first_end") < closes)
+        .repartition("hashtag", "chunk")
         .groupBy("hashtag", "chunk", "first_end")
         .agg(F.sum("delta").alias("delta"), F.sum("change").alias("change"))
     )
+    until = closes if last is None else F.least(closes, F.lit(last + 1))
     in_order = Window.partitionBy("hashtag", "chunk").orderBy("first_end")
     return sums.select(
         "hashtag",
@@ -105,7 +121,7 @@ def window_runs(buckets, width, first=None, last=None):
         "hashtag",
         "chunk",
         "first_end",
-        (F.coalesce("next_end", closes) - 1).alias("last_end"),
+        (F.coalesce("next_end", until) - 1).alias("last_end"),
         "count",
         "changed",
     )
@@ -117,92 +133,96 @@ def change_points(tagged, window=WINDOW_SECONDS, slide=SLIDE_SECONDS):
     return runs.filter("changed").select("hashtag", (F.col("first_end") * slide).alias("window_end"), "count")
 
 
-def contenders(runs, width, k):
-    """Runs that can reach a top k, exactly.
+def contenders(runs, size, k, first=None, last=None):
+    """Runs, cut into parts of ``size`` ends, that can reach a top k, exactly: (hashtag, chunk, part,
+    first_end, last_end, count).
 
-    Within a chunk, k hashtags that never fall below c keep every hashtag that never reaches c out of the top k. On
-    real traffic this drops the long tail before runs are compared.
+    If a hashtag's least count within a part is above another one's peak there (or equal to it, with the lesser name), it is
+    ahead at every end of the part. So the k-th best by least count keeps out all that peak below it. ``first`` and ``last``:
+    the ends that the runs keep to.
     """
-    group = Window.partitionBy("hashtag", "chunk")
-    length = F.col("last_end") - F.col("first_end") + 1
-    live = runs.filter(F.col("count") > 0).select(
+    part = F.explode(F.sequence(F.floor(F.col("first_end") / size), F.floor(F.col("last_end") / size))).alias("part")
+    pieces = runs.select("hashtag", "chunk", "first_end", "last_end", "count", part)
+    opens = F.col("part") * size
+    pieces = pieces.withColumns(
+        {"first_end": F.greatest("first_end", opens), "last_end": F.least("last_end", opens + size - 1)}
+    )
+    ends = F.least(opens + size - 1, F.lit(last)) if last is not None else opens + size - 1
+    ends = ends + 1 - (F.greatest(opens, F.lit(first)) if first is not None else opens)
+    # The runs are still dealt out by hashtag and chunk, so only the leaders travel.
+    group = Window.partitionBy("hashtag", "chunk", "part")
+    whole = F.sum(F.col("last_end") - F.col("first_end") + 1).over(group) == ends
+    tags = pieces.select(
         "*",
         F.max("count").over(group).alias("peak"),
-        F.when(F.sum(length).over(group) == width, F.min("count").over(group)).otherwise(0).alias("least"),
-        F.row_number().over(group.orderBy("first_end")).alias("nth_run"),
-    )
-    rank = F.row_number().over(Window.partitionBy("chunk").orderBy(F.desc("least"), "hashtag"))
-    bar = (
-        live.filter("nth_run = 1")
-        .select("chunk", "least", rank.alias("nth"))
-        .filter(F.col("nth") <= k)
-        .groupBy("chunk")
-        .agg(F.min("least").alias("bar"), F.count("*").alias("full"))
-        .filter((F.col("full") == k) & (F.col("bar") > 0))
-        .select("chunk", "bar")
-    )
-    return (
-        live.join(bar, "chunk", "left")
-        .filter(F.col("peak") >= F.coalesce("bar", F.lit(0)))
-        .select("hashtag", "chunk", "first_end", "last_end", "count")
+        F.when(whole, F.min("count").over(group)).otherwise(0).alias("least"),
+        (F.col("first_end") == F.min("first_end").over(group)).alias("opening"),
     )
+    rank = F.row_number().over(Window.partitionBy("part").orderBy(F.desc("least"), "hashtag"))
+    leaders = tags.filter("opening and least > 0").select("part", "least", "hashtag", rank.alias("nth"))
+    last_leader = F.max_by(F.struct("least", "hashtag"), "nth").alias("leader")
+    bar = leaders.filter(F.col("nth") <= k).groupBy("part").agg(last_leader, F.count("*").alias("full"))
+    bar = bar.filter(F.col("full") == k).select("part", F.col("leader.least").alias("bar"), F.col("leader.hashtag").alias("bar_tag"))
+    ahead = (F.col("peak") > F.col("bar")) | ((F.col("peak") == F.col("bar")) & (F.col("hashtag") <= F.col("bar_tag")))
+    kept = tags.join(bar, "part", "left").filter(F.col("bar").isNull() | ahead)
+    return kept.select("hashtag", "chunk", "part", "first_end", "last_end", "count")
 
 
-def steady_spans(runs, width):
-    """Cut runs at every end where any run of their chunk starts or stops: (first_end, last_end, hashtag, count).
+def steady_spans(runs):
+    """Cut runs at every end where any run of their part starts or stops: (part, first_end, last_end, hashtag, count).
 
-    Between two cuts no count changes, so one ranking serves the whole span. A chunk has at most ``width`` cuts.
+    Between two cuts no count changes, so one ranking serves the whole span. A part has at most one cut for each of its ends.
     """
-    closes = (F.col("chunk") + 1) * width
-    edges = runs.select("chunk", F.explode(F.array(F.col("first_end"), F.col("last_end") + 1)).alias("edge"))
-    cuts = edges.distinct().groupBy("chunk").agg(F.sort_array(F.collect_list("edge")).alias("cuts"))
-    cuts = cuts.select("chunk", F.array_union("cuts", F.array(closes)).alias("cuts")).select(
-        "chunk",
-        "cuts",
-        F.zip_with(
-            F.slice("cuts", 1, F.size("cuts") - 1),
-            F.slice("cuts", 2, F.size("cuts") - 1),
-            lambda a, b: F.struct(a.alias("first_end"), (b - 1).alias("last_end")),
-        ).alias("spans"),
+    group = Window.partitionBy("part")
+    cuts = F.array_union(F.collect_set("first_end").over(group), F.collect_set(F.col("last_end") + 1).over(group))
+    spans = F.zip_with(
+        F.slice("cuts", 1, F.size("cuts") - 1),
+        F.slice("cuts", 2, F.size("cuts") - 1),
+        lambda a, b: F.struct(a.alias("first_end"), (b - 1).alias("last_end")),
     )
-    # Both edges of a run are cuts of its chunk.
-    at = F.array_position("cuts", F.col("first_end"))
-    to = F.array_position("cuts", F.col("last_end") + 1)
-    pieces = F.slice("spans", at.cast("int"), (to - at).cast("int"))
-    return runs.join(cuts, "chunk").select("hashtag", "count", F.inline(pieces))
+    inside = F.filter(spans, lambda s: (s["first_end"] >= F.col("first_end")) & (s["last_end"] <= F.col("last_end")))
+    cut = runs.withColumn("cuts", F.array_sort(cuts))
+    return cut.select("part", "hashtag", "count", F.inline(inside))
 
 
-def top_spans(buckets, window=WINDOW_SECONDS, slide=SLIDE_SECONDS, k=TOP_K, first=None, last=None):
+def top_spans(buckets, window=WINDOW_SECONDS, slide=SLIDE_SECONDS, k=TOP_K, first=None, last=None, held=None):
     """Top k for spans of window ends: (first_end, last_end, rank, hashtag, count), ends on the grid.
 
-    Short windows (in grid steps) and short ranges of ends are ranked end by end, long ones span by span.
+    A part keeps only the hashtags that can lead there, so what is ranked grows with the changes among leaders and not with
+    all counts times all ends.
     """
     width = window // slide
-    runs = window_runs(buckets, width, first, last)
-    few = first is not None and last is not None and last - first < SHORT_WIDTH
-    if few or width <= SHORT_WIDTH:
-        end = F.explode(F.sequence("first_end", "last_end")).alias("first_end")
-        ends = runs.filter(F.col("count") > 0).select("hashtag", "count", end)
-        spans = ends.withColumn("last_end", F.col("first_end"))
-    else:
-        spans = steady_spans(contenders(runs, width, k), width)
-    rank = F.row_number().over(Window.partitionBy("first_end").orderBy(F.desc("count"), "hashtag"))
+    live = window_runs(buckets, width, first, last, held).filter(F.col("count") > 0)
+    spans = steady_spans(contenders(live, min(PART, width), k, first, last))
+    rank = F.row_number().over(Window.partitionBy("part", "first_end").orderBy(F.desc("count"), "hashtag"))
     ranked = spans.select("first_end", "last_end", rank.alias("rank"), "hashtag", "count")
     return ranked.filter(F.col("rank") <= k)
 
 
+def window_ends(spans, slide=SLIDE_SECONDS):
+    """(window_end in epoch seconds, rank, hashtag, count) of each window of the spans."""
+    ends = spans.select(F.explode(F.sequence("first_end", "last_end")).alias("end"), "rank", "hashtag", "count")
+    return ends.select((F.col("end") * slide).alias("window_end"), "rank", "hashtag", "count")
+
+
+def live_counts(buckets, width, last, held=None):
+    """(hashtag, count) of the window that ends at the grid point ``last``, from its buckets, or from what was held before."""
+    rows = buckets.filter(F.col("bucket") + width >= last).select("hashtag", "count")
+    if held is not None:
+        counts, leaving = held
+        leaving = leaving.filter(F.col("bucket") + width < last)
+        rows = rows.unionAll(counts.select("hashtag", "count")).unionAll(leaving.select("hashtag", -F.col("count")))
+    return rows.groupBy("hashtag").agg(F.sum("count").alias("count")).filter(F.col("count") > 0)
+
+
 def top_per_window(buckets, window=WINDOW_SECONDS, slide=SLIDE_SECONDS, k=TOP_K, after=None, until=None):
     """Top k of every window: (window_end in epoch seconds, rank, hashtag, count).
 
-    ``after`` and ``until`` (epoch seconds, after < end <= until) limit the windows, as a stream needs.
+    ``after`` and ``until`` (epoch seconds, after < end <= until) limit the windows.
     """
     first = None if after is None else after // slide + 1
     last = None if until is None else until // slide
-    spans = top_spans(buckets, window, slide, k, first, last)
-    ends = spans.select(
-        F.explode(F.sequence("first_end", "last_end")).alias("end"), "rank", "hashtag", "count"
-    )
-    return ends.select((F.col("end") * slide).alias("window_end"), "rank", "hashtag", "count")
+    return window_ends(top_spans(buckets, window, slide, k, first, last), slide)
 
 
 def time_in_top(spans):

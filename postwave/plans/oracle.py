@@ -9,6 +9,7 @@ from ..functions.text import SENTIMENT_WORDS, SHORT_FORMS, longest_first
 from ..schema import FEATURE_WIDTH, SEARCH_SIZE, TRENDING_LANGS
 from ..sources.tables import EPOCH, SECONDS_PER_POST
 from .queries import KEYWORD, SAMPLE_CORPUS, SLIDE, TRAIN_STEPS
+from .stream_queries import CORPUS_BATCH, STEPS, STREAM_STEPS, TRAIN_BATCHES
 
 POSTS = f"""posts AS (
   SELECT doc_id AS post_id, {EPOCH} + doc_id * {SECONDS_PER_POST} AS t,
@@ -320,13 +321,18 @@ CLASSIFIED = f"""{scores()}, {FOUND}, result AS (
 
 # Corpus
 
-BATCHES = f"""{POSTS}, {TRAINING}, sized AS (
-  SELECT y AS sentiment, post_id // 20 AS batch, count(*) AS n FROM training GROUP BY ALL),
+def batches_sql(size):
+    """The corpus collected from batches of ``size`` consecutive ids."""
+    return f"""{POSTS}, {TRAINING}, sized AS (
+  SELECT y AS sentiment, post_id // {size} AS batch, count(*) AS n FROM training GROUP BY ALL),
 kept AS (SELECT sentiment, batch, n FROM (
   SELECT *, coalesce(sum(n) OVER (PARTITION BY sentiment ORDER BY batch
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM sized) WHERE before < {SAMPLE_CORPUS // 2}),
-corpus AS (SELECT post_id, y AS sentiment, post_id // 20 AS batch FROM training
-  SEMI JOIN kept ON y = kept.sentiment AND post_id // 20 = kept.batch)"""
+corpus AS (SELECT post_id, y AS sentiment, post_id // {size} AS batch FROM training
+  SEMI JOIN kept ON y = kept.sentiment AND post_id // {size} = kept.batch)"""
+
+
+BATCHES = batches_sql(20)
 
 PROGRESS = f"""WITH {BATCHES}, reached AS (
   SELECT b.batch, CAST(coalesce(sum(n) FILTER (sentiment = 1), 0) AS BIGINT) AS positive,
@@ -418,17 +424,63 @@ BATCH_SQL = {
       FROM result""",
 }
 
-# What a stream has closed when it ends: whole buckets older than the newest event less the lateness.
-CLOSED = f"""WHERE window_end <= (SELECT (CAST(floor(epoch(max(ts))) AS BIGINT) - 600) // {SLIDE} * {SLIDE} FROM events)
-  AND window_end <= (SELECT (max(bucket) + 1) * {SLIDE} FROM buckets
-    WHERE (bucket + 1) * {SLIDE} <= (SELECT CAST(floor(epoch(max(ts))) AS BIGINT) - 600 FROM events))"""
+def warm_descent(batches, steps):
+    """Tables model<b>(idx, weight) after each of ``batches`` equal steps of time, each ``steps`` steps of descent on its posts."""
+    sql = f"""{TRAINING}, edges AS (SELECT min(t) * 1000000 - 1 AS low, max(t) * 1000000 AS high FROM posts),
+    parted AS MATERIALIZED (SELECT training.*, CAST(least(greatest(
+        ceil((posts.t * 1000000 - low)::DOUBLE / ((high - low + {batches - 1}) // {batches})), 1), {batches}) AS INT) AS part
+      FROM training JOIN posts USING (post_id), edges),
+    model0 AS (SELECT idx, 0.0::DOUBLE AS weight FROM range({FEATURE_WIDTH}) AS r(idx))"""
+    for b in range(1, batches + 1):
+        for i in range(1, steps + 1):
+            before, after = (f"model{b - 1}" if i == 1 else f"model{b}_{i - 1}"), (f"model{b}" if i == steps else f"model{b}_{i}")
+            sql += f""", e{b}_{i} AS MATERIALIZED (
+              SELECT post_id, 1 / (1 + exp(-coalesce(margin, 0))) - y AS e FROM parted LEFT JOIN (
+                SELECT post_id, sum(v * weight) AS margin FROM tf JOIN {before} USING (idx) GROUP BY post_id)
+              USING (post_id) WHERE part = {b}),
+            {after} AS MATERIALIZED (SELECT idx,
+                weight - coalesce(g, 0) / (SELECT count(*) FROM parted WHERE part = {b}) / sqrt({i}) AS weight
+              FROM {before} LEFT JOIN (SELECT idx, sum(e * v) AS g FROM tf JOIN e{b}_{i} USING (post_id) GROUP BY idx)
+              USING (idx))"""
+    return sql
+
+
+def stream_metrics(batches, steps):
+    scored = " UNION ALL ".join(
+        f"""SELECT {b}::BIGINT AS version, y, CASE WHEN 1 / (1 + exp(-coalesce(margin, 0))) > 0.5 THEN 1 ELSE 0 END AS p
+          FROM training LEFT JOIN (SELECT post_id, sum(v * fit.weight * model{b}.weight) AS margin
+            FROM tf JOIN fit USING (idx) JOIN model{b} USING (idx) GROUP BY post_id) USING (post_id)"""
+        for b in range(1, batches + 1)
+    )
+    return f"""{features()}, {warm_descent(batches, steps)}, {idf('fit', 'training')}, scored AS ({scored}),
+      c AS (SELECT version, count(*) FILTER (p = 1 AND y = 1) AS tp, count(*) FILTER (p = 0 AND y = 1) AS fn,
+        count(*) FILTER (p = 1 AND y = 0) AS fp, count(*) FILTER (p = 0 AND y = 0) AS tn FROM scored GROUP BY version)
+      SELECT version, round((tp / (tp + fn) + tn / (tn + fp)) / 2, 6) AS "areaUnderRoc",
+        round((tp + tn) / (tp + fn + fp + tn), 6) AS accuracy FROM c"""
+
+
+# Where each batch of a replayed stream has got: the newest bucket that the watermark of the batch's posts has closed.
+REACHED = f"""{TAGGED_EVENTS}, times AS (SELECT epoch_us(ts) AS us FROM events),
+  edges AS (SELECT min(us) - 1 AS low, max(us) AS high FROM times),
+  marks AS (SELECT (max(us) // 1000 - 600000) * 1000 AS mark
+    FROM edges, range(1, {STEPS + 1}) AS s(i), times
+    WHERE us <= least(low + i * ((high - low + {STEPS - 1}) // {STEPS}), high) GROUP BY i),
+  ends AS (SELECT DISTINCT (max(t // {SLIDE}) + 1) * {SLIDE} AS e FROM marks JOIN tags
+    ON (t // {SLIDE} + 1) * {SLIDE} * 1000000 <= mark GROUP BY mark)"""
 
 STREAM_SQL = {
-    "stream_trending": f"WITH {windows_sql(TAGGED_EVENTS, SLIDE, CLOSED)} SELECT * FROM ranked",
-    "stream_payload": f"""WITH {windows_sql(TAGGED_EVENTS, SLIDE, CLOSED)}
+    "stream_trending": f"WITH {windows_sql(TAGGED_EVENTS, SLIDE)} SELECT * FROM ranked",
+    "stream_payload": f"""WITH {windows_sql(TAGGED_EVENTS, SLIDE)}
       SELECT window_end, '[' || string_agg({PAYLOAD_ITEM}, ',' ORDER BY rank) || ']' AS value
       FROM ranked GROUP BY window_end""",
-    "stream_corpus": f"""WITH {POSTS}, {TRAINING} SELECT y AS sentiment, count(*) AS count FROM training GROUP BY y""",
-    "stream_train": f"""WITH {metrics(TRAIN_STEPS)}
-      SELECT 1::BIGINT AS version, "areaUnderRoc", accuracy FROM stats""",
+    "stream_time_in_top_5s": f"""WITH {windows_sql(TAGGED_EVENTS, 5)}
+      SELECT hashtag, count(*) AS windows, min(rank) AS best_rank, max(count) AS peak FROM ranked GROUP BY hashtag""",
+    "stream_live_top": f"""WITH {REACHED}, counts AS (SELECT e AS window_end, hashtag, count(*) AS count
+        FROM ends JOIN tags ON t >= e - 3600 AND t < e GROUP BY ALL)
+      SELECT window_end, CAST(row_number() OVER (PARTITION BY window_end ORDER BY count DESC, hashtag) AS INT) AS rank,
+        hashtag, count FROM counts QUALIFY rank <= 10""",
+    "stream_tracked": f"""WITH {POSTS} SELECT lang, count(*) AS posts, CAST(sum(post_id) AS BIGINT) AS ids FROM posts
+      WHERE {POSITIVE} OR {NEGATIVE} GROUP BY lang""",
+    "stream_corpus": f"WITH {batches_sql(CORPUS_BATCH)} SELECT sentiment, count(*) AS count FROM corpus GROUP BY sentiment",
+    "stream_train": f"WITH {stream_metrics(TRAIN_BATCHES, STREAM_STEPS)}",
 }

@@ -1,19 +1,29 @@
-"""The streaming jobs as registered queries: the sample tables arrive as file streams and run to their end."""
+"""The streaming jobs as registered queries: the sample tables are replayed in the order of time, in several batches."""
 
 from contextlib import contextmanager
 
+from pyspark.sql import functions as F
+
 from ..operators.corpus import class_counts
+from ..operators.trending import time_in_top
+from ..schema import TRACK_TERMS
 from ..session import shared_dir
 from ..sources.posts import spread
-from ..sources.tables import read_sample_posts, stream_sample_posts, stream_sample_tags
+from ..sources.tables import SECONDS_PER_POST, read_sample_posts, stream_sample_posts, stream_sample_tags
 from ..streaming.corpus import collect_corpus
-from ..streaming.tables import publisher
+from ..streaming.published import FORMAT as PUBLISHED
+from ..streaming.published import publish_stream, read_published
+from ..streaming.tables import publisher, stop
 from ..streaming.training import read_metrics, start_training
-from ..streaming.trending import read_top, start_trending
-from .queries import SAMPLE_CORPUS, SLIDE, TRAIN_STEPS, rounded_metrics
+from ..streaming.trending import finish_trending, read_spans, read_top, start_trending
+from .queries import SAMPLE_CORPUS, SLIDE, rounded_metrics
 from .sentiment import training_points, training_posts
 
-ALL_AVAILABLE = {"availableNow": True}
+AT_ONCE = {"processingTime": "0 seconds"}
+STEPS = 6  # batches that the events arrive in
+TRAIN_BATCHES = 3
+STREAM_STEPS = 2  # of descent on each training batch; the SQL unrolls them
+CORPUS_BATCH = 200  # posts that arrive at once while a corpus is collected
 PARTITIONS = "spark.sql.shuffle.partitions"
 
 
@@ -28,46 +38,71 @@ def no_more_partitions_than_cores(spark):
         spark.conf.set(PARTITIONS, before)
 
 
-def run_trending(spark, folder, publish_format="json"):
+def run_trending(spark, folder, slide=SLIDE, publish_format=None, every_window=True):
+    """Stream the events through the trending job to their end; returns its work folder."""
     work = shared_dir(spark, "trending")
-    publish = publisher(publish_format, f"{work}/payload")
-    tags = stream_sample_tags(spark, folder)
+    publish = publisher(publish_format, f"{work}/payload") if publish_format else None
+    tags = stream_sample_tags(spark, folder, steps=STEPS)
     with no_more_partitions_than_cores(spark):
-        query = start_trending(tags, work, publish, slide=SLIDE, trigger=ALL_AVAILABLE)
-    query.awaitTermination()
+        query = start_trending(tags, work, publish, slide=slide, every_window=every_window, trigger=AT_ONCE)
+    stop(query)
+    if every_window:
+        finish_trending(spark, work, publish, slide=slide)
     return work
 
 
 def stream_trending(spark, folder):
-    """Ranked windows up to the last one the watermark closed."""
-    return read_top(spark, run_trending(spark, folder))
+    """Every ranked window."""
+    return read_top(spark, run_trending(spark, folder), SLIDE)
 
 
 def stream_payload(spark, folder):
-    """The published JSON per window, read back."""
-    work = run_trending(spark, folder)
-    return spark.read.schema("window_end bigint, value string").json(f"{work}/payload").select("window_end", "value")
+    """The JSON per window, published exactly once and read back."""
+    work = run_trending(spark, folder, publish_format=PUBLISHED)
+    return read_published(spark, f"{work}/payload", "window_end bigint, value string")
+
+
+def stream_time_in_top_5s(spark, folder):
+    """Windows that each hashtag spent in the top of a stream that slides by 5 seconds."""
+    return time_in_top(read_spans(spark, run_trending(spark, folder, slide=5)))
+
+
+def stream_live_top(spark, folder):
+    """The newest window of each batch, ranked by SQL over the batch's view of the live counts."""
+    return read_top(spark, run_trending(spark, folder, every_window=False), SLIDE)
 
 
 def stream_corpus(spark, folder):
-    """Class sizes of a corpus collected from the stream."""
-    posts = stream_sample_posts(spark, folder)
-    return class_counts(collect_corpus(posts, shared_dir(spark, "corpus"), SAMPLE_CORPUS, ALL_AVAILABLE))
+    """Class sizes of a corpus collected from the stream, whole batches at a time."""
+    posts = stream_sample_posts(spark, folder, step_seconds=CORPUS_BATCH * SECONDS_PER_POST)
+    return class_counts(collect_corpus(posts, shared_dir(spark, "corpus"), SAMPLE_CORPUS, AT_ONCE))
+
+
+def stream_tracked(spark, folder):
+    """Posts with a tracked term per batch of the replayed stream; the source itself leaves the others out."""
+    work = shared_dir(spark, "tracked")
+    posts = stream_sample_posts(spark, folder, steps=STEPS, track=TRACK_TERMS)
+    batches = posts.select("post_id", "lang")
+    stop(publish_stream(batches, f"{work}/posts", f"{work}/checkpoint", **AT_ONCE))
+    found = read_published(spark, f"{work}/posts", "post_id bigint, lang string")
+    return found.groupBy("lang").agg(F.count("*").alias("posts"), F.sum("post_id").alias("ids"))
 
 
 def stream_train(spark, folder):
     """Statistics of every model the stream produced, on the training posts themselves."""
     work = shared_dir(spark, "training")
     points = training_points(training_posts(spread(read_sample_posts(spark, folder))))
-    start_training(
-        stream_sample_posts(spark, folder), work, points, iterations=TRAIN_STEPS, tolerance=0.0, trigger=ALL_AVAILABLE
-    ).awaitTermination()
+    posts = stream_sample_posts(spark, folder, steps=TRAIN_BATCHES)
+    stop(start_training(posts, work, points, iterations=STREAM_STEPS, tolerance=0.0, trigger=AT_ONCE))
     return rounded_metrics(read_metrics(spark, work)).select("version", "areaUnderRoc", "accuracy")
 
 
 STREAM_QUERIES = {
     "stream_trending": stream_trending,
     "stream_payload": stream_payload,
+    "stream_time_in_top_5s": stream_time_in_top_5s,
+    "stream_live_top": stream_live_top,
+    "stream_tracked": stream_tracked,
     "stream_corpus": stream_corpus,
     "stream_train": stream_train,
 }

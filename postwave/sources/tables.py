@@ -2,6 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+from . import replay
+
 # 2024-01-01 00:00:00 UTC; the sample documents carry no time of their own.
 EPOCH = 1704067200
 SECONDS_PER_POST = 30
@@ -53,12 +56,10 @@ def read_sample_tags(spark, folder):
 
 
 def stream_sample_tags(spark, folder, **options):
-    """The events as a file stream."""
-    reader = spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", "events*.parquet")
-    return tags_from_events(reader.options(**options).parquet(folder))
+    """The events as a stream in the order of their times, in a few steps (see ``replay``)."""
+    return replay.replay(spark, replay.ordered_table(read_sample_tags(spark, folder), shared_dir(spark, "tags")), **options)
 
 
 def stream_sample_posts(spark, folder, **options):
-    """The documents as a file stream."""
-    reader = spark.readStream.schema(DOCUMENTS_SCHEMA).option("pathGlobFilter", "documents*.parquet")
-    return posts_from_documents(reader.options(**options).parquet(folder))
+    """The documents as a stream of posts in the order of their times, in a few steps (see ``replay``)."""
+    return replay.replay(spark, replay.ordered_table(read_sample_posts(spark, folder), shared_dir(spark, "posts")), **options)

@@ -2,6 +2,7 @@
 
 import threading
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from ..functions.sentiment import NEGATIVE, POSITIVE
@@ -48,16 +49,27 @@ def start_corpus(posts, work, total=CORPUS_SIZE, trigger=None):
 
 
 def collect_corpus(posts, work, total=CORPUS_SIZE, trigger=None):
-    """Collect until complete or until the stream ends, stop the stream, return the corpus."""
+    """Collect until complete or until the stream has no more posts, stop the stream, return the corpus."""
     query, complete = start_corpus(posts, work, total, trigger)
-    while query.isActive and not complete.wait(0.2):
+    drained = threading.Thread(target=wait_for_all, args=(query,), daemon=True)
+    drained.start()
+    while drained.is_alive() and not complete.wait(0.1):
         pass
-    if not complete.is_set():
-        query.awaitTermination()
     query.stop()
+    failed = query.exception()
+    if failed is not None and not complete.is_set():
+        raise failed
     return read_batches(posts.sparkSession, f"{work}/corpus", LABELLED_POST_SCHEMA)
 
 
+def wait_for_all(query):
+    """Wait until a stream has worked through what is there; returns as well when it is stopped or fails."""
+    try:
+        query.processAllAvailable()
+    except StreamingQueryException:
+        return
+
+
 def read_progress(spark, work):
     """Class sizes after each batch; no rows before the first one."""
     return read_batches(spark, f"{work}/progress", PROGRESS)

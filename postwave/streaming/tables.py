@@ -4,6 +4,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ..schema import TRENDING_TOPIC
+from . import published
 
 
 def batch_path(path, batch_id):
@@ -42,10 +43,13 @@ def carried(spark, path, batch_id):
 
 
 def publisher(fmt, path=None, topic=TRENDING_TOPIC, **options):
-    """A sink for payload rows (``value``): a topic for ``fmt='kafka'``, else one folder of files per batch."""
+    """A sink for payload rows (``value``): a topic for ``fmt='kafka'``, the exactly-once files of ``published`` for
+    ``fmt='published_rows'``, else one folder of files per batch."""
 
     def publish(payload, batch_id):
-        if fmt == "kafka":
+        if fmt == published.FORMAT:
+            published.publish_rows(payload, path, batch_id)
+        elif fmt == "kafka":
             payload.select("value").write.format(fmt).options(topic=topic, **options).save()
         else:
             write_batch(payload, path, batch_id, fmt)

@@ -18,7 +18,9 @@ from postwave.sources.posts import read_posts, stream_posts, write_corpus, read_
 from postwave.streaming.corpus import collect_corpus, read_progress
 from postwave.streaming.tables import publisher, stop
 from postwave.streaming.training import latest_model, latest_trained, read_metrics, start_training
-from postwave.streaming.trending import read_top, start_trending
+from postwave.sources import replay
+from postwave.streaming import published
+from postwave.streaming.trending import finish_trending, held_before, read_buckets, read_top, start_trending, write_buckets
 
 BASE = datetime(2024, 1, 1, tzinfo=timezone.utc)
 ONE_FILE = {"maxFilesPerTrigger": 1}
@@ -56,7 +58,7 @@ def check_trending(spark, batches, **options):
     batch = trending.top_per_window(trending.bucket_counts(tagged, 30), 600, 30, 3)
     last = spark.read.parquet(f"{work}/progress").agg(F.max("ended")).first()[0]
     assert newest - 1000 < last <= newest
-    return work, {tuple(r) for r in read_top(spark, work).collect()}, {tuple(r) for r in batch.collect() if r.window_end <= last}
+    return work, {tuple(r) for r in read_top(spark, work, 30).collect()}, {tuple(r) for r in batch.collect() if r.window_end <= last}
 
 
 def test_trending_stream_equals_batch(spark):
@@ -77,10 +79,85 @@ def test_trending_stream_with_a_gap_longer_than_the_window(spark):
 def test_newest_window_only(spark):
     work, got, want = check_trending(spark, timed_posts(5), every_window=False)
     assert got < want
-    per_batch = spark.read.parquet(f"{work}/top").groupBy("batch").agg(F.countDistinct("window_end").alias("n"))
+    per_batch = spark.read.parquet(f"{work}/top").groupBy("batch").agg(F.countDistinct("first_end").alias("n"))
     assert {r.n for r in per_batch.collect()} == {1}
 
 
+def test_finished_stream_has_every_window(spark):
+    work, _, _ = check_trending(spark, timed_posts(8, gap=2))
+    finish_trending(spark, work, window=600, slide=30, k=3)
+    posts = spark.createDataFrame([r for b in timed_posts(8, gap=2) for r in b], POST_SCHEMA)
+    tagged = trending.tagged_posts(posts)
+    batch = trending.top_per_window(trending.bucket_counts(tagged, 30), 600, 30, 3)
+    assert sorted(map(tuple, read_top(spark, work, 30).collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_a_batch_reads_the_leaving_buckets_only(spark):
+    path = shared_dir(spark, "buckets")
+    rows = [("#a", b, 1) for b in range(0, 4000)]
+    for batch in (0, 1):
+        own = spark.createDataFrame(rows[batch * 2000 : (batch + 1) * 2000], "hashtag string, bucket bigint, count bigint")
+        write_buckets(own, f"{path}/buckets", batch, 5)
+    found = read_buckets(spark, f"{path}/buckets", 10000, 10050, 2)
+    assert sorted(r.bucket for r in found.collect()) == list(range(2000, 2010))
+    assert len(found.inputFiles()) < len(spark.read.parquet(f"{path}/buckets").inputFiles())
+    assert read_buckets(spark, f"{path}/buckets", 10000, 10050, 1).count() == 0  # a replay of batch 1
+
+    class State:
+        ended, counts_batch = 19995, 1
+
+    spark.createDataFrame([("#a", 720)], "hashtag string, count bigint").write.parquet(f"{path}/counts/batch=1")
+    counts, leaving = held_before(spark, path, State, 20045, 2, 3600, 5)
+    assert counts.collect() == [("#a", 720)] and leaving.count() == 10
+
+
+def test_replay_in_steps_with_a_restart(spark):
+    posts = spark.createDataFrame([r for b in timed_posts(9) for r in b], POST_SCHEMA)
+    path = replay.ordered_table(posts, shared_dir(spark, "table"))
+    work = shared_dir(spark, "replay")
+
+    def run(batches):
+        seen = []
+
+        def on_batch(rows, batch_id):
+            seen.append(sorted(r.created_at for r in rows.collect()))
+
+        rows = replay.replay(spark, path, steps=8, track=["#a", "#b"])
+        query = rows.writeStream.foreachBatch(on_batch).option("checkpointLocation", work).trigger(processingTime="0 seconds").start()
+        until = time.time() + 60
+        while batches and query.isActive and len(seen) < batches and time.time() < until:
+            time.sleep(0.01)
+        stop(query, gracefully=not batches)
+        return seen
+
+    first = run(3)
+    second = run(None)
+    # The batch that was not committed is read again.
+    batches = [b for b in first + second if b]
+    unique = [b for i, b in enumerate(batches) if b not in batches[:i]]
+    assert unique == sorted(unique) and len(unique) >= 6
+    wanted = posts.filter("text like '%#a%' or text like '%#b%'")
+    assert sorted(t for b in unique for t in b) == sorted(r.created_at for r in wanted.collect())
+
+
+def test_published_rows_appear_once(spark):
+    path = shared_dir(spark, "published")
+    rows = spark.createDataFrame([(i, f"é{i}") for i in range(20)], "id bigint, value string").repartition(3)
+    assert published.read_published(spark, path, rows.schema).count() == 0
+    published.publish_rows(rows, path, 0)
+    published.publish_rows(rows.limit(5), path, 0)  # a replay leaves the batch as it is
+    published.publish_rows(rows.filter("false"), path, 1)
+    again = spark.read.json(f"{path}/rows")
+    assert sorted(published.read_published(spark, path, rows.schema).collect()) == sorted(rows.collect())
+    assert again.count() == 20
+    failing = rows.select(F.raise_error(F.lit("no")).cast("bigint").alias("id"), "value")
+    try:
+        published.publish_rows(failing, path, 2)
+    except Exception:  # noqa: BLE001, S110
+        pass
+    assert published.read_published(spark, path, rows.schema).count() == 20
+
+
 def test_any_split_gives_the_same_windows(spark):
     """The same posts in two, four or seven time-ordered files close the same windows."""
     rows = sorted((r for b in timed_posts(7) for r in b), key=lambda r: r[1])
