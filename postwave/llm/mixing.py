@@ -31,7 +31,6 @@ BLOCK = 512
 GOLDEN = (sqrt(5) - 1) / 2
 SLOT_CHUNK = 1 << 14
 HASH_BITS = 14  # bits of the shuffling hash that number a chunk of documents
-MOST_SOURCES = 10_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -41,36 +40,44 @@ def sizes(docs):
     return docs.select("doc_id", "source", size, F.xxhash64("doc_id", "text").alias("spot"))
 
 
+def numbered(sources):
+    """Sources with their ``number`` by code point, null last: ranges of the order first, then within a range."""
+    order = [F.col("source").isNull(), F.col("source")]
+    ranges = materialize(sources.orderBy(*order).withColumn("source_range", F.spark_partition_id()), "sources")
+    number = running(ranges.withColumn("one", F.lit(1)), [], "source_range", order, "one", "number")
+    return number.drop("one", "source_range")
+
+
 def targets(sized, weights=WEIGHTS, share=SHARE, most=MOST):
-    """(number, source, source_size, target) of each source, as a list of at most ``MOST_SOURCES``.
+    """(number, source, source_size, target, quota, blocks) of each source, and (slots, quota) of all.
 
-    The excess over a limit goes to the sources below theirs, by weight, until none is above.
+    The excess over a limit goes to the sources below theirs, by weight, until none is above. A round is one sum over the
+    sources: those whose part of what is left reaches their limit are full, and stay so, as the parts only grow.
     """
-    rows = sized.groupBy("source").agg(F.sum("size").alias("size")).limit(MOST_SOURCES + 1).collect()
-    if len(rows) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources: group them before they are mixed")
-    rows = sorted(((r.source, r.size) for r in rows), key=lambda r: (r[0] is None, r[0] or ""))
-    weight = [weights[i % len(weights)] for i in range(len(rows))]
-    limit, target, open_ = [most * n for _, n in rows], [0.0] * len(rows), set(range(len(rows)))
-    left = share * sum(n for _, n in rows)
-    while open_:
-        total = sum(weight[i] for i in open_)
-        full = {i for i in open_ if left * weight[i] / total >= limit[i]}
-        if not full:
-            for i in open_:
-                target[i] = left * weight[i] / total
+    sources = sized.groupBy("source").agg(F.sum("size").cast("bigint").alias("source_size"))
+    weight = F.element_at(F.array(*map(F.lit, weights)), F.pmod(F.col("number"), F.lit(len(weights))).cast("int") + 1)
+    rows = numbered(sources).withColumns({"weight": weight, "limit": most * F.col("source_size")})
+    rows = materialize(rows, "weights")
+    whole = rows.agg(F.sum("source_size").alias("size"), F.sum("weight").alias("weight")).first()
+    all_ = share * (whole.size or 0)
+    left, total, n_full = all_, whole.weight, -1
+    while total:
+        part = F.lit(float(left)) * F.col("weight") / F.lit(float(total))
+        full = part >= F.col("limit")
+        found = rows.agg(
+            F.count(F.when(full, 1)).alias("full"), F.sum(F.when(full, F.col("limit"))).alias("taken"), F.sum(F.when(~full, F.col("weight"))).alias("weight")
+        ).first()
+        if found.full == n_full:
             break
-        for i in full:
-            target[i] = float(limit[i])
-        left -= sum(limit[i] for i in full)
-        open_ -= full
-    return [(i, source, n, target[i]) for i, (source, n) in enumerate(rows)]
-
-
-def source_table(spark, goal):
-    rows = [(i, source, n, target, int(target), -(-int(target) // BLOCK)) for i, source, n, target in goal]
-    schema = "number int, source string, source_size bigint, target double, quota bigint, blocks bigint"
-    return spark.createDataFrame(rows, schema)
+        n_full, left, total = found.full, all_ - (found.taken or 0), found.weight
+    target = F.col("limit").cast("double")
+    if total:
+        target = F.when(part >= F.col("limit"), target).otherwise(part)
+    goal = rows.select("number", "source", "source_size", target.alias("target"))
+    quota = F.floor("target").cast("bigint")
+    goal = materialize(goal.withColumn("quota", quota).withColumn("blocks", F.ceil(F.col("quota") / BLOCK).cast("bigint")), "targets")
+    sums = goal.agg(F.sum("blocks").alias("slots"), F.sum("quota").alias("quota")).first()
+    return goal, (sums.slots or 0, sums.quota or 0)
 
 
 def running(rows, keys, chunk, order, value, name):
@@ -84,37 +91,42 @@ def running(rows, keys, chunk, order, value, name):
     return inner.join(sums, [*keys, chunk]).select(*rows.columns, start)
 
 
-def schedule(spark, goal):
-    """(slot, number, rank): the slots of the mix in order, each with its source and the source's block that it takes."""
-    sources = source_table(spark, goal)
-    total = sum(int(target) for *_, target in goal)
-    slots = sum(-(-int(target) // BLOCK) for *_, target in goal)
-    edges, upto = [], 0
-    for *_, target in goal[:-1]:
-        upto += int(target)
-        edges.append(upto / max(total, 1))
-    point = (F.col("id") + 1) * F.lit(GOLDEN)
-    point = point - F.floor(point)
-    cumulative = F.array(*map(F.lit, edges)).cast("array<double>")
-    number = F.size(F.filter(cumulative, lambda edge: edge <= point))
-    drawn = spark.range(slots).select(F.col("id").alias("slot"), number.alias("number"), F.lit(1).alias("one"))
-    drawn = drawn.withColumn("slot_chunk", F.floor(F.col("slot") / SLOT_CHUNK))
-    ranked = running(drawn, ["number"], "slot_chunk", ["slot"], "one", "rank").select("slot", "number", "rank")
-    counts = drawn.groupBy("number").agg(F.count(F.lit(1)).alias("drawn"))
-    short = sources.join(counts, "number", "left").withColumn("drawn", F.coalesce("drawn", F.lit(0)))
-    lacking = short.filter("drawn < blocks").select("number", F.explode(F.sequence("drawn", F.col("blocks") - 1)).alias("rank"))
-    lacking = lacking.select((F.lit(slots) + F.col("rank")).alias("slot"), "number", "rank")
-    kept = ranked.join(sources.select("number", "blocks"), "number").filter("rank < blocks")
-    return kept.select("slot", "number", "rank").unionAll(lacking)
-
+def schedule(goal, slots, quota):
+    """(slot, number, rank): the slots of the mix in order, each with its source and the source's block that it takes.
 
-def take(docs):
-    """doc_id, spot, size, source_size, target, taken of each document."""
-    spark = docs.sparkSession
+    Slot i belongs to the source in whose part of the cumulative quotas point i lies: that of the last edge before it. Points
+    and edges are counted in order, by ranges of the unit interval first.
+    """
+    spark = goal.sparkSession
+    upto = running(goal.withColumn("source_chunk", F.floor(F.col("number") / SLOT_CHUNK)), [], "source_chunk", ["number"], "quota", "before")
+    edges = upto.filter("number > 0").select(
+        (F.col("before") / float(max(quota, 1))).alias("place"), F.lit(None).cast("bigint").alias("slot"), F.lit(1).alias("edge")
+    )
+    turn = (F.col("id") + 1) * F.lit(GOLDEN)
+    points = spark.range(slots).select((turn - F.floor(turn)).alias("place"), F.col("id").alias("slot"), F.lit(0).alias("edge"))
+    ranges = max(1, slots // SLOT_CHUNK)
+    placed = edges.unionAll(points).withColumn("place_range", F.floor(F.col("place") * ranges))
+    order = ["place", F.desc("edge"), "slot"]
+    located = running(placed, [], "place_range", order, "edge", "number").filter("edge = 0").select("slot", "number", F.lit(1).alias("one"))
+    drawn = located.withColumn("slot_chunk", F.floor(F.col("slot") / SLOT_CHUNK))
+    drawn = materialize(running(drawn, ["number"], "slot_chunk", ["slot"], "one", "rank").select("slot", "number", "rank"), "drawn")
+    counts = drawn.groupBy("number").agg(F.count(F.lit(1)).alias("drawn"))
+    # Points fall short of a source's blocks, or exceed them, by the small discrepancy of the sequence.
+    short = goal.join(counts, "number", "left").withColumn("drawn", F.coalesce("drawn", F.lit(0))).filter("drawn < blocks")
+    short = short.withColumns({"lacking": F.col("blocks") - F.col("drawn"), "source_chunk": F.floor(F.col("number") / SLOT_CHUNK)})
+    added = running(short, [], "source_chunk", ["number"], "lacking", "added")
+    added = added.select("number", "drawn", "added", F.explode(F.sequence("drawn", F.col("blocks") - 1)).alias("rank"))
+    added = added.select((F.lit(slots) + F.col("added") + F.col("rank") - F.col("drawn")).alias("slot"), "number", "rank")
+    kept = drawn.join(goal.select("number", "blocks"), "number").filter("rank < blocks")
+    return kept.select("slot", "number", "rank").unionAll(added)
+
+
+def block_parts(docs):
+    """(number, rank, ..., words): the part of a document that lies in a block of its source's line; and the sources."""
     sized = materialize(sizes(docs), "sizes")
-    goal = targets(sized)
-    sources = source_table(spark, goal)
-    own = sized.join(sources, sized["source"].eqNullSafe(sources["source"])).drop("source", "blocks")
+    goal, sums = targets(sized)
+    sources = goal.drop("blocks")
+    own = sized.join(sources, sized["source"].eqNullSafe(sources["source"])).drop(sources["source"])
     own = own.withColumn("spot_chunk", F.shiftrightunsigned("spot", 64 - HASH_BITS))
     placed = running(own, ["number"], "spot_chunk", ["spot", "doc_id"], "size", "place")
     # A document lies on the line once in each pass; what is beyond the quota is not taken.
@@ -124,20 +136,37 @@ def take(docs):
     covered = F.sequence(F.floor(F.col("start") / BLOCK), F.floor((F.col("stop") - 1) / BLOCK))
     parts = passes.withColumn("rank", F.explode_outer(F.when(F.col("start") < F.col("stop"), covered)))
     low, high = F.greatest("start", F.col("rank") * BLOCK), F.least("stop", (F.col("rank") + 1) * BLOCK)
-    parts = parts.withColumn("words", F.coalesce(high - low, F.lit(0)))
-    slots = schedule(spark, goal).select("number", "rank", F.lit(1).alias("is_slot"))
-    found = parts.join(slots, ["number", "rank"], "left")
+    return parts.withColumn("words", F.coalesce(high - low, F.lit(0))), goal, sums
+
+
+def slots(docs):
+    """(slot, source, block, doc_id, first_word, words): the mix in order, the documents' parts that each slot takes.
+
+    ``first_word`` counts the document's words from 0.
+    """
+    parts, goal, sums = block_parts(docs)
+    own = parts.filter("words > 0").join(schedule(goal, *sums), ["number", "rank"])
+    first = F.greatest(F.col("rank") * BLOCK - F.col("start"), F.lit(0)).cast("bigint")
+    return own.select("slot", "source", F.col("rank").alias("block"), "doc_id", first.alias("first_word"), "words")
+
+
+def take(docs):
+    """doc_id, spot, size, source_size, target, taken, first_slot (null: none) of each document, from the slots of its parts."""
+    parts, goal, sums = block_parts(docs)
+    found = parts.join(schedule(goal, *sums), ["number", "rank"], "left")
     key = ["doc_id", "spot", "size", "source_size", "target", "number", "place"]
-    words = F.sum(F.when(F.col("is_slot") == 1, F.col("words")).otherwise(0)).cast("bigint").alias("taken")
+    words = F.sum(F.when(F.col("slot").isNotNull(), F.col("words")).otherwise(0)).cast("bigint").alias("taken")
     # Empty documents may share a place, so rows that are alike are counted and dealt out again.
-    grouped = found.withColumn("first_part", (F.col("pass") == 0) & (F.coalesce("rank", F.lit(-1)) <= F.floor(F.col("start") / BLOCK)))
-    grouped = grouped.groupBy(*key).agg(words, F.count(F.when(F.col("first_part"), 1)).alias("rows"))
+    found = found.withColumn("first_part", (F.col("pass") == 0) & (F.coalesce("rank", F.lit(-1)) <= F.floor(F.col("start") / BLOCK)))
+    grouped = found.groupBy(*key).agg(
+        words, F.min(F.when(F.col("words") > 0, F.col("slot"))).alias("first_slot"), F.count(F.when(F.col("first_part"), 1)).alias("rows")
+    )
     again = grouped.withColumn("row", F.explode(F.sequence(F.lit(1).cast("bigint"), "rows")))
-    return again.select("doc_id", "spot", "size", "source_size", "target", "taken")
+    return again.select("doc_id", "spot", "size", "source_size", "target", "taken", "first_slot")
 
 
 def mixed_sizes(docs):
-    """doc_id, size, source_size, target, taken of each document."""
+    """doc_id, size, source_size, target, taken, first_slot of each document."""
     return take(docs).drop("spot")
 
 
