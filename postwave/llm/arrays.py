@@ -25,20 +25,8 @@ def mix(x):
     return x ^ (x >> np.uint64(31))
 
 
-BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * BASE)
-LOWER_VALUES = BYTE_VALUES[LOWER]
-_powers = {}
-
-
-def powers(n):
-    """(base^i, base^-i) for i below n at least."""
-    if not _powers or len(_powers["up"]) < n:
-        n = max(n, 1 << 16)
-        inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
-        up, down = np.full(n, BASE, dtype=np.uint64), np.full(n, inverse, dtype=np.uint64)
-        up[0] = down[0] = 1
-        _powers.update(up=np.cumprod(up, dtype=np.uint64), down=np.cumprod(down, dtype=np.uint64))
-    return _powers["up"], _powers["down"]
+WORD_BYTES = 8
+SPANS = 1 << 16  # spans that are hashed or compared at once
 
 
 def utf8(column):
@@ -79,22 +67,54 @@ def runs(inside, offsets):
     return starts, ends
 
 
-def hashes(data, starts, ends, values=BYTE_VALUES):
-    """A 64-bit hash of each span of bytes; spans are in ascending order."""
-    out = np.empty(len(starts), dtype=np.uint64)
-    i = 0
-    while i < len(starts):
-        j = max(i + 1, int(np.searchsorted(starts, starts[i] + (1 << 20))))
-        low, high = int(starts[i]), int(ends[j - 1])
-        up, down = powers(high - low + 1)
-        sums = np.zeros(high - low + 1, dtype=np.uint64)
-        np.cumsum(values[data[low:high]] * up[: high - low], out=sums[1:])
-        s, e = starts[i:j] - low, ends[i:j] - low
-        out[i:j] = (sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64)
-        i = j
+def padded(data):
+    """The bytes as a view of 8-byte words, one starting at each byte."""
+    whole = np.concatenate([data, np.zeros(WORD_BYTES, np.uint8)])
+    return np.ndarray((len(data) + 1,), "<u8", whole.data, strides=(1,))
+
+
+def word_places(sizes):
+    """(span, number in the span, bytes) of the 8-byte words that cover spans of these sizes."""
+    count = -(-sizes // WORD_BYTES)
+    span = np.repeat(np.arange(len(sizes)), count)
+    number = np.arange(len(span)) - np.repeat(np.cumsum(count) - count, count)
+    return span, number, np.minimum(sizes[span] - number * WORD_BYTES, WORD_BYTES)
+
+
+def words_at(view, places, sizes):
+    """The words at these places, the bytes beyond their size as zeros."""
+    return view[places] & (np.uint64(2**64 - 1) >> (np.uint64(64) - (sizes.astype(np.uint64) << np.uint64(3))))
+
+
+def hashes(data, starts, ends, seed=0):
+    """A 64-bit hash of each span of bytes: its 8-byte words are mixed, each with its number, and added up.
+
+    No sum of bytes times powers is in it, so regular texts do not collide; another ``seed`` gives another hash.
+    """
+    out, view, key = np.empty(len(starts), dtype=np.uint64), padded(data), mix(np.array([seed], dtype=np.uint64) + BASE)
+    for i in range(0, len(starts), SPANS):
+        first, sizes = starts[i : i + SPANS], (ends - starts)[i : i + SPANS]
+        span, number, size = word_places(sizes)
+        word = words_at(view, first[span] + number * WORD_BYTES, size)
+        mixed = mix(word ^ mix(number.astype(np.uint64) * BASE + key)) if len(span) else word
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed, dtype=np.uint64)])
+        upto = np.cumsum(-(-sizes // WORD_BYTES))
+        out[i : i + SPANS] = sums[upto] - sums[upto - -(-sizes // WORD_BYTES)] + sizes.astype(np.uint64) * key
     return mix(out)
 
 
+def same_bytes(data, starts, other, other_starts, sizes):
+    """Which spans of ``data`` have the same bytes as spans of ``other`` of the same size."""
+    out, view, other_view = np.ones(len(starts), dtype=bool), padded(data), padded(other)
+    for i in range(0, len(starts), SPANS):
+        part = slice(i, i + SPANS)
+        span, number, size = word_places(sizes[part])
+        at = number * WORD_BYTES
+        unlike = words_at(view, starts[part][span] + at, size) != words_at(other_view, other_starts[part][span] + at, size)
+        out[i + span[unlike]] = False
+    return out
+
+
 def words(data, offsets):
     """(starts, ends, offsets of each row's words) of the words."""
     starts, ends = runs(WORD[data], offsets)
@@ -105,7 +125,7 @@ def word_hashes(column):
     """(hash of each word, offsets of each row's words)."""
     data, offsets = utf8(column)
     starts, ends, at = words(data, offsets)
-    return hashes(data, starts, ends, LOWER_VALUES), at
+    return hashes(LOWER[data], starts, ends), at
 
 
 def rows_of(offsets):

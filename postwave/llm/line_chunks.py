@@ -77,7 +77,7 @@ def multi_line(column, least=LEAST_LINES):
     number = np.arange(len(first)) - np.searchsorted(row, row)
     wide = size >= least
     start, end = start[wide], end[wide]
-    check = arrays.hashes(data, start, end, arrays.mix(arrays.BYTE_VALUES))
+    check = arrays.hashes(data, start, end, 1)
     return data, row[wide], number[wide], start, end, arrays.hashes(data, start, end), check
 
 
@@ -205,12 +205,12 @@ def units(column):
     a = np.flatnonzero((row[1:] == row[:-1]) & ~(long[1:] & long[:-1]))
     apart = (number[a + 1] - number[a]).astype(np.uint64)
 
-    def keys(values):
-        line = arrays.hashes(data, starts, plain, values)
+    def keys(seed):
+        line = arrays.hashes(data, starts, plain, seed)
         return np.concatenate([arrays.mix(arrays.mix(line[a] + apart) * arrays.BASE + line[a + 1]), line[alone]])
 
     where, last = np.concatenate([a, alone]), np.concatenate([a + 1, alone])
-    return row[where], number[where], number[last], keys(arrays.BYTE_VALUES), keys(arrays.mix(arrays.BYTE_VALUES))
+    return row[where], number[where], number[last], keys(0), keys(1)
 
 
 def unit_places(docs):

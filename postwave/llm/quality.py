@@ -48,7 +48,7 @@ def tokens(column):
     ends = np.concatenate([word_ends, sign_ends])[order]
     keys = np.concatenate(
         [
-            arrays.hashes(data, word_starts, word_ends, arrays.LOWER_VALUES),
+            arrays.hashes(arrays.LOWER[data], word_starts, word_ends),
             arrays.mix(data[sign_starts].astype(np.uint64) * arrays.BASE + np.minimum(sign_ends - sign_starts, 4).astype(np.uint64)),
         ]
     )[order]

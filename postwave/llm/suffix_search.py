@@ -11,7 +11,7 @@ Items whose words add up to more than ``BLOCK_WORDS`` are searched in several bl
 
 Items with a null id are searched like others: their hits count and their places have a null item_id, but ``items`` and
 what is made of it (n_items, items_sha256) leave them out. Null and empty texts have no words and are never hit; repeated rows are searched one by one; no items give no hit; other
-columns are kept by ``clean_documents`` and ignored elsewhere. Words are compared by 64-bit hashes.
+columns are kept by ``clean_documents`` and ignored elsewhere. Words are found by 64-bit hashes and then compared byte by byte.
 """
 
 from functools import reduce
@@ -25,20 +25,30 @@ from . import arrays
 WINDOW = 10
 SHARD_BYTES = 4 << 20
 BLOCK_WORDS = 1 << 20  # words of test items that a task holds at once (about 30 MB)
-ITEM_WORDS = "item_id string, words binary"
+ITEM_WORDS = "item_id string, words binary, sizes binary, texts binary"
 MATCHES = "doc_id bigint, start bigint, length bigint, item_id string, item_start bigint"
 HITS = "doc_id bigint, text_hash bigint, n_words bigint, hit array<bigint>, items array<string>"
 
 
 class Tests:
-    """The words of test items, numbered, and their suffixes. ``items``: list of (item_id, array of word hashes)."""
+    """The words of test items, numbered, and their suffixes.
+
+    ``items``: list of (item_id, hashes of the words, sizes of the words, bytes of the words one after the other).
+    """
 
     def __init__(self, items, window=WINDOW):
-        items = [(name, words) for name, words in items if len(words)]
-        self.window, self.names = window, [name for name, _ in items]
-        lengths = np.array([len(words) for _, words in items], dtype=np.int64)
-        words = np.concatenate([w for _, w in items] or [np.zeros(0, np.uint64)])
-        self.vocabulary = np.unique(words)
+        items = [item for item in items if len(item[1])]
+        self.window, self.names = window, [item[0] for item in items]
+        lengths = np.array([len(item[1]) for item in items], dtype=np.int64)
+        words = np.concatenate([item[1] for item in items] or [np.zeros(0, np.uint64)])
+        sizes = np.concatenate([item[2] for item in items] or [np.zeros(0, np.int64)]).astype(np.int64)
+        self.bytes = np.frombuffer(b"".join(item[3] for item in items), np.uint8)
+        starts = np.cumsum(sizes) - sizes
+        self.vocabulary, first = np.unique(words, return_index=True)
+        self.word_starts, self.word_sizes = starts[first], sizes[first]
+        place = np.searchsorted(self.vocabulary, words)
+        if not self.like(place, self.bytes, starts, sizes).all():
+            raise ValueError("two words of the test items share a hash of 64 bits")
         numbers = np.searchsorted(self.vocabulary, words).astype(np.int64) + 1
         self.ends = np.repeat(np.cumsum(lengths), lengths)  # where the item of each suffix ends
         self.item = np.repeat(np.arange(len(items)), lengths)
@@ -50,10 +60,21 @@ class Tests:
         follows = np.flatnonzero(self.ends - np.arange(len(words)) > 1)
         self.heads = np.unique(self.head(self.numbers, follows) if self.pair else numbers)
 
-    def number(self, hashes):
-        """The number of each word, 0 for a word that no item has."""
+    def like(self, place, data, starts, sizes):
+        """Which words have the bytes of the item words at these places."""
+        out = self.word_sizes[place] == sizes
+        i = np.flatnonzero(out)
+        out[i] = arrays.same_bytes(data, starts[i], self.bytes, self.word_starts[place[i]], sizes[i])
+        return out
+
+    def number(self, hashes, data, starts, ends):
+        """The number of each word of ``data``, 0 for a word that no item has."""
         place = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
-        return np.where(self.vocabulary[place] == hashes, place + 1, 0)
+        known = np.flatnonzero(self.vocabulary[place] == hashes)
+        known = known[self.like(place[known], data, starts[known], (ends - starts)[known])]
+        out = np.zeros(len(hashes), dtype=np.int64)
+        out[known] = place[known] + 1
+        return out
 
     def head(self, numbers, at):
         return numbers[at] * (len(self.vocabulary) + 1) + numbers[at + 1] if self.pair else numbers[at]
@@ -127,7 +148,10 @@ class Shard:
     """The words of a run of documents, numbered, with its suffix array."""
 
     def __init__(self, column, tests):
-        hashes, self.at = arrays.word_hashes(column)
+        data, offsets = arrays.utf8(column)
+        data = arrays.LOWER[data]
+        starts, ends, self.at = arrays.words(data, offsets)
+        hashes = arrays.hashes(data, starts, ends)
         self.rows, self.n_words = arrays.rows_of(self.at), np.diff(self.at)
         # A 0 after each document, so no match crosses its end.
         self.place = np.arange(len(hashes)) + self.rows
@@ -135,7 +159,7 @@ class Shard:
         self.back[self.place] = np.arange(len(hashes))
         self.numbers = np.zeros(len(self.back) + tests.depth + 1, dtype=np.int64)
         if tests.names:
-            self.numbers[self.place] = tests.number(hashes)
+            self.numbers[self.place] = tests.number(hashes, data, starts, ends)
         self.array = suffix_array(self.numbers, tests) if tests.names else np.zeros(0, np.int64)
 
     def hits(self, tests):
@@ -163,16 +187,21 @@ class Shard:
 
 
 def item_blocks(items, block_words=BLOCK_WORDS):
-    """Test items in blocks of at most ``block_words`` words (one item at least), each a list of (item_id, hashes).
+    """Test items in blocks of at most ``block_words`` words (one item at least), each a list as ``Tests`` takes it.
 
-    The blocks are read one after the other; a task holds one block, the plan carries 8 bytes for each word of an item.
+    The blocks are read one after the other; a task holds one block, the plan carries the words and 12 bytes for each.
     """
 
     def hashed(batches):
         for piece in arrays.pieces(batches):
-            words, at = arrays.word_hashes(piece.column("text"))
-            found = [words[i:j].tobytes() for i, j in zip(at[:-1], at[1:])]
-            yield pa.RecordBatch.from_arrays([piece.column("item_id").cast(pa.string()), pa.array(found, pa.binary())], names=["item_id", "words"])
+            data, offsets = arrays.utf8(piece.column("text"))
+            data = arrays.LOWER[data]
+            starts, ends, at = arrays.words(data, offsets)
+            hashes, sizes, texts = arrays.hashes(data, starts, ends), (ends - starts).astype(np.int32), data[arrays.WORD[data]]
+            upto = np.concatenate([[0], np.cumsum(sizes)])[at]
+            parts = [(hashes[i:j].tobytes(), sizes[i:j].tobytes(), texts[a:b].tobytes()) for i, j, a, b in zip(at[:-1], at[1:], upto[:-1], upto[1:])]
+            columns = [pa.array([p[k] for p in parts], pa.binary()) for k in range(3)]
+            yield pa.RecordBatch.from_arrays([piece.column("item_id").cast(pa.string()), *columns], names=["item_id", "words", "sizes", "texts"])
 
     rows = items.select("item_id", "text").mapInArrow(hashed, ITEM_WORDS).filter("length(words) > 0")
     block, held = [], 0
@@ -181,7 +210,7 @@ def item_blocks(items, block_words=BLOCK_WORDS):
         if block and held + len(words) > block_words:
             yield block
             block, held = [], 0
-        block.append((row.item_id, words))
+        block.append((row.item_id, words, np.frombuffer(row.sizes, np.int32), bytes(row.texts)))
         held += len(words)
     yield block
 

@@ -45,7 +45,9 @@ SHARDS_PER_TASK = 4
 SECTION = BLOCK << 11  # ids that are packed at once
 TASKS_PER_GROUP = 1000
 END_ID = 0
-MOST_KNOWN = 1_000_000  # segments a worker keeps the ids of
+MOST_KNOWN = 500_000  # segments a worker keeps the ids of
+MOST_KNOWN_BYTES = 8 << 20  # and their bytes
+JOINT_BYTES = 1 << 18  # bytes of segments that are encoded in one text
 
 SHARD_SCHEMA = (
     "shard bigint, doc_ids array<bigint>, lengths binary, n_tokens bigint, minima binary, widths binary, starts binary, "
@@ -175,6 +177,7 @@ CLOSED = np.zeros(256, dtype=bool)  # bytes that are no space and end a characte
 CLOSED[33:127] = True
 TWO_BYTES = np.zeros(256, dtype=bool)  # first bytes of two-byte characters from U+00C0, of which none is a space
 TWO_BYTES[0xC3:0xE0] = True
+SEEDS = 64  # hashes that are tried for segments that share one
 
 
 def segments(data, offsets):
@@ -197,10 +200,10 @@ def segments(data, offsets):
 
 
 class Known:
-    """Ids of the segments that a worker has met, by hash; it starts anew when full, which changes no result."""
+    """Ids and bytes of the segments that a worker has met, by hash; it starts anew when full, which changes no result."""
 
-    def __init__(self, path, most=MOST_KNOWN):
-        self.path, self.most, self.tokenizer = path, most, tokenizer(path)
+    def __init__(self, path, most=MOST_KNOWN, most_bytes=MOST_KNOWN_BYTES):
+        self.path, self.most, self.most_bytes, self.tokenizer = path, most, most_bytes, tokenizer(path)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.sizes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
         for token, number in vocabulary.items():
@@ -210,41 +213,69 @@ class Known:
     def clear(self):
         self.keys, self.base, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.text_base, self.text_size = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.text, self.text_used = np.zeros(1 << 16, np.uint8), 0
+
+    def make_room(self, segments, text_bytes):
+        if len(self.keys) + segments > self.most or self.text_used + text_bytes > self.most_bytes:
+            self.clear()
 
     def find(self, keys):
         place = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
         return place, (self.keys[place] == keys if len(self.keys) else np.zeros(len(keys), bool))
 
-    def add(self, keys, ids, size):
-        need = self.used + len(ids)
-        if need > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(max(need, len(self.flat)), np.uint32)])
-        self.flat[self.used : need] = ids
-        base = self.used + np.cumsum(size) - size
-        self.used = need
+    def like(self, place, data, starts, sizes):
+        """Which spans have the bytes of the segments at these places."""
+        out = self.text_size[place] == sizes
+        i = np.flatnonzero(out)
+        out[i] = arrays.same_bytes(data, starts[i], self.text[: self.text_used], self.text_base[place[i]], sizes[i])
+        return out
+
+    @staticmethod
+    def grown(flat, used, more):
+        need = used + len(more)
+        if need > len(flat):
+            flat = np.concatenate([flat, np.zeros(max(need - len(flat), len(flat)), flat.dtype)])
+        flat[used:need] = more
+        return flat, need
+
+    def add(self, keys, ids, size, data, starts, sizes):
+        base, text_base = self.used + np.cumsum(size) - size, self.text_used + np.cumsum(sizes) - sizes
+        self.flat, self.used = self.grown(self.flat, self.used, ids)
+        byte = np.repeat(starts - (text_base - self.text_used), sizes) + np.arange(int(sizes.sum()))
+        self.text, self.text_used = self.grown(self.text, self.text_used, data[byte])
         merged = np.concatenate([self.keys, keys])
         order = np.argsort(merged, kind="stable")
         self.keys = merged[order]
-        self.base = np.concatenate([self.base, base])[order]
-        self.size = np.concatenate([self.size, size.astype(np.int32)])[order]
+        for name, new in (("base", base), ("size", size), ("text_base", text_base), ("text_size", sizes)):
+            old = getattr(self, name)
+            setattr(self, name, np.concatenate([old, new.astype(old.dtype)])[order])
 
     def learn(self, data, starts, ends, keys):
-        """Encode the segments and keep their ids.
+        """Encode the segments and keep their ids, ``JOINT_BYTES`` of them at a time."""
+        upto = np.cumsum(ends - starts)
+        cuts = np.flatnonzero(np.diff(upto // JOINT_BYTES, prepend=0))
+        for i, j in zip([0, *cuts], [*cuts, len(starts)]):
+            if j > i:
+                self.learn_part(data, starts[i:j], ends[i:j], keys[i:j])
+
+    def learn_part(self, data, starts, ends, keys):
+        """Segments that start with white space and end in no white space are encoded in one text.
 
-        Segments that start with white space and end in no white space are encoded in one text, as between them lies
-        such a place at which the pre-tokenizer always cuts; the bytes of the tokens tell where each segment ends.
+        Between them lies such a place at which the pre-tokenizer always cuts; the bytes of the tokens tell where each ends.
         """
-        raw = data.tobytes()
-        closed = CLOSED[data[ends - 1]] | ((ends - starts > 1) & TWO_BYTES[data[ends - 2]])
+        closed = CLOSED[data[ends - 1]] | ((ends - starts > 1) & TWO_BYTES[data[np.maximum(ends, 2) - 2]])
         joint = SPACE[data[starts]] & closed
-        text = b"".join([raw[s:e] for s, e in zip(starts[joint].tolist(), ends[joint].tolist())]).decode("utf-8")
+        raw = [data[s:e].tobytes() for s, e in zip(starts.tolist(), ends.tolist())]
+        text = b"".join([x for x, own in zip(raw, joint.tolist()) if own]).decode("utf-8")
         ids = np.array(self.encode([text])[0].ids, dtype=np.uint32)
         edges = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum((ends - starts)[joint])) + 1
-        self.add(keys[joint], ids, np.diff(edges, prepend=0))
-        parts = [raw[s:e].decode("utf-8") for s, e in zip(starts[~joint].tolist(), ends[~joint].tolist())]
+        self.add(keys[joint], ids, np.diff(edges, prepend=0), data, starts[joint], (ends - starts)[joint])
+        parts = [x.decode("utf-8") for x, own in zip(raw, joint.tolist()) if not own]
         found = [x.ids for x in self.encode(parts)] if parts else []
         flat = np.array([i for x in found for i in x], dtype=np.uint32)
-        self.add(keys[~joint], flat, np.array([len(x) for x in found], dtype=np.int64))
+        sizes = np.array([len(x) for x in found], dtype=np.int64)
+        self.add(keys[~joint], flat, sizes, data, starts[~joint], (ends - starts)[~joint])
 
     def encode(self, texts):
         return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -261,14 +292,22 @@ def encode_texts(column, known):
     """(ids, ids of each row with its end id) of a string column."""
     data, offsets = arrays.utf8(column)
     starts, ends, at = segments(data, offsets)
-    keys, where, inverse = np.unique(arrays.hashes(data, starts, ends), return_index=True, return_inverse=True)
-    if len(known.keys) + len(keys) > known.most:
-        known.clear()
-    place, there = known.find(keys)
-    if not there.all():
-        fresh = np.sort(where[~there])
-        known.learn(data, starts[fresh], ends[fresh], keys[inverse[fresh]])
-        place, _ = known.find(keys)
+    sizes, keys = ends - starts, arrays.hashes(data, starts, ends)
+    for seed in range(1, SEEDS):
+        found, where, inverse = np.unique(keys, return_index=True, return_inverse=True)
+        known.make_room(len(found), int(sizes[where].sum()))
+        place, there = known.find(found)
+        if not there.all():
+            fresh = np.sort(where[~there])
+            known.learn(data, starts[fresh], ends[fresh], keys[fresh])
+            place, _ = known.find(found)
+        # A hash may be shared, bytes may not: what is not like its entry gets another hash.
+        unlike = np.flatnonzero(~known.like(place[inverse], data, starts, sizes))
+        if not len(unlike):
+            break
+        keys[unlike] = arrays.hashes(data, starts[unlike], ends[unlike], seed)
+    else:
+        raise ValueError("segments share all their hashes")
     base, size = known.base[place], known.size[place]
     count = size[inverse]
     total = np.concatenate([[0], np.cumsum(count)])
