@@ -5,10 +5,11 @@ more; ``access``, AKIA and more, 18 characters or more; ``hex``, 16 hex digits o
 
 Entropy: a candidate is a run of 20 or more letters, digits and ``+/_=-``. A window of 20 characters slides over it; the
 counts of its characters change by one in and one out, and so does the sum of c log2 c from which its entropy follows. A
-window is of the narrowest class that holds all its characters: digits, hex, letters, letters and digits, base64. Each
-class has its own limit; digits alone and letters alone have none, as numbers and long words are no secrets. Windows over
-the limit that touch are one span. An allow list drops spans that are known not to be secret, and so is a span within a
-pattern's span, which is reported already. The patterns' spans always stay.
+window is of the narrowest class that holds all its characters: digits, hex, letters, letters of both cases (``CASES`` of
+each at least), letters and digits, base64. Each class has its own limit; digits alone and letters of one case have none, as
+numbers and long words are no secrets. Windows over the limit that touch are one span. An allow list drops spans that are
+known not to be secret: those whose every part of ``LEAST_PART`` characters or more, between ``/`` and ``=``, is listed or
+made of words. A span within a pattern's span is left out, as it is reported already. The patterns' spans always stay.
 
 Positions are code points. Null and empty texts have no span; repeated rows are scanned one by one; an empty table gives an
 empty one; other columns are ignored. A text's memory is its own; candidates may be as long as the text.
@@ -32,7 +33,8 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{WINDOW},}}")
 
 # Bits of entropy that a window of each class must exceed. 20 characters have 4.32 at most.
-LIMITS = {"hex": 3.0, "alphanumeric": 3.7, "base64": 3.8}
+LIMITS = {"hex": 3.0, "mixed": 3.7, "alphanumeric": 3.7, "base64": 3.8}
+CASES = 4  # letters of each case that make a window one of both cases
 
 # What looks random and is not secret.
 ALLOWED = tuple(
@@ -42,49 +44,53 @@ ALLOWED = tuple(
         r"(?i).*(example|sample|dummy|placeholder|changeme|your[_-]?(api|key|token|secret)).*",
         r"(?i).*(0123456789|abcdefghij|qwertyuiop).*",  # rows of a keyboard or an alphabet
         r"[0-9+/_=-]*(19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}[0-9T+/_=-]*",  # dates
-        r"(?:[A-Za-z]*[/_-])*[A-Za-z]+[0-9]{0,4}",  # paths and names made of words
     )
 )
 
+LEAST_PART = 8
+PARTS, NAME, HUMP = re.compile("[/=]"), re.compile("([A-Za-z_+-]+)[0-9]{0,4}"), re.compile("[A-Z]?[a-z]+|[A-Z]+")
+
 IS_HEX = np.zeros(256, dtype=bool)
 IS_HEX[[*range(48, 58), *range(97, 103)]] = True
 IS_CANDIDATE = np.zeros(256, dtype=bool)
 IS_CANDIDATE[[*range(48, 58), *range(65, 91), *range(97, 123), *map(ord, "+/_=-")]] = True
-IS_DIGIT = np.zeros(256, dtype=bool)
-IS_DIGIT[48:58] = True
+IS_TELLING = np.zeros(256, dtype=bool)  # a candidate without a digit or a capital has no limit
+IS_TELLING[[*range(48, 58), *range(65, 91)]] = True
 
 HEX_DIGITS, DIGITS = frozenset("0123456789abcdefABCDEF"), frozenset("0123456789")
-SIGNS = frozenset("+/_=-")
+SIGNS, CAPITALS = frozenset("+/_=-"), frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZ")
 C_LOG_C = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
 
 
-def char_class(counts, digits, hexes, signs):
+def char_class(digits, hexes, signs, capitals):
     """The narrowest class of a window from its counts."""
     if digits == WINDOW:
         return "digits"
     if hexes == WINDOW and digits:
         return "hex"
-    if signs:
-        return "base64" if digits else "letters"
-    return "alphanumeric" if digits else "letters"
+    if digits:
+        return "base64" if signs else "alphanumeric"
+    return "mixed" if not signs and CASES <= capitals <= WINDOW - CASES else "letters"
 
 
 def entropy_windows(candidate):
     """(start, entropy, class) of each window of a candidate, from counts that change by one character."""
     counts, total = {}, 0.0
-    digits = hexes = signs = 0
+    digits = hexes = signs = capitals = 0
     for i, char in enumerate(candidate):
         c = counts.get(char, 0)
         total += C_LOG_C[c + 1] - C_LOG_C[c]
         counts[char] = c + 1
         digits, hexes, signs = digits + (char in DIGITS), hexes + (char in HEX_DIGITS), signs + (char in SIGNS)
+        capitals += char in CAPITALS
         if i >= WINDOW - 1:
-            yield i - WINDOW + 1, math.log2(WINDOW) - total / WINDOW, char_class(counts, digits, hexes, signs)
+            yield i - WINDOW + 1, math.log2(WINDOW) - total / WINDOW, char_class(digits, hexes, signs, capitals)
             old = candidate[i - WINDOW + 1]
             c = counts[old]
             total += C_LOG_C[c - 1] - C_LOG_C[c]
             counts[old] = c - 1
             digits, hexes, signs = digits - (old in DIGITS), hexes - (old in HEX_DIGITS), signs - (old in SIGNS)
+            capitals -= old in CAPITALS
 
 
 def entropy_spans(candidate, limits=LIMITS):
@@ -96,7 +102,22 @@ def entropy_spans(candidate, limits=LIMITS):
                 spans[-1][1] = start + WINDOW
             else:
                 spans.append([start, start + WINDOW])
-    return [(a, b) for a, b in spans if not any(x.fullmatch(candidate[a:b]) or x.fullmatch(candidate) for x in ALLOWED)]
+    return [(a, b) for a, b in spans if not allowed(candidate, a, b)]
+
+
+def of_words(part):
+    """Whether a part is a name made of words: humps of letters, 3.5 long on average, and up to four digits."""
+    found = NAME.fullmatch(part)
+    humps = HUMP.findall(found[1]) if found else []
+    return len(humps) > 0 and sum(map(len, humps)) >= 3.5 * len(humps)
+
+
+def allowed(candidate, a, b):
+    """Whether the parts of a candidate, between slashes and equals signs, that a span touches are known not to be secret."""
+    start = max(candidate.rfind(sign, 0, a) for sign in "/=") + 1
+    stop = min((i for i in (candidate.find(sign, b) for sign in "/=") if i >= 0), default=len(candidate))
+    parts = [part for part in PARTS.split(candidate[start:stop]) if len(part) >= LEAST_PART]
+    return len(parts) > 0 and all(of_words(part) or any(x.fullmatch(part) for x in ALLOWED) for part in parts)
 
 
 def base_spans(text, has_hex=True):
@@ -148,7 +169,7 @@ def scan(docs):
         for piece in arrays.pieces(batches):
             data, offsets = arrays.utf8(piece.column("text"))
             hexes = long_runs(data, offsets, IS_HEX, 16)
-            candidates = long_runs(data, offsets, IS_CANDIDATE, WINDOW, IS_DIGIT)
+            candidates = long_runs(data, offsets, IS_CANDIDATE, WINDOW, IS_TELLING)
             base, spans = [], []
             for i, text in enumerate(piece.column("text").to_pylist()):
                 base.append(base_spans(text or "", hexes[i]))

@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from postwave.llm import arrays, hard_negatives, lexical_rank, mixing, suffix_search, token_blocks, token_counts
+from postwave.llm import arrays, hard_negatives, lexical_rank, mixing, secret_scan, suffix_search, token_blocks, token_counts
 
 SCHEMA = "doc_id bigint, text string, item_id string, rank int, score double"
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -235,3 +235,49 @@ def test_sources_without_limit(spark):
     rows = spark.range(20_000).selectExpr("id AS doc_id", "'a b c' AS text", "concat('s', id) AS source")
     got = mixing.mixed_sizes(rows).agg(F.count(F.lit(1)), F.min("taken"), F.max("taken")).first()
     assert tuple(got)[0] == 20_000 and 0 < tuple(got)[2] <= 6
+
+
+def spans_by_hand(text):
+    """Entropy spans from the definition, window by window."""
+    out = []
+    for run in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text):
+        spans = []
+        for i in range(len(run[0]) - 19):
+            part = run[0][i : i + 20]
+            entropy = -sum(c / 20 * math.log2(c / 20) for c in Counter(part).values())
+            digits, capitals = len(re.findall("[0-9]", part)), len(re.findall("[A-Z]", part))
+            if digits == 20:
+                limit = math.inf
+            elif digits and re.fullmatch("[0-9a-fA-F]*", part):
+                limit = 3.0
+            elif digits:
+                limit = 3.8 if re.search("[+/_=-]", part) else 3.7
+            else:
+                limit = 3.7 if 4 <= capitals <= 16 and part.isalpha() else math.inf
+            if entropy > limit:
+                if spans and i <= spans[-1][1]:
+                    spans[-1][1] = i + 20
+                else:
+                    spans.append([i, i + 20])
+        out += [("entropy", run.start() + a, run.start() + b) for a, b in spans if not secret_scan.allowed(run[0], a, b)]
+    return out
+
+
+def test_entropy_spans(spark):
+    draw = random.Random(6)
+    signs = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
+    texts = [" é ".join("".join(draw.choices(signs[: draw.choice([26, 52, 62, 67])], k=draw.randint(5, 60))) for _ in range(6)) for _ in range(80)]
+    texts += ["zXqLmRtWvKpYsBdNcHgJfTrQwEyUi", "k=/home/sample/aZ9qLm2Rt7Wv4Kp8Ys1Bd6Xc3", "a" * 60000 + "1", "aB3" * 20000]
+    rows = secret_scan.secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    for r in rows:
+        base = secret_scan.base_spans(texts[r.doc_id])
+        added = [s for s in spans_by_hand(texts[r.doc_id]) if not any(b[1] <= s[1] and s[2] <= b[2] for b in base)]
+        assert [x for x in r.spans.split(",") if x.startswith("entropy")] == [f"{k}:{a}:{b}" for k, a, b in added]
+    found = {r.doc_id for r in rows if "entropy" in r.spans}
+    assert {80, 81} <= found and len(found) > 40
+
+
+def test_names_and_numbers_are_no_secrets():
+    for text in ("getElementsByClassNameAndOtherThings", "HTTPServerConnectionFactory12", "id=123e4567-e89b-12d3-a456-426614174000",
+                 "this/is/a/long/path/of/words2024", "12345678901234567890123", "internationalizationlongword"):
+        assert secret_scan.all_spans(text, []) == []
