@@ -16,6 +16,8 @@ def build_session(master=None, app="postwave", shuffle_partitions=None, driver_m
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
+        # Plans of a live batch are built anew; noting the Python line of each column takes a good part of that.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         # The default type has no statistics, so a time bound would skip no row group of a table written here.
         .config("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
         # Open buckets of a busy stream outgrow the heap of the default in-memory state store.
