@@ -89,7 +89,7 @@ def words(text):
 
 def test_registered():
     assert set(queries.SQL) <= set(queries.QUERIES) and {*queries.QUERIES, "pipeline"} <= set(contract.queries())
-    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(queries.SQL))
