@@ -205,20 +205,21 @@ def compare(pairs, vectors, similarity, n_slices):
     return dealt.groupBy("slice").cogroup(bags_.groupBy("of_slice")).applyInArrow(verify, "a string, b string, linked boolean")
 
 
-def links(vectors, similarity=SIMILARITY):
-    """(a, b) for linked texts, enough of them that their components are those of all links between texts of a band.
+def join_bands(vectors, similarity=SIMILARITY):
+    """(tested pairs, (fp, band, root)): texts of a band compared until the components of the links are those of all its links.
 
     A round takes one leader from each salt of a band, the text whose shingles the most texts have, and compares it with all
     texts of the band that are not in its class, the components of the links so far. Leaders come from all classes of the band
     but its largest, four times as many in each round, until all their texts have led: then of two texts of a band that are in
-    different classes one has led, and was compared with the other.
+    different classes one has led, and was compared with the other. A round's links join the classes that are there, so only
+    the classes they touch are worked on.
     """
     bands = vectors.select("fp", "common", F.explode("bands").alias("band"))
     several = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("band")
     size = vectors.agg(F.sum(F.octet_length("hashes") + F.octet_length("weights"))).first()[0] or 0
     n_slices = max(int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // SLICE_BYTES))
-    members, tested, led, salts = materialize(bands.join(several, "band"), "bands"), None, None, 1
-    rooted = members.withColumn("root", F.col("fp"))
+    rooted, tested, led, salts = bands.join(several, "band").withColumn("root", F.col("fp")), None, None, 1
+    rooted = materialize(rooted.select("fp", "common", "band", "root"), "rooted")
     while True:
         kept = rooted.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("band").agg(F.max(F.struct("n", "root")).alias("most"))
         open_ = rooted.join(kept.select("band", F.col("most.root").alias("kept_root")), "band").filter("root <> kept_root")
@@ -228,8 +229,8 @@ def links(vectors, similarity=SIMILARITY):
         leaders = open_.groupBy("band", salt.alias("salt")).agg(F.max(F.struct("common", "fp", "root")).alias("most"))
         leaders = materialize(leaders.select("band", F.col("most.fp").alias("a"), F.col("most.root").alias("a_root")), "leaders")
         if leaders.isEmpty():
-            found = vectors.filter("false").select(F.col("fp").alias("a"), F.col("fp").alias("b"), F.lit(True).alias("linked"))
-            return (found if tested is None else tested).filter("linked").select("a", "b")
+            none = vectors.filter("false").select(F.col("fp").alias("a"), F.col("fp").alias("b"), F.lit(True).alias("linked"))
+            return none if tested is None else tested, rooted
         met = rooted.join(leaders, "band").filter("root <> a_root").select("a", F.col("fp").alias("b"))
         either = [F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")]
         # Two leaders meet from both sides; the plan runs more than once, so which side is kept must not depend on the run.
@@ -240,19 +241,29 @@ def links(vectors, similarity=SIMILARITY):
         tested = fresh if tested is None else tested.unionAll(fresh)
         own = leaders.select("band", F.col("a").alias("fp"))
         led = own if led is None else led.unionAll(own)
-        roots = components(tested.filter("linked").select("a", "b")).select(F.col("node").alias("fp"), "root")
-        rooted = members.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-        rooted = materialize(rooted.select("fp", "common", "band", "root"), "rooted")
         salts *= MORE_LEADERS
+        linked = fresh.filter("linked")
+        if linked.isEmpty():
+            continue
+        root_of = lambda name: rooted.select(F.col("fp").alias(name), F.col("root").alias(f"{name}_root")).distinct()
+        joined = linked.join(root_of("a"), "a").join(root_of("b"), "b").select(F.col("a_root").alias("a"), F.col("b_root").alias("b"))
+        moved = components(joined).select(F.col("node").alias("root"), F.col("root").alias("new_root"))
+        rooted = rooted.join(moved, "root", "left").withColumn("root", F.coalesce("new_root", "root"))
+        rooted = materialize(rooted.select("fp", "common", "band", "root"), "rooted")
+
+
+def links(vectors, similarity=SIMILARITY):
+    """(a, b) for linked texts, enough of them that their components are those of all links between texts of a band."""
+    return join_bands(vectors, similarity)[0].filter("linked").select("a", "b")
 
 
 def fingerprint_roots(docs, similarity=SIMILARITY, bands=BANDS, rows=ROWS, n=SHINGLE):
-    """(fp, root) of the texts that are linked to a different text."""
+    """(fp, root) of the texts that are linked to a lesser fp, the root of their class."""
     texts, bits = slices_of_texts(docs)
     totals = gram_counts.corpus_counts(texts, count_shingles(n), bits)
     vectors = materialize(candidates(texts, totals, similarity, bands, rows, n), "vectors")
     # A text that lies in two batches is signed in one slice only, so fps are unique here.
-    return components(links(vectors, similarity)).select(F.col("node").alias("fp"), "root")
+    return join_bands(vectors, similarity)[1].filter("fp <> root").select("fp", "root").distinct()
 
 
 def classes(docs, similarity=SIMILARITY, bands=BANDS, rows=ROWS, n=SHINGLE):
