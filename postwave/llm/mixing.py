@@ -3,15 +3,16 @@
 * Sizes: words of a document, runs of other than white space. Targets: the sources by code point (null last) weigh 5, 2, 1
   and so on, and share 1.5 times all words; a target stops at twice its source's words, and the excess is shared among the
   others by weight, until none is above.
-* Schedule: point i is the fraction of i times the golden ratio. It falls into one source's part of the cumulative targets
-  and is a slot of that source. Slots are ranked per source; a source gets just the blocks that its target fills, so slots
+* Schedule: point i is the fraction of i times the golden ratio. It falls into one source's part of the cumulative quotas
+  (targets rounded down) and is a slot of that source; any number of sources will do. Slots are ranked per source; a source gets just the blocks that its target fills, so slots
   that its points fall short of (or exceed) by the sequence's small discrepancy are added (or dropped) at the end.
 * Blocks: a source's documents in a shuffled order (a hash of the id) make one line of words, cut into blocks of 512 words.
   Slot r takes block r of that line, which starts anew after its end; the last slot takes what its target still lacks. So a
   source's taken words are its target rounded down, and no document is taken more than twice.
 
 Ranks and places are running sums over chunks first (of slot numbers, of hash ranges), then within a chunk, so no task
-orders all rows of a source, however large its share. Slots and blocks meet in an equi-join on (source, block).
+orders all rows of a source, however large its share. Slots and blocks meet in an equi-join on (source, block). ``slots`` lists
+the mix in that order; what is taken of a document is the sum over its parts there.
 
 Null text has size 0 and is taken 0 times; null sources are one source; repeated rows have a place each, and ``mix`` repeats
 equal rows alike, by what is taken of them together; an empty table gives an empty one; other columns are ignored (kept by ``mix``).
