@@ -1,7 +1,11 @@
 """Fingerprints of documents as invertible Bloom lookup sketches of their paragraphs, in DataFrame operations only.
 
-A paragraph is a line. An element is a different paragraph's 64-bit digest with the number of times the text has it. A
-sketch has three tables of m cells; an element falls into one cell of each, and a cell holds the number of its elements, the
+A paragraph is a line. A line of more than 200 characters is cut at content-defined places into pieces that count as
+paragraphs: after each word (with its space; a CJK or Hangul character is a word) whose hash with the word before is 0 modulo
+16. So a text without line ends has paragraphs too, and an edit changes only the pieces that it touches. A long run of other
+characters without a space stays one paragraph.
+
+An element is a different paragraph's 64-bit digest with the number of times the text has it. A sketch has three tables of m cells; an element falls into one cell of each, and a cell holds the number of its elements, the
 xor of their keys and the xor of a check hash of the keys. The fingerprint of a text is its sketch with m = 4, written as
 ``cell:number:key:check`` (hex) of the cells in use, so equal texts have equal fingerprints.
 
@@ -27,30 +31,37 @@ from ..session import materialize
 RANGE_BYTES = 8 << 20  # bytes of text that a range of doc_id has on average
 TABLES = 3
 PART_DIGESTS = 1 << 17  # digests that a partition has on average
+LONG_LINE = 200  # characters of a line that stays whole
+PIECE_WORDS = 16  # words of a piece of a longer line, on average
+WORD_END = "(?<=[ \\u2E80-\\uD7A3])"
+MOST_BROADCAST = 100_000  # ranges, one narrow row each
+OWN, CHANGED, NEXT = range(3)
 FIRST_CELLS = 4
 GROWTH = 4
 ROUNDS = 8
 
 
 def by_range(docs, range_bytes=RANGE_BYTES):
-    """(doc_id, text, range) with ranges of doc_id in ascending order; null ids have the last range."""
+    """((doc_id, text, range), number of ranges) with ranges of doc_id in ascending order; null ids have the last range."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     size, low, high = rows.agg(F.sum(F.octet_length("text")), F.min("doc_id"), F.max("doc_id")).first()
     ranges = max(1, (size or 0) // range_bytes)
     width = max(1.0, ((high or 0) - (low or 0) + 1) / ranges)
     number = F.floor((F.col("doc_id").cast("double") - float(low or 0)) / width)
-    return rows.withColumn("range", F.coalesce(number, F.lit(1 << 62)))
+    return rows.withColumn("range", F.coalesce(number, F.lit(1 << 62))), ranges
 
 
 def with_next(docs, range_bytes=RANGE_BYTES):
     """(doc_id, text, next_text) of each document; the last document's next one is the first."""
-    rows = by_range(docs, range_bytes)
+    rows, ranges = by_range(docs, range_bytes)
     heads = rows.groupBy("range").agg(F.min("doc_id").alias("head_id"))
     order = Window.orderBy("range")  # one narrow row for each range
     # The first row of a range also goes into the range before it; that of the first range, into the last.
     last = F.max("range").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     heads = heads.withColumn("before", F.coalesce(F.lag("range").over(order), last))
-    rows = rows.join(heads.withColumnRenamed("range", "head_range"), (F.col("range") == F.col("head_range")) & F.col("doc_id").eqNullSafe(F.col("head_id")), "left")
+    # Joined without a shuffle of the texts while the heads are few.
+    heads = heads.withColumnRenamed("range", "head_range").hint("broadcast" if ranges <= MOST_BROADCAST else "merge")
+    rows = rows.join(heads, (F.col("range") == F.col("head_range")) & F.col("doc_id").eqNullSafe(F.col("head_id")), "left")
     own = F.struct(F.col("range"), F.lit(False).alias("borrowed"))
     lent = F.struct(F.col("before").alias("range"), F.lit(True).alias("borrowed"))
     rows = rows.select("doc_id", "text", F.explode(F.when(F.col("before").isNull(), F.array(own)).otherwise(F.array(own, lent))).alias("at"))
@@ -65,31 +76,43 @@ def edited(text, next_text):
     return F.concat(F.substring(text, F.lit(1), F.length(text) - quarter), F.substring(next_text, F.lit(1), quarter))
 
 
+def pieces(line):
+    """The pieces of a long line."""
+    # An array of the one list of words lets the inner function look at the word before without splitting anew.
+    ends = lambda words, word, i: F.pmod(F.xxhash64(F.get(words, i - 1), word), F.lit(PIECE_WORDS)) == 0
+    mark = lambda words: F.transform(words, lambda w, i: F.when(ends(words, w, i), F.concat(w, F.lit("\n"))).otherwise(w))
+    return F.split(F.array_join(F.transform(F.array(F.split(line, WORD_END)), mark)[0], ""), "\n")
+
+
 def digests(text):
-    return F.transform(F.split(text, "\n"), lambda paragraph: F.xxhash64(paragraph))
+    """The digests of the paragraphs of a text."""
+    whole = lambda line: F.array(F.xxhash64(line))
+    cut = lambda line: F.transform(pieces(line), lambda piece: F.xxhash64(piece))
+    return F.flatten(F.transform(F.split(text, "\n"), lambda line: F.when(F.length(line) <= LONG_LINE, whole(line)).otherwise(cut(line))))
 
 
 def versions(docs):
-    """(row, doc_id, n_chars, edited_sha256, own, changed, next) with the digests of the three texts of each document."""
+    """(row, doc_id, n_chars, edited_sha256, digests): the last are those of the own, the changed and the next text.
+
+    They are one column, as the versions share most of their digests and such repeats compress away side by side.
+    """
     rows = with_next(docs).withColumn("changed_text", edited(F.col("text"), F.col("next_text")))
     rows = rows.select(
         F.monotonically_increasing_id().alias("row"),
         "doc_id",
         F.length("text").cast("bigint").alias("n_chars"),
         F.sha2(F.col("changed_text").cast("binary"), 256).alias("edited_sha256"),
-        digests("text").alias("own"),
-        digests("changed_text").alias("changed"),
-        digests("next_text").alias("next"),
+        F.array(digests("text"), digests("changed_text"), digests("next_text")).alias("digests"),
     )
     return materialize(rows, "versions")
 
 
-def elements(table, names):
+def elements(table):
     """(row, version, key) of the different elements of the versions, kept in partitions by row."""
-    digests = table.agg(F.sum(sum(F.size(n) for n in names))).first()[0] or 0
-    rows = table.repartition(max(1, -(-digests // PART_DIGESTS)), "row")
-    named = F.explode(F.array(*[F.struct(F.lit(i).alias("version"), F.col(n).alias("digests")) for i, n in enumerate(names)])).alias("v")
-    rows = rows.select("row", named).select("row", "v.version", F.explode("v.digests").alias("digest"))
+    n = table.agg(F.sum(F.size(F.flatten("digests")))).first()[0] or 0
+    rows = table.select("row", "digests").repartition(max(1, -(-n // PART_DIGESTS)), "row")
+    rows = rows.select("row", F.posexplode("digests").alias("version", "digests"))
+    rows = rows.select("row", "version", F.explode("digests").alias("digest"))
     counted = rows.groupBy("row", "version", "digest").agg(F.count(F.lit(1)).alias("times"))
     return counted.select("row", "version", F.xxhash64("digest", "times").alias("key"))
 
@@ -112,9 +135,9 @@ def sketches(keys, m):
 
 
 def subtract(cells):
-    """(row, kind, cell, number, key, check): version 0 minus version 1 (kind 1) and minus version 2 (kind 2)."""
+    """(row, kind, cell, number, key, check): the own version minus the changed one (kind 1) and minus the next one (kind 2)."""
     pair = lambda kind, sign: F.struct(F.lit(kind).alias("kind"), F.lit(sign).alias("sign"))
-    sides = F.when(F.col("version") == 0, F.array(pair(1, 1), pair(2, 1))).when(F.col("version") == 1, F.array(pair(1, -1))).otherwise(F.array(pair(2, -1)))
+    sides = F.when(F.col("version") == OWN, F.array(pair(1, 1), pair(2, 1))).when(F.col("version") == CHANGED, F.array(pair(1, -1))).otherwise(F.array(pair(2, -1)))
     signed = cells.withColumn("side", F.explode(sides)).select("row", "side.kind", "cell", (F.col("number") * F.col("side.sign")).alias("number"), "key", "check")
     return add_up(signed)
 
@@ -155,7 +178,7 @@ def differences(table, first_cells=FIRST_CELLS, rounds=ROUNDS):
     """(row, kind, differing) of the pairs that differ; kind 1: own and changed, kind 2: own and next."""
     done, open_, failed, m = None, table, None, first_cells
     while True:
-        cells = subtract(sketches(elements(open_, ("own", "changed", "next")), m))
+        cells = subtract(sketches(elements(open_), m))
         if failed is not None:
             cells = cells.join(failed, ["row", "kind"], "left_semi")
         peeled = materialize(peel(cells, m, rounds), "peeled")
@@ -169,15 +192,15 @@ def differences(table, first_cells=FIRST_CELLS, rounds=ROUNDS):
 
 def fingerprints(table, m=FIRST_CELLS):
     """(row, fingerprint, edited_fingerprint, own_size, changed_size, next_size)."""
-    keys = elements(table, ("own", "changed", "next"))
+    keys = elements(table)
     text = F.concat_ws(":", F.lpad(F.hex("cell"), 4, "0"), F.hex("number"), F.hex("key"), F.hex("check"))
     cells = sketches(keys, m)
     size = F.sum(F.when(F.col("cell") < m, F.col("number"))).alias("size")  # each element is in the first table once
     each = cells.groupBy("row", "version").agg(F.array_join(F.array_sort(F.collect_list(text)), ",").alias("cells"), size)
     pick = lambda version, name: F.max(F.when(F.col("version") == version, F.col(name)))
     return each.groupBy("row").agg(
-        pick(0, "cells").alias("fingerprint"),
-        pick(1, "cells").alias("edited_fingerprint"),
+        pick(OWN, "cells").alias("fingerprint"),
+        pick(CHANGED, "cells").alias("edited_fingerprint"),
         *[pick(i, "size").alias(f"{n}_size") for i, n in enumerate(("own", "changed", "next"))],
     )
 

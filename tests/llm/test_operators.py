@@ -10,6 +10,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
@@ -281,8 +282,21 @@ def test_entropy_is_that_of_each_window():
         assert entropy == pytest.approx(-sum(c / 20 * math.log2(c / 20) for c in part.values()))
 
 
+def paragraphs(text):
+    """Lines, those of more than 200 characters cut after the words whose hash with the word before is 0 modulo 16."""
+    out = []
+    for line in text.split("\n"):
+        if len(line) > 200:
+            parts = re.findall("[^ \u2e80-\ud7a3]*[ \u2e80-\ud7a3]|[^ \u2e80-\ud7a3]+$", line)
+            # Spark hashes several values by taking one's hash as the seed of the next.
+            seeds = [42, *(xxhash.xxh64(w.encode(), seed=42).intdigest() for w in parts)]
+            line = "".join(w + "\n" * (xxhash.xxh64(w.encode(), seed=s).intdigest() % 16 == 0) for w, s in zip(parts, seeds))
+        out += line.split("\n")
+    return out
+
+
 def near(a, b):
-    a, b = (set(collections.Counter(t.split("\n")).items()) for t in (a, b))
+    a, b = (set(collections.Counter(paragraphs(t)).items()) for t in (a, b))
     return (len(a) + len(b) - len(a ^ b)) / (len(a) + len(b) + len(a ^ b))
 
 
@@ -300,6 +314,15 @@ def test_paragraph_sketch(spark, docs, odd):
     assert paragraph_sketch.compare_documents(odd).count() == 6
 
 
+def test_sketch_of_texts_without_line_ends(spark):
+    texts = [prose(900 + k, 1000) for k in range(6)] + ["漢字仮名交じり文" * 90, "x" * 5000, " ".join(["same"] * 4000), ""]
+    got = {r.doc_id: r for r in paragraph_sketch.compare_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
+    for k, (text, after) in enumerate(zip(texts, texts[1:] + texts[:1])):
+        changed = text[: len(text) - len(text) // 4] + after[: len(text) // 4]
+        assert (got[k].near_edited, got[k].near_next) == (pytest.approx(near(text, changed)), pytest.approx(near(text, after)))
+    assert all(got[k].near_edited > 0.5 > got[k].near_next for k in range(6))
+
+
 @pytest.mark.parametrize("range_bytes", [50, 1 << 20])
 def test_next_document(docs, range_bytes):
     got = {r.doc_id: r.next_text for r in paragraph_sketch.with_next(docs, range_bytes).collect()}
