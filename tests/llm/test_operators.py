@@ -323,8 +323,10 @@ def test_sketch_of_texts_without_line_ends(spark):
     assert all(got[k].near_edited > 0.5 > got[k].near_next for k in range(6))
 
 
+@pytest.mark.parametrize("most_broadcast", [0, 100_000])
 @pytest.mark.parametrize("range_bytes", [50, 1 << 20])
-def test_next_document(docs, range_bytes):
+def test_next_document(docs, range_bytes, most_broadcast, monkeypatch):
+    monkeypatch.setattr(paragraph_sketch, "MOST_BROADCAST", most_broadcast)
     got = {r.doc_id: r.next_text for r in paragraph_sketch.with_next(docs, range_bytes).collect()}
     assert got == {r[0]: ROWS[(i + 1) % len(ROWS)][1] or "" for i, r in enumerate(ROWS)}
 
