@@ -17,7 +17,7 @@ from ..operators.payload import ordered_payload
 from ..operators.trending import live_counts, top_spans, window_ends
 from ..schema import LATENESS, SLIDE_SECONDS, TOP_K, TRENDING_TRIGGER, WINDOW_SECONDS
 from ..session import discard
-from .tables import batch_path, carried, read_batch, write_batch
+from .tables import batch_path, carried, read_batch, read_batches, write_batch
 
 HOUR = 3600
 PROGRESS = "ended bigint, counts_batch bigint"
@@ -170,8 +170,8 @@ def finish_trending(spark, work, publish=None, window=WINDOW_SECONDS, slide=SLID
 
 
 def read_spans(spark, work):
-    """Ranked spans of windows: first_end, last_end (grid points), rank, hashtag, count."""
-    return spark.read.schema(SPANS + ", batch bigint").parquet(f"{work}/top").drop("batch")
+    """Ranked spans of windows: first_end, last_end (grid points), rank, hashtag, count; none before the first batch."""
+    return read_batches(spark, f"{work}/top", SPANS).drop("batch")
 
 
 def read_top(spark, work, slide=SLIDE_SECONDS):

@@ -140,6 +140,27 @@ def test_replay_in_steps_with_a_restart(spark):
     assert sorted(t for b in unique for t in b) == sorted(r.created_at for r in wanted.collect())
 
 
+def test_replay_of_times_without_statistics(spark):
+    """Sessions write 96-bit times by default, which have no statistics: all rows arrive nevertheless, as instants."""
+    posts = spark.createDataFrame([*(r for b in timed_posts(9) for r in b), (-1, None, "x", "en", "en", False)], POST_SCHEMA)
+    before = spark.conf.get(replay.WRITTEN_TIMES)
+    spark.conf.set(replay.WRITTEN_TIMES, "INT96")
+    try:
+        plain = shared_dir(spark, "plain")
+        posts.repartition(3).write.parquet(plain)
+        ordered = replay.ordered_table(posts, shared_dir(spark, "table"))
+        assert spark.conf.get(replay.WRITTEN_TIMES) == "INT96"
+    finally:
+        spark.conf.set(replay.WRITTEN_TIMES, before)
+    for path in (plain, ordered):
+        work, rows = shared_dir(spark, "replay"), replay.replay(spark, path, steps=4)
+        assert dict(rows.dtypes)["created_at"] == "timestamp"
+        stop(published.publish_stream(rows.select("post_id", F.unix_micros("created_at").alias("t")), f"{work}/rows", f"{work}/checkpoint"))
+        got = published.read_published(spark, f"{work}/rows", "post_id bigint, t bigint")
+        wanted = posts.filter("created_at is not null").select("post_id", F.unix_micros("created_at").alias("t"))
+        assert sorted(got.collect()) == sorted(wanted.collect())
+
+
 def test_published_rows_appear_once(spark):
     path = shared_dir(spark, "published")
     rows = spark.createDataFrame([(i, f"é{i}") for i in range(20)], "id bigint, value string").repartition(3)
@@ -241,6 +262,7 @@ def test_streams_without_rows(spark, tmp_path):
     assert corpus.select("text", "sentiment").collect() == [] and "batch" in corpus.columns
     assert read_progress(spark, work).collect() == [] and read_metrics(spark, work).collect() == []
     assert latest_model(spark, work) is None and latest_trained(spark, work) is None
+    assert read_top(spark, work).collect() == []
 
 
 def test_a_restart_goes_on_from_the_stored_weights(spark):
