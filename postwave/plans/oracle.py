@@ -9,7 +9,7 @@ from ..functions.text import SENTIMENT_WORDS, SHORT_FORMS, longest_first
 from ..schema import FEATURE_WIDTH, SEARCH_SIZE, TRENDING_LANGS
 from ..sources.tables import EPOCH, SECONDS_PER_POST
 from .queries import KEYWORD, SAMPLE_CORPUS, SLIDE, TRAIN_STEPS
-from .stream_queries import CORPUS_BATCH, STEPS, STREAM_STEPS, TRAIN_BATCHES
+from .stream_queries import STEPS, STREAM_STEPS, TRAIN_BATCHES
 
 POSTS = f"""posts AS (
   SELECT doc_id AS post_id, {EPOCH} + doc_id * {SECONDS_PER_POST} AS t,
@@ -481,6 +481,6 @@ STREAM_SQL = {
         hashtag, count FROM counts QUALIFY rank <= 10""",
     "stream_tracked": f"""WITH {POSTS} SELECT lang, count(*) AS posts, CAST(sum(post_id) AS BIGINT) AS ids FROM posts
       WHERE {POSITIVE} OR {NEGATIVE} GROUP BY lang""",
-    "stream_corpus": f"WITH {batches_sql(CORPUS_BATCH)} SELECT sentiment, count(*) AS count FROM corpus GROUP BY sentiment",
+    "stream_corpus": f"""WITH {POSTS}, {TRAINING} SELECT y AS sentiment, count(*) AS count FROM training GROUP BY y""",
     "stream_train": f"WITH {stream_metrics(TRAIN_BATCHES, STREAM_STEPS)}",
 }

@@ -1,5 +1,6 @@
 """Collect a class-balanced corpus from a live stream, whole micro-batches at a time."""
 
+import math
 import threading
 
 from pyspark.errors import StreamingQueryException
@@ -17,9 +18,10 @@ PROGRESS = "positive bigint, negative bigint, total bigint"
 def start_corpus(posts, work, total=CORPUS_SIZE, trigger=None):
     """Start collecting; returns (query, event). The event is set once both classes hold half of ``total``.
 
-    A class takes a batch while it is below its half. ``progress`` keeps the sizes after each batch.
+    A class takes a batch while it is below its half; without a ``total`` each class takes all batches, and the event is
+    never set. ``progress`` keeps the sizes after each batch.
     """
-    quota = total // 2
+    quota = math.inf if total is None else total // 2
     complete = threading.Event()
 
     def on_batch(labelled, batch_id):

@@ -11,6 +11,7 @@ from postwave.functions.tokens import split_words
 from postwave.operators import trending
 from postwave.operators.features import fit_idf
 from postwave.operators.model import LogisticModel, train
+from postwave.plans.stream_queries import stream_corpus
 from postwave.plans.sentiment import Featurizer, classify_keyword, training_points, training_posts
 from postwave.schema import POST_SCHEMA
 from postwave.session import shared_dir
@@ -19,6 +20,7 @@ from postwave.streaming.corpus import collect_corpus, read_progress
 from postwave.streaming.tables import publisher, stop
 from postwave.streaming.training import latest_model, latest_trained, read_metrics, start_training
 from postwave.sources import replay
+from postwave.sources.tables import read_sample_posts
 from postwave.streaming import published
 from postwave.streaming.trending import finish_trending, held_before, read_buckets, read_top, start_trending, write_buckets
 
@@ -223,6 +225,20 @@ def test_corpus_stream(spark):
     assert got == progress[:len(got)] and min(got[-1][:2]) >= 10
 
 
+def test_corpus_of_a_whole_stream(spark):
+    batches = labelled_posts(1, 6)
+    source, work = shared_dir(spark, "in"), shared_dir(spark, "work")
+    feed(spark, source, batches)
+    corpus = collect_corpus(stream_posts(spark, source, "json", **ONE_FILE), work, None, NOW)
+    assert sorted(r.text for r in corpus.collect()) == sorted(r[2] for rows in batches for r in rows if not r[5])
+
+
+def test_stream_corpus_reads_every_post(spark, samples):
+    posts = training_posts(read_sample_posts(spark, samples))
+    counts = {r.sentiment: r["count"] for r in stream_corpus(spark, samples).collect()}
+    assert counts == {r.sentiment: r["count"] for r in posts.groupBy("sentiment").count().collect()}
+
+
 def test_corpus_files(spark):
     folder = shared_dir(spark, "corpus")
     rows = spark.createDataFrame([("a", 1.0), ("b", 0.0)], "text string, sentiment double")
