@@ -1,8 +1,11 @@
 """Hand-derived cases for normalisation, tokens, sentiment and filters."""
 
+import random
+
+import pyarrow as pa
 import pytest
 
-from postwave.functions import sentiment, text, tokens
+from postwave.functions import sentiment, stem, text, tokens
 from postwave.functions.stem import porter, stem_text
 from postwave.operators import filters
 from postwave.operators.trending import hashtag_words
@@ -199,3 +202,20 @@ def test_filters(spark):
 def test_hashtag_words(spark):
     posts = posts_from_rows(spark, [post(1, "#a #A, # a#b x"), post(2, "none")])
     assert sorted(r.hashtag for r in hashtag_words(posts).collect()) == ["#", "#A,", "#a"]
+
+
+def test_stems_by_parts_of_bounded_bytes():
+    rng = random.Random(5)
+    texts = [None, "", " ", "running  dogs", "a" * 200 + "ing"] + [" ".join(rng.choice(["hopping", "flies", "relational", "x"]) for _ in range(rng.randrange(40))) for _ in range(200)]
+    array = pa.array(texts, pa.string()).slice(1).slice(0, 203)
+    known = {}
+    parts = list(stem._parts(array, 500))
+    assert len(parts) > 10 and pa.concat_arrays(parts).to_pylist() == array.to_pylist()
+    longest = max(len(t) for t in texts if t)
+    assert all(sum(len(t or "") for t in p.to_pylist()) <= 500 + longest for p in parts)
+    got = [x for p in parts for x in stem._stem_texts(p, known).to_pylist()]
+    assert got == [t if t is None else " ".join(stem.porter(w) for w in t.split(" ")) for t in array.to_pylist()]
+    assert max(map(len, known)) <= stem.KNOWN_LENGTH
+    for i in range(stem.KNOWN_WORDS + 10):
+        stem._stem(f"w{i}", known)
+    assert len(known) <= stem.KNOWN_WORDS
