@@ -10,10 +10,11 @@ more. Classes are the connected components; equal texts are always one class, al
 2. A text can only have a link if 0.8 of its weight lies in shingles of two texts or more; others are done. For each that
    is left, 30 consistent weighted samples give ten band keys of three samples: a pair at 0.8 shares a band in 99.9 % of
    cases, one at 0.9 in all but one of 100,000.
-3. In a band, texts are compared by their exact weights with one leader among them, then with four, then sixteen, each with
-   all texts of the band that are not in its class yet. In the end any two texts of a band are compared or in one class. A
-   group of n copies that are linked to a leader costs n comparisons; texts that share a band and have no link are all
-   compared with each other. A leader that many are compared with travels once to each slice of them.
+3. In a band, all texts are first compared by their exact weights with one leader, which n copies of a text need n
+   comparisons for. A band that still has texts of several classes is then cut into blocks of bounded bytes, and each pair of
+   blocks is one group of rows: its texts are compared with all others there that are not in their class yet, so any two
+   texts of a band are compared or in one class. Only links leave a group. The rows of a band grow with its texts times its
+   blocks; the comparisons of texts that share a band and have no link still grow with the square of their number.
 4. Components of the links, then the least doc_id of each class.
 
 Null counts as empty; ties and repeated rows fall in one class; an empty table gives an empty one; a class in which every
@@ -33,7 +34,7 @@ SIMILARITY = 0.8
 BANDS = 10
 ROWS = 3
 SLICE_BYTES = 4 << 20  # weighted shingles of the texts that a slice compares
-MORE_LEADERS = 4
+BLOCK_BYTES = 4 << 20  # weighted shingles of the texts of a block
 CANDIDATES = "fp string, common double, bands array<bigint>, hashes binary, weights binary"
 
 
@@ -205,51 +206,117 @@ def compare(pairs, vectors, similarity, n_slices):
     return dealt.groupBy("slice").cogroup(bags_.groupBy("of_slice")).applyInArrow(verify, "a string, b string, linked boolean")
 
 
-def join_bands(vectors, similarity=SIMILARITY):
-    """(tested pairs, (fp, band, root)): texts of a band compared until the components of the links are those of all its links.
+def block_links(hashes, weights, roots, split, similarity):
+    """(i, j) of linked texts, enough of them to join all classes that links join.
 
-    A round takes one leader from each salt of a band, the text whose shingles the most texts have, and compares it with all
-    texts of the band that are not in its class, the components of the links so far. Leaders come from all classes of the band
-    but its largest, four times as many in each round, until all their texts have led: then of two texts of a band that are in
-    different classes one has led, and was compared with the other. A round's links join the classes that are there, so only
-    the classes they touch are worked on.
+    ``roots``: the class of each text. Texts are compared with those after them; with ``split``, only across that place.
     """
-    bands = vectors.select("fp", "common", F.explode("bands").alias("band"))
+    sizes = [len(x) for x in hashes]
+    firsts = np.concatenate([[0], np.cumsum(sizes)])
+    codes = np.unique(np.concatenate(hashes), return_inverse=True)[1]
+    values = np.concatenate(weights)
+    totals = np.array([x.sum() for x in weights])
+    _, group = np.unique(np.array(roots), return_inverse=True)
+    mark, found = np.zeros(len(codes)), []
+    for i in range(split or len(sizes) - 1):
+        start = split or i + 1
+        if (group[start:] == group[i]).all():
+            continue
+        own = slice(firsts[i], firsts[i + 1])
+        mark[codes[own]] = values[own]
+        rest = firsts[start]
+        least = np.add.reduceat(np.minimum(mark[codes[rest:]], values[rest:]), firsts[start:-1] - rest)
+        mark[codes[own]] = 0.0
+        near = least >= (similarity - 1e-9) * (totals[i] + totals[start:] - least)
+        others = start + np.flatnonzero(near & (group[start:] != group[i]))
+        joined, once = np.unique(group[others], return_index=True)
+        found += [(i, j) for j in others[once].tolist()]
+        group[np.isin(group, joined)] = group[i]
+    return found
+
+
+def compare_blocks(open_, vectors, similarity, block_bytes=BLOCK_BYTES):
+    """(a, b, a_root, b_root) of linked texts of different classes, from the bands in ``open_`` (fp, band, root).
+
+    Pairs of blocks are dealt to slices; a slice gets each bag it needs once, whatever the number of its bands.
+    """
+    spark = vectors.sparkSession
+    size = vectors.select("fp", (F.octet_length("hashes") + F.octet_length("weights")).alias("bytes"))
+    sized = open_.join(size, "fp")
+    blocks = sized.groupBy("band").agg(F.ceil(F.sum("bytes") / block_bytes).cast("int").alias("blocks"))
+    sized = sized.join(blocks, "band").withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    members = sized.select("fp", "band", "root", "bytes", "block", other)
+    members = members.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+    members = materialize(members.select("band", "low", "high", "block", "fp", "root", "bytes"), "members")
+    total = members.agg(F.sum("bytes")).first()[0] or 0
+    n_slices = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // SLICE_BYTES))
+    number = F.pmod(F.xxhash64("band", "low", "high"), F.lit(n_slices)).cast("int").alias("slice")
+    dealt = members.select(number, "band", "low", "high", "block", "fp", "root")
+    needed = dealt.select(F.col("slice").alias("of_slice"), F.col("fp").alias("bag")).distinct()
+    bags_ = needed.join(vectors.select(F.col("fp").alias("bag"), "hashes", "weights"), "bag").select("of_slice", "bag", "hashes", "weights")
+
+    def verify(members, table):
+        place = {fp: i for i, fp in enumerate(table.column("bag").to_pylist())}
+        columns = [(table.column(name).combine_chunks(), kind) for name, kind in (("hashes", "u8"), ("weights", "f8"))]
+        bag = lambda fp, k: np.frombuffer(columns[k][0][place[fp]].as_buffer(), columns[k][1])
+        members = members.sort_by([(name, "ascending") for name in ("band", "low", "high", "block", "fp")])
+        keys = [members.column(name).to_numpy() for name in ("band", "low", "high")]
+        new = np.ones(members.num_rows, dtype=bool)
+        new[1:] = np.any([x[1:] != x[:-1] for x in keys], axis=0)
+        edges = np.append(np.flatnonzero(new), members.num_rows).tolist()
+        fps, roots, block = (members.column(name).to_pylist() for name in ("fp", "root", "block"))
+        found = []
+        for start, end in zip(edges, edges[1:]):
+            split = 0
+            if keys[1][start] != keys[2][start]:
+                split = block[start:end].count(int(keys[1][start]))
+                if split in (0, end - start):
+                    continue
+            own = range(start, end)
+            linked = block_links([bag(fps[i], 0) for i in own], [bag(fps[i], 1) for i in own], roots[start:end], split, similarity)
+            found += [(fps[start + i], fps[start + j], roots[start + i], roots[start + j]) for i, j in linked]
+        names = ("a", "b", "a_root", "b_root")
+        return pa.table({name: pa.array([row[k] for row in found], pa.string()) for k, name in enumerate(names)})
+
+    both = dealt.groupBy("slice").cogroup(bags_.groupBy("of_slice"))
+    return both.applyInArrow(verify, "a string, b string, a_root string, b_root string")
+
+
+def reroot(rooted, joined):
+    """``rooted`` with the classes joined that the rows of (a, b) name."""
+    moved = components(joined).select(F.col("node").alias("root"), F.col("root").alias("new_root"))
+    rooted = rooted.join(moved, "root", "left").withColumn("root", F.coalesce("new_root", "root"))
+    return materialize(rooted.select("fp", "common", "band", "root"), "rooted")
+
+
+def join_bands(vectors, similarity=SIMILARITY, block_bytes=BLOCK_BYTES):
+    """(compared pairs: all with a leader, of the others the linked ones; (fp, band, root)): the classes of the links of all bands.
+
+    The leader of a band is the text whose shingles the most texts have. What it leaves apart is compared block by block.
+    """
+    bands = vectors.select("fp", "common", F.explode("bands").alias("band")).distinct()
     several = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("band")
     size = vectors.agg(F.sum(F.octet_length("hashes") + F.octet_length("weights"))).first()[0] or 0
     n_slices = max(int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // SLICE_BYTES))
-    rooted, tested, led, salts = bands.join(several, "band").withColumn("root", F.col("fp")), None, None, 1
+    rooted = bands.join(several, "band").withColumn("root", F.col("fp"))
     rooted = materialize(rooted.select("fp", "common", "band", "root"), "rooted")
-    while True:
-        kept = rooted.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("band").agg(F.max(F.struct("n", "root")).alias("most"))
-        open_ = rooted.join(kept.select("band", F.col("most.root").alias("kept_root")), "band").filter("root <> kept_root")
-        if led is not None:
-            open_ = open_.join(led, ["band", "fp"], "left_anti")
-        salt = F.pmod(F.xxhash64("fp"), F.lit(salts))
-        leaders = open_.groupBy("band", salt.alias("salt")).agg(F.max(F.struct("common", "fp", "root")).alias("most"))
-        leaders = materialize(leaders.select("band", F.col("most.fp").alias("a"), F.col("most.root").alias("a_root")), "leaders")
-        if leaders.isEmpty():
-            none = vectors.filter("false").select(F.col("fp").alias("a"), F.col("fp").alias("b"), F.lit(True).alias("linked"))
-            return none if tested is None else tested, rooted
-        met = rooted.join(leaders, "band").filter("root <> a_root").select("a", F.col("fp").alias("b"))
-        either = [F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")]
-        # Two leaders meet from both sides; the plan runs more than once, so which side is kept must not depend on the run.
-        pairs = met.groupBy(*either).agg(F.min(F.struct("a", "b")).alias("side")).select("low", "high", "side.a", "side.b")
-        if tested is not None:
-            pairs = pairs.join(tested.select(*either), ["low", "high"], "left_anti")
-        fresh = materialize(compare(pairs, vectors, similarity, n_slices), "links")
-        tested = fresh if tested is None else tested.unionAll(fresh)
-        own = leaders.select("band", F.col("a").alias("fp"))
-        led = own if led is None else led.unionAll(own)
-        salts *= MORE_LEADERS
-        linked = fresh.filter("linked")
-        if linked.isEmpty():
-            continue
-        root_of = lambda name: rooted.select(F.col("fp").alias(name), F.col("root").alias(f"{name}_root")).distinct()
-        joined = linked.join(root_of("a"), "a").join(root_of("b"), "b").select(F.col("a_root").alias("a"), F.col("b_root").alias("b"))
-        moved = components(joined).select(F.col("node").alias("root"), F.col("root").alias("new_root"))
-        rooted = rooted.join(moved, "root", "left").withColumn("root", F.coalesce("new_root", "root"))
-        rooted = materialize(rooted.select("fp", "common", "band", "root"), "rooted")
+    leaders = rooted.groupBy("band").agg(F.max(F.struct("common", "fp")).alias("most")).select("band", F.col("most.fp").alias("a"))
+    met = rooted.join(leaders, "band").filter("fp <> a").select("a", F.col("fp").alias("b"))
+    # Two leaders meet from both sides; the plan runs more than once, so which side is kept must not depend on the run.
+    either = [F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")]
+    pairs = met.groupBy(*either).agg(F.min(F.struct("a", "b")).alias("side")).select("side.a", "side.b")
+    tested = materialize(compare(pairs, vectors, similarity, n_slices), "links")
+    linked = tested.filter("linked").select("a", "b")
+    if not linked.isEmpty():
+        rooted = reroot(rooted, linked)
+    # Of two texts one has led.
+    kinds = rooted.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("least"), F.max("root").alias("greatest"))
+    open_ = rooted.join(kinds.filter("n > 2 and least <> greatest").select("band"), "band").select("fp", "band", "root")
+    more = materialize(compare_blocks(open_, vectors, similarity, block_bytes), "links")
+    if not more.isEmpty():
+        rooted = reroot(rooted, more.select(F.col("a_root").alias("a"), F.col("b_root").alias("b")))
+    return tested.unionAll(more.select("a", "b", F.lit(True).alias("linked"))), rooted
 
 
 def links(vectors, similarity=SIMILARITY):

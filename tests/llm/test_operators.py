@@ -166,6 +166,31 @@ def near_classes(texts):
     return [root[t or ""] for t in texts]
 
 
+def test_blocks_of_a_band_join_what_links_join(spark):
+    """Texts of one band without a common centre, in one block and in many: the classes are those of all pairs."""
+    rng, rows = np.random.default_rng(4), []
+    base = np.sort(rng.choice(10**9, 60, replace=False)).astype(np.uint64)
+    for i in range(60):
+        keys = base.copy()
+        at = (i * 3 + np.arange(6)) % 60 if i < 40 else rng.choice(60, 12, replace=False)
+        keys[at] = rng.choice(10**9, len(at)).astype(np.uint64) if i >= 40 else keys[at] + np.uint64(1 + i // 20)
+        keys = np.unique(keys)
+        rows.append((f"{i:032d}", float(i), [7, 8], keys.tobytes(), np.ones(len(keys)).tobytes()))
+    root = list(range(60))
+    bags = [(np.frombuffer(r[3], "u8"), np.frombuffer(r[4], "f8")) for r in rows]
+    for i in range(60):
+        for j in range(i):
+            if root[i] != root[j] and near_copies.weighted_similarity(*bags[i], *bags[j]) >= 0.8 - 1e-9:
+                old, new = max(root[i], root[j]), min(root[i], root[j])
+                root = [new if r == old else r for r in root]
+    assert 2 < len(set(root)) < 50
+    vectors = spark.createDataFrame(rows, near_copies.CANDIDATES)
+    for block_bytes in (1 << 20, 9000):
+        tested, rooted = near_copies.join_bands(vectors, 0.8, block_bytes)
+        assert {int(r.fp): int(r.root) for r in rooted.collect()} == dict(enumerate(root))
+        assert tested.filter("not linked").count() < 60  # only pairs with the leader are rows without a link
+
+
 def test_near_copies(spark):
     texts = [*TEXTS, *(edit(edit(BASE, k), k + 100) for k in range(60))]
     roots = near_classes(texts)
