@@ -8,13 +8,18 @@ write inside ``foreachBatch`` with the option ``batch``.
 """
 
 import json
+import sys
 import uuid
 from dataclasses import dataclass
 
+from pyspark import cloudpickle
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceStreamArrowWriter, WriterCommitMessage
 
 from ..sources.replay import file_system
 
+# The sink travels by value, as the source of ``replay`` does.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 FORMAT = "published_rows"
 
 

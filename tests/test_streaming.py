@@ -1,10 +1,16 @@
 """Streams against their batch forms, in several micro-batches, with replays and restarts."""
 
 import json
+import os
 import random
+import subprocess
+import sys
 import time
 from datetime import datetime, timedelta, timezone
 
+import pytest
+from pyspark import cloudpickle
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from postwave.functions.tokens import split_words
@@ -298,3 +304,24 @@ def test_graceful_stop_keeps_the_session(spark):
     stop(query)
     assert not query.isActive and latest_model(spark, work).version == 1
     assert spark.range(3).count() == 3
+
+
+def test_a_failed_stream_is_no_empty_result(spark):
+    def fail(batch, number):
+        raise ValueError("no batch is written")
+
+    query = spark.readStream.format("rate").load().writeStream.foreachBatch(fail).start()
+    with pytest.raises(StreamingQueryException):
+        query.awaitTermination()
+    with pytest.raises(StreamingQueryException):
+        stop(query)
+    assert not query.isActive
+
+
+@pytest.mark.parametrize("kind", [replay.PostReplay, published.PublishedRows])
+def test_sources_and_sinks_need_no_package_on_the_workers(kind, tmp_path):
+    (tmp_path / "kind").write_bytes(cloudpickle.dumps(kind))
+    code = "import pickle, sys; print(pickle.load(open('kind', 'rb')).name(), 'postwave' in sys.modules)"
+    bare = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=bare, capture_output=True, text=True)
+    assert run.stdout.split() == [kind.name(), "False"], run.stderr
