@@ -58,15 +58,14 @@ _tokenizers, _known = {}, {}
 
 def pack(values, width):
     """Rows of 128 numbers below 2^width as rows of 4 x width 32-bit words; number j starts at bit j x width."""
-    out = np.zeros((4 * width, len(values)), dtype=np.uint64)
+    out = np.zeros((2 * width, len(values)), dtype=np.uint64)
     columns = np.ascontiguousarray(values.T).astype(np.uint64)
     for j in range(BLOCK):
-        word, shift = divmod(j * width, 32)
-        shifted = columns[j] << np.uint64(shift)
-        out[word] |= shifted & np.uint64(0xFFFFFFFF)
-        if shift + width > 32:
-            out[word + 1] |= shifted >> np.uint64(32)
-    return np.ascontiguousarray(out.T.astype("<u4"))
+        word, shift = divmod(j * width, 64)
+        out[word] |= columns[j] << np.uint64(shift)
+        if shift + width > 64:
+            out[word + 1] |= columns[j] >> np.uint64(64 - shift)
+    return np.ascontiguousarray(out.T.astype("<u8")).view("<u4")
 
 
 def unpack(words, width):
@@ -199,8 +198,17 @@ def segments(data, offsets):
     return starts, ends, np.searchsorted(starts, offsets).astype(np.int64)
 
 
+def spread(starts, sizes):
+    """The places of spans, one after the other."""
+    upto = np.cumsum(sizes, dtype=np.int64)
+    return np.repeat(starts - (upto - sizes), sizes) + np.arange(int(upto[-1]) if len(upto) else 0)
+
+
 class Known:
-    """Ids and bytes of the segments that a worker has met, by hash; it starts anew when full, which changes no result."""
+    """Ids and bytes of the segments that a worker has met, by hash.
+
+    When full it keeps those that were met again, or none if they fill half of it; that changes no result.
+    """
 
     def __init__(self, path, most=MOST_KNOWN, most_bytes=MOST_KNOWN_BYTES):
         self.path, self.most, self.most_bytes, self.tokenizer = path, most, most_bytes, tokenizer(path)
@@ -215,14 +223,29 @@ class Known:
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
         self.text_base, self.text_size = np.zeros(0, np.int64), np.zeros(0, np.int32)
         self.text, self.text_used = np.zeros(1 << 16, np.uint8), 0
+        self.again = np.zeros(0, bool)
 
     def make_room(self, segments, text_bytes):
         if len(self.keys) + segments > self.most or self.text_used + text_bytes > self.most_bytes:
-            self.clear()
+            self.keep(np.flatnonzero(self.again))
+
+    def keep(self, chosen):
+        """Forget all but the chosen segments, in the order of their keys; these are old ones from now on."""
+        keys, size, text_size = self.keys[chosen], self.size[chosen], self.text_size[chosen]
+        ids, text = self.flat[spread(self.base[chosen], size)], self.text[spread(self.text_base[chosen], text_size)]
+        self.clear()
+        if len(keys) <= self.most // 2 and len(text) <= self.most_bytes // 2:
+            self.add(keys, ids, size, text, text_size)
+
+    def places(self, keys):
+        return np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
 
     def find(self, keys):
-        place = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
-        return place, (self.keys[place] == keys if len(self.keys) else np.zeros(len(keys), bool))
+        """(places, which keys are there); those have been met again."""
+        place = self.places(keys)
+        there = self.keys[place] == keys if len(self.keys) else np.zeros(len(keys), bool)
+        self.again[place[there]] = True
+        return place, there
 
     def like(self, place, data, starts, sizes):
         """Which spans have the bytes of the segments at these places."""
@@ -239,15 +262,17 @@ class Known:
         flat[used:need] = more
         return flat, need
 
-    def add(self, keys, ids, size, data, starts, sizes):
+    def add(self, keys, ids, size, text, sizes):
+        """Keep segments by key: their ids and their text, each one after the other, and the sizes of both."""
         base, text_base = self.used + np.cumsum(size) - size, self.text_used + np.cumsum(sizes) - sizes
         self.flat, self.used = self.grown(self.flat, self.used, ids)
-        byte = np.repeat(starts - (text_base - self.text_used), sizes) + np.arange(int(sizes.sum()))
-        self.text, self.text_used = self.grown(self.text, self.text_used, data[byte])
+        self.text, self.text_used = self.grown(self.text, self.text_used, text)
         merged = np.concatenate([self.keys, keys])
         order = np.argsort(merged, kind="stable")
         self.keys = merged[order]
-        for name, new in (("base", base), ("size", size), ("text_base", text_base), ("text_size", sizes)):
+        new_again = np.zeros(len(keys), bool)
+        columns = ("base", base), ("size", size), ("text_base", text_base), ("text_size", sizes), ("again", new_again)
+        for name, new in columns:
             old = getattr(self, name)
             setattr(self, name, np.concatenate([old, new.astype(old.dtype)])[order])
 
@@ -266,16 +291,18 @@ class Known:
         """
         closed = CLOSED[data[ends - 1]] | ((ends - starts > 1) & TWO_BYTES[data[np.maximum(ends, 2) - 2]])
         joint = SPACE[data[starts]] & closed
-        raw = [data[s:e].tobytes() for s, e in zip(starts.tolist(), ends.tolist())]
-        text = b"".join([x for x, own in zip(raw, joint.tolist()) if own]).decode("utf-8")
-        ids = np.array(self.encode([text])[0].ids, dtype=np.uint32)
-        edges = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum((ends - starts)[joint])) + 1
-        self.add(keys[joint], ids, np.diff(edges, prepend=0), data, starts[joint], (ends - starts)[joint])
-        parts = [x.decode("utf-8") for x, own in zip(raw, joint.tolist()) if not own]
+        order = np.concatenate([np.flatnonzero(joint), np.flatnonzero(~joint)])
+        starts, sizes, together = starts[order], (ends - starts)[order], int(joint.sum())
+        upto, flat = np.cumsum(sizes), data[spread(starts, sizes)]
+        middle = int(sizes[:together].sum())
+        ids = np.array(self.encode([flat[:middle].tobytes().decode("utf-8")])[0].ids, dtype=np.uint32)
+        count = np.diff(np.searchsorted(np.cumsum(self.sizes[ids]), upto[:together]) + 1, prepend=0)
+        edges = [middle, *upto[together:].tolist()]
+        parts = [flat[i:j].tobytes().decode("utf-8") for i, j in zip(edges, edges[1:])]
         found = [x.ids for x in self.encode(parts)] if parts else []
-        flat = np.array([i for x in found for i in x], dtype=np.uint32)
-        sizes = np.array([len(x) for x in found], dtype=np.int64)
-        self.add(keys[~joint], flat, sizes, data, starts[~joint], (ends - starts)[~joint])
+        ids = np.concatenate([ids, np.array([i for x in found for i in x], dtype=np.uint32)])
+        count = np.concatenate([count, np.array([len(x) for x in found], dtype=np.int64)])
+        self.add(keys[order], ids, count, flat, sizes)
 
     def encode(self, texts):
         return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -300,7 +327,7 @@ def encode_texts(column, known):
         if not there.all():
             fresh = np.sort(where[~there])
             known.learn(data, starts[fresh], ends[fresh], keys[fresh])
-            place, _ = known.find(found)
+            place = known.places(found)
         # A hash may be shared, bytes may not: what is not like its entry gets another hash.
         unlike = np.flatnonzero(~known.like(place[inverse], data, starts, sizes))
         if not len(unlike):

@@ -161,6 +161,19 @@ def test_ids_of_texts_that_share_hashes(monkeypatch, weak):
         assert sizes.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
 
 
+def test_a_full_memo_keeps_what_was_met_again():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    known, plain, learnt = token_blocks.Known(path, most=300), token_blocks.tokenizer(path), []
+    known.encode = lambda texts: learnt.extend(texts) or plain.encode_batch_fast(texts, add_special_tokens=False)
+    for i in range(40):
+        text = "often met words " + " ".join(f"once{i}x{j}" for j in range(20))
+        ids, _ = token_blocks.encode_texts(pa.array([text]), known)
+        assert ids[:-1].tolist() == plain.encode(text, add_special_tokens=False).ids
+        assert len(known.keys) <= 300
+    assert sum(text.count(" met") for text in learnt) == 1
+
+
+
 def test_words_that_share_a_hash_are_no_hit(spark, monkeypatch):
     docs = spark.createDataFrame([(1, thue_morse(1024)), (2, thue_morse(1024, "ba"))], "doc_id bigint, text string")
     items = spark.createDataFrame([(1, thue_morse(1024))], "item_id bigint, text string")
