@@ -1,9 +1,11 @@
 """Hand-derived cases for normalisation, tokens, sentiment and filters."""
 
 import random
+import re
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from postwave.functions import sentiment, stem, text, tokens
 from postwave.functions.stem import porter, stem_text
@@ -219,3 +221,18 @@ def test_stems_by_parts_of_bounded_bytes():
     for i in range(stem.KNOWN_WORDS + 10):
         stem._stem(f"w{i}", known)
     assert len(known) <= stem.KNOWN_WORDS
+
+
+def test_short_forms_in_few_passes(spark):
+    """Few passes give what replacing one short form after the other does."""
+    assert len(text.short_form_patterns()) < len(text.SHORT_FORMS) / 2
+    rng, parts = random.Random(5), [*text.SHORT_FORMS, *text.SHORT_FORMS.values(), "'", " ", " ", "-", "re", "t", "n't", "."]
+    posts = ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 12))) for _ in range(3000)]
+
+    def one_by_one(post):
+        for key, word in text.SHORT_FORMS.items():
+            post = re.sub(rf"\b{key}\b", word, post)
+        return post
+
+    found = spark.createDataFrame([(p,) for p in posts], "text string").select("text", text.expand_short_forms(F.col("text")).alias("long"))
+    assert [(r.text, r.long) for r in found.collect() if r.long != one_by_one(r.text)] == []
