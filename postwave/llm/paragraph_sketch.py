@@ -9,14 +9,16 @@ An element is a different paragraph's 64-bit digest with the number of times the
 xor of their keys and the xor of a check hash of the keys. The fingerprint of a text is its sketch with m = 4, written as
 ``cell:number:key:check`` (hex) of the cells in use, so equal texts have equal fingerprints.
 
-To compare two versions, their cells are subtracted (numbers) and xored, which leaves the elements that only one has. A cell
-with number 1 or -1 whose check fits its key holds one element alone: it is recovered and taken out of its other cells, in
-rounds over all cells of all pairs. Pairs that are not empty after the rounds are sketched anew with m four times as large,
-until each pair is recovered; so a pair costs as much as it differs. With a and b elements and d that differ, the likeness
-is (a + b - d) / (a + b + d): the shared elements' part of all.
+To compare two versions, the cells of one are subtracted from the other's (numbers) and xored, which leaves the elements that
+only one has. A cell with number 1 or -1 whose check fits its key holds one element alone: it is recovered and taken out of
+its other cells. That goes table by table, in two rounds over all pairs: an element has one cell in a table, so none is found
+twice at once. The tables of a pair start with about as many cells as it may differ in: all elements of a text and the next
+one, a third of those of a text and its changed version. Pairs that are not empty after the rounds are sketched anew with m
+four times as large, until each pair is recovered; so a pair costs as much as it has elements. With a and b elements and d
+that differ, the likeness is (a + b - d) / (a + b + d): the shared elements' part of all.
 
 The next document is found with one shuffle of the texts, by ranges of doc_id (null last, ties by text); the first document
-of a range is put into the range before it as well. Later steps move digests, not texts.
+of a range is put into the range before it as well, with its elements. Later steps move elements, not texts.
 
 Null counts as an empty text, which is one empty paragraph; a single document is its own next one; repeated rows are
 compared row by row; an empty table gives an empty one; other columns are ignored. If most ids of a sparse range lie
@@ -30,20 +32,22 @@ from ..session import materialize
 
 RANGE_BYTES = 8 << 20  # bytes of text that a range of doc_id has on average
 TABLES = 3
-PART_DIGESTS = 1 << 17  # digests that a partition has on average
+PART_ELEMENTS = 1 << 17  # elements that a partition has on average
 LONG_LINE = 200  # characters of a line that stays whole
 PIECE_WORDS = 16  # words of a piece of a longer line, on average
 WORD_END = "(?<=[ \\u2E80-\\uD7A3])"
 MOST_BROADCAST = 100_000  # ranges, one narrow row each
 OWN, CHANGED, NEXT = range(3)
+KINDS = ((1, CHANGED, 3), (2, NEXT, 1))  # (kind, version beside the own one, elements for a first cell)
 FIRST_CELLS = 4
 GROWTH = 4
-ROUNDS = 8
+ROUNDS = 2
 
 
 def by_range(docs, range_bytes=RANGE_BYTES):
-    """((doc_id, text, range), number of ranges) with ranges of doc_id in ascending order; null ids have the last range."""
+    """((doc_id, text, elements, range), number of ranges) with ranges of doc_id in ascending order; null ids have the last."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.withColumn("elements", elements("text"))
     size, low, high = rows.agg(F.sum(F.octet_length("text")), F.min("doc_id"), F.max("doc_id")).first()
     ranges = max(1, (size or 0) // range_bytes)
     width = max(1.0, ((high or 0) - (low or 0) + 1) / ranges)
@@ -52,7 +56,7 @@ def by_range(docs, range_bytes=RANGE_BYTES):
 
 
 def with_next(docs, range_bytes=RANGE_BYTES):
-    """(doc_id, text, next_text) of each document; the last document's next one is the first."""
+    """(doc_id, text, elements, next_text, next_elements) of each document; the last document's next one is the first."""
     rows, ranges = by_range(docs, range_bytes)
     heads = rows.groupBy("range").agg(F.min("doc_id").alias("head_id"))
     order = Window.orderBy("range")  # one narrow row for each range
@@ -64,10 +68,11 @@ def with_next(docs, range_bytes=RANGE_BYTES):
     rows = rows.join(heads, (F.col("range") == F.col("head_range")) & F.col("doc_id").eqNullSafe(F.col("head_id")), "left")
     own = F.struct(F.col("range"), F.lit(False).alias("borrowed"))
     lent = F.struct(F.col("before").alias("range"), F.lit(True).alias("borrowed"))
-    rows = rows.select("doc_id", "text", F.explode(F.when(F.col("before").isNull(), F.array(own)).otherwise(F.array(own, lent))).alias("at"))
-    rows = rows.select("doc_id", "text", "at.*")
+    rows = rows.select("doc_id", "text", "elements", F.explode(F.when(F.col("before").isNull(), F.array(own)).otherwise(F.array(own, lent))).alias("at"))
+    rows = rows.select("doc_id", "text", "elements", "at.*")
     within = Window.partitionBy("range").orderBy("borrowed", F.col("doc_id").asc_nulls_last(), "text")
-    return rows.withColumn("next_text", F.lead("text").over(within)).filter(~F.col("borrowed")).select("doc_id", "text", "next_text")
+    rows = rows.withColumns({f"next_{name}": F.lead(name).over(within) for name in ("text", "elements")})
+    return rows.filter(~F.col("borrowed")).select("doc_id", "text", "elements", "next_text", "next_elements")
 
 
 def edited(text, next_text):
@@ -76,12 +81,16 @@ def edited(text, next_text):
     return F.concat(F.substring(text, F.lit(1), F.length(text) - quarter), F.substring(next_text, F.lit(1), quarter))
 
 
+def once(value, function):
+    """``function`` of a column that it names more than once, or in an inner function, but that is computed once."""
+    return F.transform(F.array(value), function)[0]
+
+
 def pieces(line):
     """The pieces of a long line."""
-    # An array of the one list of words lets the inner function look at the word before without splitting anew.
     ends = lambda words, word, i: F.pmod(F.xxhash64(F.get(words, i - 1), word), F.lit(PIECE_WORDS)) == 0
     mark = lambda words: F.transform(words, lambda w, i: F.when(ends(words, w, i), F.concat(w, F.lit("\n"))).otherwise(w))
-    return F.split(F.array_join(F.transform(F.array(F.split(line, WORD_END)), mark)[0], ""), "\n")
+    return F.split(F.array_join(once(F.split(line, WORD_END), mark), ""), "\n")
 
 
 def digests(text):
@@ -91,10 +100,18 @@ def digests(text):
     return F.flatten(F.transform(F.split(text, "\n"), lambda line: F.when(F.length(line) <= LONG_LINE, whole(line)).otherwise(cut(line))))
 
 
+def elements(text):
+    """The keys of the different paragraphs of a text, each with the number of times the text has it."""
+    starts = lambda d: F.filter(F.sequence(F.lit(0), F.size(d) - 1), lambda i: (i == 0) | (F.get(d, i) != F.get(d, i - 1)))
+    times = lambda d, at, i, j: (F.coalesce(F.get(at, j + 1), F.size(d)) - i).cast("bigint")
+    keys = lambda d, at: F.transform(at, lambda i, j: F.xxhash64(F.get(d, i), times(d, at, i, j)))
+    return once(F.sort_array(digests(text)), lambda d: once(starts(d), lambda at: keys(d, at)))
+
+
 def versions(docs):
-    """(row, doc_id, n_chars, edited_sha256, digests): the last are those of the own, the changed and the next text.
+    """(row, doc_id, n_chars, edited_sha256, elements): the last are those of the own, the changed and the next text.
 
-    They are one column, as the versions share most of their digests and such repeats compress away side by side.
+    They are one column, as the versions share most of their elements and such repeats compress away side by side.
     """
     rows = with_next(docs).withColumn("changed_text", edited(F.col("text"), F.col("next_text")))
     rows = rows.select(
@@ -102,107 +119,101 @@ def versions(docs):
         "doc_id",
         F.length("text").cast("bigint").alias("n_chars"),
         F.sha2(F.col("changed_text").cast("binary"), 256).alias("edited_sha256"),
-        F.array(digests("text"), digests("changed_text"), digests("next_text")).alias("digests"),
+        F.array("elements", elements("changed_text"), "next_elements").alias("elements"),
     )
     return materialize(rows, "versions")
 
 
-def elements(table):
-    """(row, version, key) of the different elements of the versions, kept in partitions by row."""
-    n = table.agg(F.sum(F.size(F.flatten("digests")))).first()[0] or 0
-    rows = table.select("row", "digests").repartition(max(1, -(-n // PART_DIGESTS)), "row")
-    rows = rows.select("row", F.posexplode("digests").alias("version", "digests"))
-    rows = rows.select("row", "version", F.explode("digests").alias("digest"))
-    counted = rows.groupBy("row", "version", "digest").agg(F.count(F.lit(1)).alias("times"))
-    return counted.select("row", "version", F.xxhash64("digest", "times").alias("key"))
+def by_row(rows, *keep):
+    """Rows of a table of versions in partitions by row, of bounded numbers of elements."""
+    n = rows.agg(F.sum(F.size(F.flatten("elements")))).first()[0] or 0
+    return rows.select("row", "elements", *keep).repartition(max(1, -(-n // PART_ELEMENTS)), "row")
 
 
 def check_of(key):
     return F.xxhash64(key, F.lit("check"))
 
 
+def cell_of(key, m, t):
+    """The cell of a key in table t."""
+    return (F.pmod(F.xxhash64(key, F.lit(t)), m) + t * m).cast("int")
+
+
 def cells_of(key, m):
     """The three cells of a key."""
-    return F.array(*[(F.pmod(F.xxhash64(key, F.lit(t)), F.lit(m)) + t * m).cast("int") for t in range(TABLES)])
+    return F.array(*[cell_of(key, m, t) for t in range(TABLES)])
 
 
-def sketches(keys, m):
-    """(row, version, cell, number, key, check): the cells in use."""
-    placed = keys.select("row", "version", "key", check_of(F.col("key")).alias("check"), F.explode(cells_of(F.col("key"), m)).alias("cell"))
-    return placed.groupBy("row", "version", "cell").agg(
-        F.count(F.lit(1)).alias("number"), F.bit_xor("key").alias("key"), F.bit_xor("check").alias("check")
-    )
+def add_up(cells, *keys):
+    """(keys, cell, number, key, check): cells with their parts added."""
+    return cells.groupBy(*keys, "cell").agg(F.sum("number").alias("number"), F.bit_xor("key").alias("key"), F.bit_xor("check").alias("check"))
 
 
-def subtract(cells):
-    """(row, kind, cell, number, key, check): the own version minus the changed one (kind 1) and minus the next one (kind 2)."""
-    pair = lambda kind, sign: F.struct(F.lit(kind).alias("kind"), F.lit(sign).alias("sign"))
-    sides = F.when(F.col("version") == OWN, F.array(pair(1, 1), pair(2, 1))).when(F.col("version") == CHANGED, F.array(pair(1, -1))).otherwise(F.array(pair(2, -1)))
-    signed = cells.withColumn("side", F.explode(sides)).select("row", "side.kind", "cell", (F.col("number") * F.col("side.sign")).alias("number"), "key", "check")
-    return add_up(signed)
+def sketches(sides, *keys):
+    """(keys, cell, number, key, check): the cells in use. ``sides`` has the keys, m, number (what an element counts) and elements."""
+    alone = sides.select(*keys, "m", "number", F.explode("elements").alias("key"))
+    placed = alone.select(*keys, "number", "key", check_of(F.col("key")).alias("check"), F.explode(cells_of(F.col("key"), F.col("m"))).alias("cell"))
+    return add_up(placed, *keys)
 
 
-def add_up(cells):
-    """Cells with their parts added; empty ones are left out."""
-    summed = cells.groupBy("row", "kind", "cell").agg(F.sum("number").alias("number"), F.bit_xor("key").alias("key"), F.bit_xor("check").alias("check"))
-    return summed.filter("number <> 0 or key <> 0 or check <> 0")
+def subtracted(rows):
+    """(row, kind, m, cell, number, key, check): sketches of the own version minus the changed one (kind 1), the next one (kind 2).
 
+    ``rows`` has row, elements and the cells of each kind, ``m1`` and ``m2``, null for a pair that is not asked for.
+    """
+    side = lambda kind, number, version: F.struct(
+        F.lit(kind).alias("kind"), F.col(f"m{kind}").alias("m"), F.lit(number).alias("number"), F.col("elements")[version].alias("elements")
+    )
+    sides = F.array(*[side(kind, *x) for kind, other, _ in KINDS for x in ((1, OWN), (-1, other))])
+    return sketches(rows.select("row", F.explode(sides).alias("side")).select("row", "side.*").filter("m is not null"), "row", "kind", "m")
 
-def peel(cells, m, rounds=ROUNDS):
-    """(row, kind, differing, left): elements recovered from subtracted cells, and cells that could not be emptied.
 
-    A round turns a cell that holds one element into a found element and what it takes out of its cells. An element that
-    several cells show is taken out once: its rows are alike and are grouped first.
+def peel(cells, rounds=ROUNDS):
+    """(row, kind, m, differing, left): elements recovered from subtracted cells, and cells that could not be emptied.
+
+    A step turns each cell of one table that holds one element into what it takes out of its other cells, and a found element:
+    cell -1 counts those of a pair.
     """
-    alone = (F.abs("number") == 1) & (F.col("check") == check_of(F.col("key")))
-    state = cells.select("row", "kind", "cell", F.lit(0).cast("bigint").alias("element"), "number", "key", "check")
-    field = ("cell", "element", "number", "key", "check")
-    part = lambda *values: F.struct(*[v.cast(t).alias(n) for n, v, t in zip(field, values, ("int", "bigint", "bigint", "bigint", "bigint"))])
-    for _ in range(rounds):
-        same = part(F.col("cell"), F.lit(0), F.col("number"), F.col("key"), F.col("check"))
-        found = part(F.lit(-1), F.col("key"), F.col("number"), F.col("key"), F.col("check"))
-        outs = F.transform(cells_of(F.col("key"), m), lambda c: part(c, F.col("key"), -F.col("number"), F.col("key"), F.col("check")))
-        kept = part(F.lit(-1), F.col("element"), F.col("number"), F.col("key"), F.col("check"))
-        moves = F.when(F.col("cell") < 0, F.array(kept)).when(alone, F.concat(F.array(same, found), outs)).otherwise(F.array(same))
-        rows = state.select("row", "kind", F.explode(moves).alias("p")).select("row", "kind", "p.*")
-        once = rows.groupBy("row", "kind", "cell", "element").agg(*[F.first(x).alias(x) for x in ("number", "key", "check")])
-        target = F.when(F.col("cell") < 0, F.col("element")).otherwise(F.lit(0).cast("bigint")).alias("element")
-        once = once.select("row", "kind", "cell", target, "number", "key", "check")
-        state = once.groupBy("row", "kind", "cell", "element").agg(
-            F.sum("number").alias("number"), F.bit_xor("key").alias("key"), F.bit_xor("check").alias("check")
-        ).filter("cell < 0 or number <> 0 or key <> 0 or check <> 0")
-    return state.groupBy("row", "kind").agg(F.count(F.when(F.col("cell") < 0, 1)).alias("differing"), F.count(F.when(F.col("cell") >= 0, 1)).alias("left"))
+    field = {"cell": "int", "number": "bigint", "key": "bigint", "check": "bigint"}
+    part = lambda *values: F.struct(*[v.cast(t).alias(n) for v, (n, t) in zip(values, field.items())])
+    number, key, check, m = (F.col(x) for x in ("number", "key", "check", "m"))
+    used = "cell < 0 or number <> 0 or key <> 0 or check <> 0"
+    state = cells.filter(used)
+    for t in list(range(TABLES)) * rounds:
+        own_table = (F.col("cell") >= t * m) & (F.col("cell") < (t + 1) * m)
+        alone = own_table & (F.abs("number") == 1) & (check == check_of(key))
+        found = part(F.lit(-1), F.lit(1), F.lit(0), F.lit(0))
+        outs = [part(cell_of(key, m, other), -number, key, check) for other in range(TABLES) if other != t]
+        moves = F.when(alone, F.array(found, *outs)).otherwise(F.array(part(F.col("cell"), number, key, check)))
+        state = add_up(state.select("row", "kind", "m", F.explode(moves).alias("p")).select("row", "kind", "m", "p.*"), "row", "kind", "m").filter(used)
+    differing = F.coalesce(F.sum(F.when(F.col("cell") < 0, number)), F.lit(0))
+    return state.groupBy("row", "kind", "m").agg(differing.alias("differing"), F.count(F.when(F.col("cell") >= 0, 1)).alias("left"))
 
 
 def differences(table, first_cells=FIRST_CELLS, rounds=ROUNDS):
     """(row, kind, differing) of the pairs that differ; kind 1: own and changed, kind 2: own and next."""
-    done, open_, failed, m = None, table, None, first_cells
+    size = lambda version: F.size(F.col("elements")[version])
+    cells = {f"m{kind}": F.floor((size(OWN) + size(other)) / share) + first_cells for kind, other, share in KINDS}
+    done, open_ = None, table.withColumns(cells)
     while True:
-        cells = subtract(sketches(elements(open_), m))
-        if failed is not None:
-            cells = cells.join(failed, ["row", "kind"], "left_semi")
-        peeled = materialize(peel(cells, m, rounds), "peeled")
+        peeled = materialize(peel(subtracted(by_row(open_, *cells)), rounds), "peeled")
         good = peeled.filter("left = 0").select("row", "kind", "differing")
         done = good if done is None else done.unionAll(good)
-        failed = peeled.filter("left > 0").select("row", "kind")
+        failed = peeled.filter("left > 0")
         if failed.isEmpty():
             return done
-        open_, m = table.join(failed.select("row").distinct(), "row", "left_semi"), m * GROWTH
+        larger = [F.max(F.when(F.col("kind") == kind, F.col("m") * GROWTH)).alias(f"m{kind}") for kind, *_ in KINDS]
+        open_ = table.join(failed.groupBy("row").agg(*larger), "row")
 
 
 def fingerprints(table, m=FIRST_CELLS):
-    """(row, fingerprint, edited_fingerprint, own_size, changed_size, next_size)."""
-    keys = elements(table)
+    """(row, fingerprint, edited_fingerprint)."""
+    side = lambda version: F.struct(F.lit(version).alias("version"), F.lit(m).alias("m"), F.lit(1).alias("number"), F.col("elements")[version].alias("elements"))
+    sides = by_row(table).select("row", F.explode(F.array(side(OWN), side(CHANGED))).alias("side")).select("row", "side.*")
     text = F.concat_ws(":", F.lpad(F.hex("cell"), 4, "0"), F.hex("number"), F.hex("key"), F.hex("check"))
-    cells = sketches(keys, m)
-    size = F.sum(F.when(F.col("cell") < m, F.col("number"))).alias("size")  # each element is in the first table once
-    each = cells.groupBy("row", "version").agg(F.array_join(F.array_sort(F.collect_list(text)), ",").alias("cells"), size)
-    pick = lambda version, name: F.max(F.when(F.col("version") == version, F.col(name)))
-    return each.groupBy("row").agg(
-        pick(OWN, "cells").alias("fingerprint"),
-        pick(CHANGED, "cells").alias("edited_fingerprint"),
-        *[pick(i, "size").alias(f"{n}_size") for i, n in enumerate(("own", "changed", "next"))],
-    )
+    each = sketches(sides, "row", "version").groupBy("row", "version").agg(F.array_join(F.array_sort(F.collect_list(text)), ",").alias("cells"))
+    pick = lambda version: F.max(F.when(F.col("version") == version, F.col("cells")))
+    return each.groupBy("row").agg(pick(OWN).alias("fingerprint"), pick(CHANGED).alias("edited_fingerprint"))
 
 
 def compare_documents(docs):
@@ -211,7 +222,8 @@ def compare_documents(docs):
     pairs = differences(table).groupBy("row").agg(
         F.max(F.when(F.col("kind") == 1, F.col("differing"))).alias("edits"), F.max(F.when(F.col("kind") == 2, F.col("differing"))).alias("next_edits")
     )
-    rows = fingerprints(table).join(pairs, "row", "left").join(table.select("row", "doc_id", "n_chars", "edited_sha256"), "row")
+    sizes = [F.size(F.col("elements")[i]).alias(f"{n}_size") for i, n in enumerate(("own", "changed", "next"))]
+    rows = fingerprints(table).join(pairs, "row", "left").join(table.select("row", "doc_id", "n_chars", "edited_sha256", *sizes), "row")
 
     def near(a, b, edits):
         total, d = F.col(a) + F.col(b), F.coalesce(edits, F.lit(0))

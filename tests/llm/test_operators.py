@@ -339,6 +339,23 @@ def test_paragraph_sketch(spark, docs, odd):
     assert paragraph_sketch.compare_documents(odd).count() == 6
 
 
+def test_sketches_start_with_cells_for_what_may_differ(spark, monkeypatch):
+    # Texts of 60 and 90 lines, some of them repeated, that share a third with the next one: no pair is sketched a second time.
+    lines = [[f"{i} {j}" for j in range(40)] + [f"{i + 1} {j}" for j in range(20)] + [f"{i} 0"] * (30 * (i % 2)) for i in range(8)]
+    texts = ["\n".join(x) for x in lines]
+    passes = []
+    kept = paragraph_sketch.materialize
+    monkeypatch.setattr(paragraph_sketch, "materialize", lambda df, name: passes.append(name) or kept(df, name))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r for r in paragraph_sketch.compare_documents(docs).collect()}
+    assert passes.count("peeled") == 1
+    for i, text in enumerate(texts):
+        following = texts[(i + 1) % 8]
+        cut = len(text) - len(text) // 4
+        changed = text[:cut] + following[: len(text) // 4]
+        assert got[i].near_edited == pytest.approx(near(text, changed)) and got[i].near_next == pytest.approx(near(text, following))
+
+
 def test_sketch_of_texts_without_line_ends(spark):
     texts = [prose(900 + k, 1000) for k in range(6)] + ["漢字仮名交じり文" * 90, "x" * 5000, " ".join(["same"] * 4000), ""]
     got = {r.doc_id: r for r in paragraph_sketch.compare_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
